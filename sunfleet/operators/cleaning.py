@@ -50,7 +50,8 @@ def select_core(df: DataFrame) -> DataFrame:
 def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULL readings of numeric columns count as 0; text columns keep their NULLs."""
     numeric = [c for c, t in df.dtypes if t not in ("string", "timestamp", "date", "timestamp_ntz")]
-    return df.fillna(0.0, subset=list(columns) if columns is not None else numeric)
+    chosen = numeric if columns is None else columns
+    return _replace(df, {c: F.coalesce(F.col(c), F.lit(0.0)) for c in chosen})
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:

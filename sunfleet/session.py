@@ -8,9 +8,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Results depend on the first setting only; the others steer physical execution.
+# Results depend on the time zone only; the others steer physical execution.
+# hugeMethodLimit: wide telemetry projections compile to methods above 8000 bytes of bytecode,
+# which the JVM never JIT-compiles; below that limit Spark splits the work into smaller methods.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,9 +31,11 @@ def build_session(app_name: str = "sunfleet", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Day and hour features are defined in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session someone else created."""
+    for key, value in SESSION_SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
