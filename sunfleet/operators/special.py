@@ -133,29 +133,40 @@ def ridge_starts(maxima: np.ndarray, widths: Sequence[int]) -> list[tuple[int, i
     return done + [(r, c) for r, c, _ in lines]
 
 
+class _Centred(pd.api.indexers.BaseIndexer):
+    """Window of ``window_size`` positions around every row, cut at the ends."""
+
+    def get_window_bounds(self, num_values=0, min_periods=None, center=None, closed=None, step=None):
+        half, odd = divmod(self.window_size, 2)
+        at = np.arange(num_values, dtype=np.int64)
+        return np.maximum(at - half, 0), np.minimum(at + half + odd, num_values)
+
+
+def noise_floor(row: np.ndarray, window: int) -> np.ndarray:
+    """10th percentile around every position."""
+    return pd.Series(row).rolling(_Centred(window_size=window), min_periods=1).quantile(0.1).to_numpy()
+
+
 def count_wavelet_peaks(
-    x: np.ndarray, n: int, first: int, core: tuple[int, int], length: int
-) -> int:
-    """Peaks whose ridge ends in ``[core)``; ``first`` is the series position of ``x[0]``.
+    x: np.ndarray, widths: Sequence[int], first: int, core: tuple[int, int], length: int
+) -> list[int]:
+    """Peaks whose ridge ends in ``[core)``, for wavelets of width 1..w per entry of ``widths``.
 
-    A peak counts if its wavelet value is at least the noise floor: the 10th percentile of the
-    narrowest wavelet row in a window of a twentieth of the series around it.
+    ``first`` is the series position of ``x[0]``. A peak counts if its wavelet value is at least
+    the noise floor: the 10th percentile of the narrowest wavelet row in a window of a twentieth
+    of the series around it.
     """
-    widths = list(range(1, n + 1))
-    rows = wavelet_rows(x, widths, length)
-    window = math.ceil(length / 20)
-    half, odd = divmod(window, 2)
-    count = 0
-    for row, col in ridge_starts(_row_maxima(rows), widths):
-        position = first + col
-        if not core[0] <= position < core[1]:
-            continue
-        lo, hi = max(col - half, 0), min(col + half + odd, len(x))
-        noise = np.percentile(rows[0, lo:hi], 10)
-        value = rows[row, col]
-        if noise == 0.0 or abs(value / noise) >= 1.0:
-            count += 1
-    return count
+    every = list(range(1, max(widths) + 1))
+    rows = wavelet_rows(x, every, length)
+    maxima = _row_maxima(rows)
+    noise = np.abs(noise_floor(rows[0], math.ceil(length / 20)))
+    counts = []
+    for w in widths:
+        ends = np.array(ridge_starts(maxima[:w], every[:w]), dtype=int).reshape(-1, 2)
+        row, col = ends[:, 0], ends[:, 1]
+        inside = (first + col >= core[0]) & (first + col < core[1])
+        counts.append(int(np.sum(inside & (np.abs(rows[row, col]) >= noise[col]))))
+    return counts
 
 
 def number_cwt_peaks(
@@ -189,7 +200,7 @@ def number_cwt_peaks(
         out = []
         for kind in kinds:
             x = pdf[kind].to_numpy(dtype=float)
-            out.append((key[0], kind, *[count_wavelet_peaks(x, w, first, core, n) for w in widths]))
+            out.append((key[0], kind, *count_wavelet_peaks(x, widths, first, core, n)))
         return pd.DataFrame(out, columns=["sn", "kind", *names])
 
     schema = "sn string, kind string, " + ", ".join(f"{c} bigint" for c in names)

@@ -24,15 +24,15 @@ CHANGED = {
 
 
 def complete_days(
-    spine: DataFrame, daily: DataFrame, spec: d.DailySpec = d.EVERYTHING, keys: Sequence[str] = ("sn",)
+    joined: DataFrame, spec: d.DailySpec = d.EVERYTHING, keys: Sequence[str] = ("sn",)
 ) -> DataFrame:
-    """Daily table to gap-filled day rows with the derived columns of the chosen families.
+    """Spine days with daily values to gap-filled day rows with the derived columns.
 
     The fill runs before every derived value, so a gap day borrows the next day's readings.
     """
     keys = list(keys)
-    values = [c for c in daily.columns if c not in (*keys, "date", "day_part")]
-    days = ch.backfill_then_zero(ch.spine_join(spine, daily, keys), values, keys)
+    values = [c for c in joined.columns if c not in (*keys, "date", "day_idx")]
+    days = ch.backfill_then_zero(joined, values, keys)
     if "energy" in spec.families:
         days = ch.midday_energy(days)
     if "temperature" in spec.families and "power" in spec.families:
@@ -65,17 +65,21 @@ def windowed_rows(
     return clean, windows, profile.filter(F.size("reasons") > 0)
 
 
+def window_days(
+    df: DataFrame, out_days: int = 0, time_range: int = 7, visible_date: dt.date | None = None,
+    spec: d.DailySpec = d.EVERYTHING,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(``time_range`` gap-filled day rows per kept device, windows, dropped devices)."""
+    clean, windows, dropped = windowed_rows(df, out_days, time_range, visible_date)
+    daily = d.daily_aggregates(d.pack_by_hour(clean), spec)
+    return complete_days(ch.spine_join(lb.date_spine(windows), daily), spec), windows, dropped
+
+
 def daily_feature_days(
-    df: DataFrame,
-    out_days: int = 0,
-    time_range: int = 7,
-    visible_date: dt.date | None = None,
+    df: DataFrame, out_days: int = 0, time_range: int = 7, visible_date: dt.date | None = None,
     spec: d.DailySpec = d.EVERYTHING,
 ) -> DataFrame:
-    """``time_range`` gap-filled day rows for every kept device."""
-    clean, windows, _ = windowed_rows(df, out_days, time_range, visible_date)
-    daily = d.daily_aggregates(d.pack_by_hour(clean), spec)
-    return complete_days(lb.date_spine(windows), daily, spec)
+    return window_days(df, out_days, time_range, visible_date, spec)[0]
 
 
 def matrix_columns(time_range: int = 7, t: d.Thresholds = d.DEFAULTS, draft: bool = False):
