@@ -6,17 +6,23 @@ Both are small numpy helpers behind Arrow-batched functions; Spark cuts and shuf
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import series
 
 KEYS = series.KEYS
 
+# executors get the helpers with the task and need no installed copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
     """Continued fraction of the incomplete beta function, evaluated for all rows at once."""
@@ -60,7 +66,7 @@ def _beta_fraction_swapped(a: np.ndarray, b: float, y: np.ndarray) -> np.ndarray
     return _beta_fraction(np.full_like(y, b), a, y)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _trend_p(r: pd.Series, n: pd.Series) -> pd.Series:
     r, n = r.to_numpy(dtype=float), n.to_numpy(dtype=float)
     ok = (n > 2) & ~np.isnan(r)
