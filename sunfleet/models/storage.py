@@ -38,6 +38,21 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str]
     return PipelineModel.load(os.path.join(path, "model")), read_manifest(spark, os.path.join(path, "features"))
 
 
+def stage_path(spark: SparkSession, path: str, kind: str) -> str:
+    """Folder of the pipeline stage whose class name ends in ``kind``, from the stage metadata."""
+    stages = os.path.join(path, "model", "stages")
+    listed = (
+        spark.read.text(os.path.join(stages, "*", "metadata"))
+        .select("value", F.regexp_extract(F.col("_metadata.file_path"), "/stages/([^/]+)/", 1).alias("stage"))
+        .filter(F.get_json_object("value", "$.class").endswith(kind))
+        .select("stage")
+        .first()
+    )
+    if listed is None:
+        raise FileNotFoundError(f"no {kind} stage in {path}")
+    return os.path.join(stages, listed["stage"])
+
+
 def load_latest(spark: SparkSession, root: str) -> tuple[PipelineModel, list[str], str]:
     """Newest version with its manifest. One row is collected: the path."""
     row = latest_version(registry(spark, root)).first()

@@ -61,7 +61,7 @@ def quota_join(devices: DataFrame, quotas: DataFrame) -> DataFrame:
 
 def top_up_sample(unselected: DataFrame, short: DataFrame, seed: int) -> DataFrame:
     """The first ``short`` devices of the unselected in seeded order; ``short`` is a one-row frame."""
-    numbered = ranked(unselected, fn.seeded_key(["sn", "top-up"], seed), name="_rank")
+    numbered = ranked(unselected, fn.seeded_key(["sn", F.lit("top-up")], seed), name="_rank")
     joined = numbered.join(F.broadcast(short))  # one row by construction
     return joined.filter(F.col("_rank") <= F.col("short")).select(*unselected.columns)
 
