@@ -7,8 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Time formats of the readings.
-TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+from . import text
 
 # Device model prefix to model code.
 DEVICE_TYPE_CODES = {
@@ -24,69 +23,54 @@ DEVICE_TYPE_CODES = {
     "TP40KB": 9.0,
 }
 
-# Sentinel limit, counter wraps and ratings of the device firmware.
-SENSOR_LIMIT = 5000.0
-REACTIVE_WRAP_LIMIT = 16770000.0
-REACTIVE_WRAP = 16777216.0
-POWER_FACTOR_WRAP = 65.536
-PHASE_VOLTAGE = 220.0
-SQRT3 = 1.732
-
-
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def zero_above(column: Column | str, limit: float = SENSOR_LIMIT) -> Column:
+def zero_above(column: str, limit: float = text.SENSOR_LIMIT) -> Column:
     """Sentinel readings above ``limit`` count as 0."""
-    c = _col(column)
-    return F.when(c > F.lit(limit), F.lit(0.0)).otherwise(c)
+    return F.expr(text.zero_above(column, limit))
 
 
-def unwrap_reactive(column: Column | str) -> Column:
+def unwrap_reactive(column: str) -> Column:
     """Undo the 24-bit wrap of a small negative reactive power."""
-    c = _col(column)
-    return F.when(c > F.lit(REACTIVE_WRAP_LIMIT), F.abs(c - F.lit(REACTIVE_WRAP))).otherwise(c)
+    return F.expr(text.unwrap_reactive(column))
 
 
-def unwrap_power_factor(column: Column | str) -> Column:
+def unwrap_power_factor(column: str) -> Column:
     """Undo the 16-bit wrap of a negative power factor (stored in thousandths)."""
-    c = _col(column)
-    return F.when(c * c > F.lit(1.0), c - F.lit(POWER_FACTOR_WRAP)).otherwise(c)
+    return F.expr(text.unwrap_power_factor(column))
 
 
-def parse_time(column: Column | str, formats: Iterable[str] = TIME_FORMATS) -> Column:
+def parse_time(column: str, formats: Iterable[str] = text.TIME_FORMATS) -> Column:
     """Text to timestamp by the first format that fits; NULL when none does."""
-    c = _col(column)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.expr(text.parse_time(column, formats))
 
 
-def error_status(column: Column | str = "errorcode", healthy: Iterable[str] = ("0",)) -> Column:
+def error_status(column: str = "errorcode", healthy: Iterable[str] = ("0",)) -> Column:
     """True for a fault code, false for a healthy one, NULL for a missing code."""
-    return ~_col(column).isin(*healthy)
+    return F.expr(text.error_status(column, healthy))
 
 
-def in_hours(time: Column | str, first: int, end: int) -> Column:
+def in_hours(time: str, first: int, end: int) -> Column:
     """Hour of day in ``[first, end)``."""
-    hour = F.hour(_col(time))
-    return (hour >= first) & (hour < end)
+    return F.expr(text.in_hours(time, first, end))
 
 
-def ac_connected(column: Column | str = "switchstatus") -> Column:
-    return _col(column) == F.lit(1.0)
+def ac_connected(column: str = "switchstatus") -> Column:
+    return F.expr(text.ac_connected(column))
 
 
-def model_prefix(sn: Column | str = "sn") -> Column:
-    return F.substring(_col(sn), 1, 6)
+def model_prefix(sn: str = "sn") -> Column:
+    return F.expr(text.model_prefix(sn))
 
 
-def rated_current(sn: Column | str = "sn") -> Column:
+def rated_current(sn: str = "sn") -> Column:
     """Rated phase current in ampere from the kW digits of the device id; NULL if not a number."""
-    kilowatt = F.substring(_col(sn), 3, 2).try_cast("double")
-    return kilowatt * F.lit(1000.0) / F.lit(PHASE_VOLTAGE) / F.lit(SQRT3) / F.lit(3.0)
+    return F.expr(text.rated_current(sn))
 
 
-def device_type_code(sn: Column | str = "sn", codes: dict[str, float] | None = None) -> Column:
+def device_type_code(sn: str = "sn", codes: dict[str, float] | None = None) -> Column:
     """Model code of the device; NULL for an unknown model."""
     pairs = [F.lit(x) for item in (codes or DEVICE_TYPE_CODES).items() for x in item]
     return F.try_element_at(F.create_map(*pairs), model_prefix(sn))
@@ -98,22 +82,12 @@ def month_key(sn: Column | str, time: Column | str) -> Column:
 
 
 def phase_mean(columns: Iterable[str]) -> Column:
-    cols = [F.col(c) for c in columns]
-    total = cols[0]
-    for c in cols[1:]:
-        total = total + c
-    return total / F.lit(float(len(cols)))
+    return F.expr(text.phase_mean(columns))
 
 
 def phase_variance(columns: Iterable[str]) -> Column:
     """Population variance across columns of one row."""
-    columns = list(columns)
-    mean = phase_mean(columns)
-    squares = [(F.col(c) - mean) * (F.col(c) - mean) for c in columns]
-    total = squares[0]
-    for s in squares[1:]:
-        total = total + s
-    return total / F.lit(float(len(columns)))
+    return F.expr(text.phase_variance(columns))
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
@@ -121,10 +95,6 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator, denominator), F.lit(0.0))
 
 
-def relative_change(current: Column, previous: Column) -> Column:
-    return ratio_or_zero(current - previous, previous)
-
-
 def seeded_key(columns: Iterable[Column | str], seed: int) -> Column:
     """Uniform 32-digit hex key of a row identity; the same on every run and every partitioning."""
     return F.md5(F.concat_ws(":", *[_col(c).cast("string") for c in columns], F.lit(str(seed))))

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from .. import functions as fn
+from ..functions import text
 from ..schema import STRINGS
 
 KEYS = ("sn",)
@@ -18,22 +17,20 @@ def spine_join(spine: DataFrame, daily: DataFrame, keys: Sequence[str] = KEYS) -
     return spine.join(daily, [*keys, "date"], "left")
 
 
-def _by_day(keys):
-    return Window.partitionBy(*keys).orderBy("date")
+def _by_day(keys: Sequence[str]) -> str:
+    return f"partition by {', '.join(keys)} order by date"
 
 
 def backfill_then_zero(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """A missing value takes the next known later value of the device, else 0."""
-    ahead = _by_day(keys).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = {
-        c: F.coalesce(F.first(c, ignorenulls=True).over(ahead), F.lit(0)).alias(c) for c in columns
-    }
-    return df.select(*[filled.get(c, F.col(c)) for c in df.columns])
+    ahead = f"over ({_by_day(keys)} rows between current row and unbounded following)"
+    filled = {c: f"coalesce(first({c}, true) {ahead}, 0)" for c in columns}
+    return df.selectExpr(*[f"{filled.get(c, c)} as {c}" for c in df.columns])
 
 
 def first_difference(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     w = _by_day(keys)
-    return df.select("*", *[(F.col(c) - F.lag(c).over(w)).alias(f"{c}_diff") for c in columns])
+    return df.selectExpr("*", *[f"{c} - lag({c}) over ({w}) as {c}_diff" for c in columns])
 
 
 def day_over_day_change(
@@ -41,50 +38,46 @@ def day_over_day_change(
 ) -> DataFrame:
     """Relative change to the day before; 0 where the day before is 0, and on the first day."""
     w = _by_day(keys)
-    return df.select(
-        "*",
-        *[fn.relative_change(F.col(c), F.lag(c).over(w)).alias(f"{c}{suffix}") for c in columns],
+    return df.selectExpr(
+        "*", *[f"{text.relative_change(c, f'lag({c}) over ({w})')} as {c}{suffix}" for c in columns]
     )
 
 
 def midday_energy(df: DataFrame) -> DataFrame:
     """Energy of the band per on-rate, from gap-filled columns; 0 where the on-rate is 0."""
-    gain = F.col("eday_end") - F.col("eday_start")
-    return df.withColumn("eday", fn.ratio_or_zero(gain, F.col("on_rate_4_eday")))
+    return df.selectExpr(
+        "*", f"{text.ratio_or_zero('eday_end - eday_start', 'on_rate_4_eday')} as eday"
+    )
 
 
 def string_idle_flags(
     df: DataFrame, noise: float = 200.0, keys: Sequence[str] = KEYS, strings: Sequence[int] = STRINGS
 ) -> DataFrame:
     """``vpv_idle_i``: the string's daily mean stays below the noise level over the whole window."""
-    w = Window.partitionBy(*keys)
-    return df.select(
+    w = f"over (partition by {', '.join(keys)})"
+    return df.selectExpr(
         "*",
         *[
-            F.when(F.max(f"vpv{i}_mean").over(w) < F.lit(noise), 1).otherwise(0).alias(f"vpv_idle_{i}")
+            f"if(max(vpv{i}_mean) {w} < {text.number(noise)}, 1, 0) as vpv_idle_{i}"
             for i in strings
         ],
     )
 
 
 def string_at_work(df: DataFrame, strings: Sequence[int] = STRINGS) -> DataFrame:
-    return df.select("*", *[(1 - F.col(f"vpv_idle_{i}")).alias(f"vpv_at_work_{i}") for i in strings])
+    return df.selectExpr("*", *[f"1 - vpv_idle_{i} as vpv_at_work_{i}" for i in strings])
 
 
 def string_noise_gate(df: DataFrame, strings: Sequence[int] = STRINGS) -> DataFrame:
     """Changes of an idle string are 0."""
     gated = {
-        f"vpv{i}_{m}_change": F.when(F.col(f"vpv_idle_{i}") == 1, F.lit(0.0))
-        .otherwise(F.col(f"vpv{i}_{m}_change"))
-        .alias(f"vpv{i}_{m}_change")
+        f"vpv{i}_{m}_change": f"if(vpv_idle_{i} = 1, 0.0D, vpv{i}_{m}_change)"
         for i in strings
         for m in ("mean", "variance")
     }
-    return df.select(*[gated.get(c, F.col(c)) for c in df.columns])
+    return df.selectExpr(*[f"{gated.get(c, c)} as {c}" for c in df.columns])
 
 
 def temperature_per_power(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "temperature_vs_power",
-        fn.ratio_or_zero(F.col("temperature_mean"), F.col("activepower_mean")),
-    )
+    ratio = text.ratio_or_zero("temperature_mean", "activepower_mean")
+    return df.selectExpr("*", f"{ratio} as temperature_vs_power")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import functions as fn
+from ..functions import text
 from ..schema import CORE_COLUMNS, CORE_NUMERIC, IAC, IPV, POWER, TEXT_COLUMNS, VPV
 
 DEVICE_PREFIX = "TP"
@@ -28,15 +28,15 @@ SILENT_RULES: dict[str, list[str]] = {
 }
 
 
+def _replace(df: DataFrame, new: dict[str, str]) -> DataFrame:
+    """All columns in order, some of them by a new expression."""
+    return df.selectExpr(*[f"{new[c]} as `{c}`" if c in new else f"`{c}`" for c in df.columns])
+
+
 def cast_numeric(df: DataFrame, keep: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     """All columns but the text ones to double; a value that is no number becomes NULL."""
-    types = dict(df.dtypes)
-    return df.select(
-        *[
-            F.col(c) if c in keep or types[c] == "double" else F.col(c).try_cast("double").alias(c)
-            for c in df.columns
-        ]
-    )
+    other = {c: f"try_cast({c} as double)" for c, t in df.dtypes if c not in keep and t != "double"}
+    return _replace(df, other) if other else df
 
 
 def device_prefix_filter(df: DataFrame, prefix: str = DEVICE_PREFIX) -> DataFrame:
@@ -51,31 +51,31 @@ def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULL readings of numeric columns count as 0; text columns keep their NULLs."""
     numeric = [c for c, t in df.dtypes if t not in ("string", "timestamp", "date", "timestamp_ntz")]
     chosen = numeric if columns is None else columns
-    return _replace(df, {c: F.coalesce(F.col(c), F.lit(0.0)) for c in chosen})
+    return _replace(df, {c: f"coalesce({c}, 0.0D)" for c in chosen})
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
-    return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+def _starting(df: DataFrame, prefix: str) -> list[str]:
+    return [c for c in df.columns if c.startswith(prefix)]
 
 
 def clamp_ipv(df: DataFrame) -> DataFrame:
-    return _replace(df, {c: fn.zero_above(c) for c in df.columns if c.startswith("ipv")})
+    return _replace(df, {c: text.zero_above(c) for c in _starting(df, "ipv")})
 
 
 def clamp_vpv(df: DataFrame) -> DataFrame:
-    return _replace(df, {c: fn.zero_above(c) for c in df.columns if c.startswith("vpv")})
+    return _replace(df, {c: text.zero_above(c) for c in _starting(df, "vpv")})
 
 
 def unwrap_reactive(df: DataFrame) -> DataFrame:
-    return _replace(df, {"reactivepower": fn.unwrap_reactive("reactivepower")})
+    return _replace(df, {"reactivepower": text.unwrap_reactive("reactivepower")})
 
 
 def unwrap_powerfactor(df: DataFrame) -> DataFrame:
-    return _replace(df, {"powerfactor": fn.unwrap_power_factor("powerfactor")})
+    return _replace(df, {"powerfactor": text.unwrap_power_factor("powerfactor")})
 
 
 def standard_rows(df: DataFrame, cast: bool = True) -> DataFrame:
@@ -84,19 +84,26 @@ def standard_rows(df: DataFrame, cast: bool = True) -> DataFrame:
 
 
 def repair_sensors(df: DataFrame) -> DataFrame:
-    """Sentinel and counter repairs; applied after copies are dropped."""
-    return unwrap_powerfactor(unwrap_reactive(clamp_vpv(clamp_ipv(df))))
+    """All sentinel and counter repairs in one projection; applied after copies are dropped."""
+    clamped = [*_starting(df, "ipv"), *_starting(df, "vpv")]
+    return _replace(
+        df,
+        {
+            **{c: text.zero_above(c) for c in clamped},
+            "reactivepower": text.unwrap_reactive("reactivepower"),
+            "powerfactor": text.unwrap_power_factor("powerfactor"),
+        },
+    )
 
 
 def silent_flags() -> list[Column]:
     """One boolean aggregate per rule: every reading of every listed column is 0 or missing."""
-    flags = []
-    for rule, columns in SILENT_RULES.items():
-        silent = F.lit(True)
-        for c in columns:
-            silent = silent & (F.coalesce(F.col(c), F.lit(0.0)) == F.lit(0.0))
-        flags.append(F.bool_and(silent).alias(f"silent_{rule}"))
-    return flags
+    return [
+        F.expr(
+            "bool_and(" + " and ".join(f"coalesce({c}, 0.0D) = 0.0D" for c in columns) + f") as silent_{rule}"
+        )
+        for rule, columns in SILENT_RULES.items()
+    ]
 
 
 def device_profile(df: DataFrame, *extra: Column) -> DataFrame:
@@ -104,17 +111,10 @@ def device_profile(df: DataFrame, *extra: Column) -> DataFrame:
 
     Copies do not change any of these, so the profile needs no distinct before it.
     """
-    names = [f"silent_{rule}" for rule in SILENT_RULES]
-    reasons = F.concat(
-        *[
-            F.when(F.col(f"silent_{rule}"), F.array(F.lit(rule))).otherwise(
-                F.array().cast("array<string>")
-            )
-            for rule in SILENT_RULES
-        ]
-    )
+    flags = ", ".join(f"if(silent_{rule}, '{rule}', null)" for rule in SILENT_RULES)
     profile = df.groupBy("sn").agg(*silent_flags(), *extra)
-    return profile.withColumn("reasons", reasons).drop(*names)
+    kept = [c for c in profile.columns if not c.startswith("silent_")]
+    return profile.selectExpr(*kept, f"array_compact(array({flags})) as reasons")
 
 
 def abnormal_devices(df: DataFrame) -> DataFrame:
@@ -132,9 +132,9 @@ def invalid_column_profile(df: DataFrame, upper: float = 6000.0) -> DataFrame:
     """Per string column the share of readings that are missing, not positive or above ``upper``."""
     columns = [c for c in df.columns if c.startswith(("ipv", "vpv"))]
     shares = [
-        F.avg(
-            F.when(F.col(c).isNull() | (F.col(c) <= 0.0) | (F.col(c) > F.lit(upper)), 1.0).otherwise(0.0)
-        ).alias(c)
+        F.expr(
+            f"avg(if({c} is null or {c} <= 0.0D or {c} > {text.number(upper)}, 1.0D, 0.0D)) as {c}"
+        )
         for c in columns
     ]
     return df.agg(*shares).unpivot([], columns, "column_name", "invalid_share")

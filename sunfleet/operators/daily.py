@@ -12,8 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import functions as fn
-from ..schema import IAC, IPV, PHASES, STRINGS, VAC, VPV
+from ..functions import text
+from ..schema import IAC, IPV, VAC, VPV
 from .lookback import day_of
 
 
@@ -42,106 +42,96 @@ def tag(amplitude: float) -> str:
     return str(amplitude).replace(".", "_")
 
 
-def _count(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
-def _flag(condition: Column) -> Column:
+def _flag(condition: str) -> str:
     """1 if the condition holds in any row; a missing value counts as not holding."""
-    return F.max(F.when(condition, 1).otherwise(0))
+    return f"max(if({condition}, 1, 0))"
 
 
-def error_rate() -> Column:
-    status = fn.error_status()
-    return F.avg(F.when(status, 1.0).when(~status, 0.0)).alias("error_rate")
+def error_rate() -> dict[str, str]:
+    status = text.error_status()
+    return {"error_rate": f"avg(case when {status} then 1.0D when not {status} then 0.0D end)"}
 
 
-def error_occur() -> Column:
-    return _flag(fn.error_status()).alias("error_occur")
+def error_occur() -> dict[str, str]:
+    return {"error_occur": _flag(text.error_status())}
 
 
-def on_rate() -> Column:
-    return F.avg("switchstatus").alias("on_rate")
+def on_rate() -> dict[str, str]:
+    return {"on_rate": "avg(switchstatus)"}
 
 
-def ipv_peaks(t: Thresholds = DEFAULTS) -> list[Column]:
-    return [_flag(F.col(c) > F.lit(t.ipv_peak)).alias(f"{c}_peaks") for c in IPV]
+def ipv_peaks(t: Thresholds = DEFAULTS) -> dict[str, str]:
+    return {f"{c}_peaks": _flag(f"{c} > {text.number(t.ipv_peak)}") for c in IPV}
 
 
-def _exceedances(columns, rated, amplitudes, above: bool) -> list[Column]:
-    out = []
-    for c in columns:
-        for a in amplitudes:
-            limit = F.lit(rated * a)
-            hit = F.col(c) > limit if above else F.col(c) < limit
-            out.append(_count(hit).alias(f"{c}_{tag(a)}_{'spikes' if above else 'sags'}"))
-    return out
+def _exceedances(columns, rated, amplitudes, above: bool) -> dict[str, str]:
+    sign, kind = (">", "spikes") if above else ("<", "sags")
+    return {
+        f"{c}_{tag(a)}_{kind}": f"count_if({c} {sign} {text.number(rated * a)})"
+        for c in columns
+        for a in amplitudes
+    }
 
 
-def vpv_spikes(t: Thresholds = DEFAULTS) -> list[Column]:
+def vpv_spikes(t: Thresholds = DEFAULTS) -> dict[str, str]:
     return _exceedances(VPV, t.vpv_rated, t.vpv_spikes, True)
 
 
-def vpv_sags(t: Thresholds = DEFAULTS) -> list[Column]:
+def vpv_sags(t: Thresholds = DEFAULTS) -> dict[str, str]:
     return _exceedances(VPV, t.vpv_rated, t.vpv_sags, False)
 
 
-def vac_spikes(t: Thresholds = DEFAULTS) -> list[Column]:
+def vac_spikes(t: Thresholds = DEFAULTS) -> dict[str, str]:
     return _exceedances(VAC, t.vac_rated, t.vac_spikes, True)
 
 
-def vac_sags(t: Thresholds = DEFAULTS) -> list[Column]:
+def vac_sags(t: Thresholds = DEFAULTS) -> dict[str, str]:
     return _exceedances(VAC, t.vac_rated, t.vac_sags, False)
 
 
-def iac_peaks() -> list[Column]:
+def iac_peaks() -> dict[str, str]:
     """Readings above the device's rated current; the threshold is a column, not a constant."""
-    return [_count(F.col(c) > fn.rated_current("sn")).alias(f"{c}_peaks") for c in IAC]
+    return {f"{c}_peaks": f"count_if({c} > {text.rated_current('sn')})" for c in IAC}
 
 
-def mean_variance(columns: Iterable[str]) -> list[Column]:
+def mean_variance(columns: Iterable[str]) -> dict[str, str]:
     """Mean and sample variance of the readings with AC connected; one reading has no variance."""
-    out = []
+    out = {}
     for c in columns:
-        connected = F.when(fn.ac_connected(), F.col(c))
-        out.append(F.avg(connected).alias(f"{c}_mean"))
-        out.append(F.var_samp(connected).alias(f"{c}_variance"))
+        connected = f"if({text.ac_connected()}, {c}, null)"
+        out[f"{c}_mean"] = f"avg({connected})"
+        out[f"{c}_variance"] = f"var_samp({connected})"
     return out
 
 
-def midday_temperature(t: Thresholds = DEFAULTS) -> Column:
-    wanted = fn.ac_connected() & fn.in_hours("createtime", *t.midday)
-    return F.avg(F.when(wanted, F.col("temperature"))).alias("temperature_mean")
+def midday_temperature(t: Thresholds = DEFAULTS) -> dict[str, str]:
+    wanted = f"{text.ac_connected()} and {text.in_hours('createtime', *t.midday)}"
+    return {"temperature_mean": f"avg(if({wanted}, temperature, null))"}
 
 
-def energy(t: Thresholds = DEFAULTS) -> list[Column]:
+def energy(t: Thresholds = DEFAULTS) -> dict[str, str]:
     """First and last energy counter in the band (ties on time: by counter) and its on-rate."""
-    wanted = fn.in_hours("createtime", *t.energy_hours)
-    reading = F.when(wanted, F.struct("createtime", "eday"))
-    return [
-        F.min(reading)["eday"].alias("eday_start"),
-        F.max(reading)["eday"].alias("eday_end"),
-        F.avg(F.when(wanted, F.col("switchstatus"))).alias("on_rate_4_eday"),
-    ]
-
-
-def phase_imbalance() -> Column:
-    return F.avg(fn.phase_variance(VAC)).alias("vac_horizontal_variance")
+    wanted = text.in_hours("createtime", *t.energy_hours)
+    reading = f"if({wanted}, struct(createtime, eday), null)"
+    return {
+        "eday_start": f"min({reading}).eday",
+        "eday_end": f"max({reading}).eday",
+        "on_rate_4_eday": f"avg(if({wanted}, switchstatus, null))",
+    }
 
 
-def active_power_mean(t: Thresholds = DEFAULTS) -> Column:
-    wanted = fn.in_hours("createtime", *t.energy_hours)
-    return F.avg(F.when(wanted, F.col("activepower"))).alias("activepower_mean")
+def phase_imbalance() -> dict[str, str]:
+    return {"vac_horizontal_variance": f"avg({text.phase_variance(VAC)})"}
 
 
-def ratio_means(ratios: dict[str, Column]) -> list[Column]:
-    """Daily means of ratio expressions the caller defines."""
-    return [F.avg(expr).alias(name) for name, expr in ratios.items()]
+def active_power_mean(t: Thresholds = DEFAULTS) -> dict[str, str]:
+    wanted = text.in_hours("createtime", *t.energy_hours)
+    return {"activepower_mean": f"avg(if({wanted}, activepower, null))"}
 
 
 FAMILIES = {
-    "error": lambda t: [error_rate(), error_occur()],
-    "switch": lambda t: [on_rate()],
+    "error": lambda t: {**error_rate(), **error_occur()},
+    "switch": lambda t: on_rate(),
     "ipv_peaks": ipv_peaks,
     "iac_peaks": lambda t: iac_peaks(),
     "vpv_spikes": vpv_spikes,
@@ -150,18 +140,18 @@ FAMILIES = {
     "vac_sags": vac_sags,
     "vac": lambda t: mean_variance(VAC),
     "vpv": lambda t: mean_variance(VPV),
-    "temperature": lambda t: [midday_temperature(t)],
+    "temperature": midday_temperature,
     "energy": energy,
 }
 DRAFT_FAMILIES = {
-    "phase_imbalance": lambda t: [phase_imbalance()],
-    "power": lambda t: [active_power_mean(t)],
+    "phase_imbalance": lambda t: phase_imbalance(),
+    "power": active_power_mean,
 }
 
 
 @dataclass(frozen=True)
 class DailySpec:
-    """Which families to compute, with which thresholds and caller-defined ratios."""
+    """Which families to compute, with which thresholds and caller-defined ratios (name -> column)."""
 
     families: Sequence[str] = tuple(FAMILIES)
     thresholds: Thresholds = DEFAULTS
@@ -169,8 +159,11 @@ class DailySpec:
 
     def aggregates(self) -> list[Column]:
         known = {**FAMILIES, **DRAFT_FAMILIES}
-        out = [a for f in self.families for a in known[f](self.thresholds)]
-        return out + ratio_means(self.ratios)
+        chosen: dict[str, str] = {}
+        for family in self.families:
+            chosen.update(known[family](self.thresholds))
+        means = [F.avg(expression).alias(name) for name, expression in self.ratios.items()]
+        return [F.expr(a) for a in text.named(chosen)] + means
 
 
 EVERYTHING = DailySpec()

@@ -56,13 +56,13 @@ def pivot_days(
 ) -> DataFrame:
     """Day rows to one row per device: ``<column>_day_<j>``; day values are given, not discovered."""
     pivoted = days.groupBy(*keys).pivot("day_idx", list(range(time_range))).agg(
-        *[F.first(c).alias(c) for c in columns]
+        *[F.expr(f"first({c}) as {c}") for c in columns]
     )
     single = len(columns) == 1
-    return pivoted.select(
+    return pivoted.selectExpr(
         *keys,
         *[
-            F.col(f"{j}" if single else f"{j}_{c}").alias(f"{c}_day_{j}")
+            f"`{j}` as {c}_day_{j}" if single else f"`{j}_{c}` as {c}_day_{j}"
             for c in columns
             for j in range(time_range)
         ],
@@ -144,11 +144,9 @@ def find_infinite(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) ->
 
 def fill_scores_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing features (NULL or NaN) are 0 before scoring."""
-    return df.select(
-        *[
-            F.coalesce(F.nanvl(F.col(c), F.lit(0.0)), F.lit(0.0)).alias(c) if c in columns else F.col(c)
-            for c in df.columns
-        ]
+    wanted = set(columns)
+    return df.selectExpr(
+        *[f"coalesce(nanvl({c}, 0.0D), 0.0D) as {c}" if c in wanted else c for c in df.columns]
     )
 
 

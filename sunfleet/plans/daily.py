@@ -134,8 +134,8 @@ def matrix_from_days(
     time_range = max(j for _, _, j in columns) + 1
     sources = list(dict.fromkeys(column for _, column, _ in columns))
     wide = pivot_days(days, sources, time_range, keys)
-    out = wide.select(
-        *keys, *[F.col(f"{column}_day_{j}").cast("double").alias(safe_name(name)) for name, column, j in columns]
+    out = wide.selectExpr(
+        *keys, *[f"cast({column}_day_{j} as double) as {safe_name(name)}" for name, column, j in columns]
     )
     return out.toDF(*keys, *[name for name, _, _ in columns]) if dotted else out
 

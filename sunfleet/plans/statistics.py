@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lookback as lb
 from ..operators import reshape, series, special
+from ..session import written
 from .cleaning import clean_telemetry
 
 KEYS = series.KEYS
@@ -33,7 +34,12 @@ def all_features(
     rows: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False,
     interpolation: str = "linear", wavelet_peaks: bool = False,
 ) -> DataFrame:
-    """Every statistic per (sn, kind). The blocks are one row per device and metric when joined."""
+    """Every statistic per (sn, kind). The blocks are one row per device and metric when joined.
+
+    The readings of the window are written once with the columns in use: seven blocks read them.
+    """
+    needed = dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])
+    rows = written(rows.select(*needed), "window-rows")
     blocks = [
         series.moment_features(rows, columns),
         series.median_feature(rows, columns),
@@ -85,5 +91,5 @@ def window_statistics_long(
     long = all_features(rows, columns, tie_breakers, wavelet_peaks=wavelet_peaks)
     features = [c for c in long.columns if c not in KEYS]
     doubles = long.select(*KEYS, *[F.col(c).cast("double").alias(c) for c in features])
-    wide = widen(doubles, columns)
+    wide = written(widen(doubles, columns), "window-statistics")
     return reshape.impute_features(wide, [c for c in wide.columns if c != "sn"])

@@ -14,7 +14,7 @@ from ..operators import daily as d
 from ..operators import fleet
 from ..operators import lookback as lb
 from ..operators import reshape, sampling
-from ..session import cut_lineage
+from ..session import written
 from .daily import complete_days, matrix_columns, matrix_from_days, safe_name
 
 FAULT_OFFSETS = tuple(range(8))
@@ -108,7 +108,7 @@ def training_matrix(
         duplicate_ok=duplicate_ok,
     ).withColumn("inverter_type_list", fn.device_type_code())
     if materialize:
-        rows = cut_lineage(rows)
+        rows = written(rows, "training-matrix")
     return sampling.stratified_split(rows, "label", ["sn", "out_days", "copy"], test_size, seed)
 
 

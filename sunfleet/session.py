@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the time zone only; the others steer physical execution.
 # hugeMethodLimit: wide telemetry projections compile to methods above 8000 bytes of bytecode,
@@ -60,10 +60,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df):
-    """Reliable checkpoint in the shared folder: survives the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Cuts the lineage so that later stages, and reruns after lost executors, start from columnar
+    files instead of the whole plan. Later readers still prune columns and push filters.
+    """
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

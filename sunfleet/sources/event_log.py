@@ -8,74 +8,68 @@ values and devices that report nothing all occur, so every cleaning rule has wor
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ..functions.text import named
 from ..schema import CORE_COLUMNS, PHASES, STRINGS
 
 KILOWATTS = [10, 12, 15, 17, 20, 25, 30, 33, 36, 40]
 
 
-def device_id(user):
-    kilowatt = F.element_at(F.array(*[F.lit(k) for k in KILOWATTS]), (user % 10 + 1).cast("int"))
-    maker = F.when(user % 11 == 0, F.lit("XX")).otherwise(F.lit("TP"))
-    serial = F.lpad(user.cast("string"), 9, "0")
-    return F.concat(maker, kilowatt.cast("string"), F.lit("KBT000B"), serial), kilowatt
+def kilowatt(user: str) -> str:
+    return f"element_at(array({', '.join(str(k) for k in KILOWATTS)}), cast({user} % 10 + 1 as int))"
 
 
-def telemetry_from_events(events: DataFrame) -> DataFrame:
-    """The 34 core columns plus ``user_id`` and ``k`` (the number in ``props``)."""
-    u = F.col("user_id")
-    k = F.col("k")
-    sn, kilowatt = device_id(u)
+def device_id(user: str) -> str:
+    """SQL text of the device id of a user."""
+    return (
+        f"concat(if({user} % 11 = 0, 'XX', 'TP'), cast({kilowatt(user)} as string), 'KBT000B', "
+        f"lpad(cast({user} as string), 9, '0'))"
+    )
 
-    def dbl(column):
-        return column.cast("double")
 
-    out = {"sn": sn, "createtime": F.date_trunc("second", F.col("ts"))}
+def _metrics() -> dict[str, str]:
+    u, k = "user_id", "k"
+    out = {"sn": device_id(u), "createtime": "date_trunc('second', cast(ts as timestamp))"}
     for i in STRINGS:
-        level = dbl((k * 13 + 97 * i) % 131) * 10
+        level = f"cast(({k} * 13 + {97 * i}) % 131 as double) * 10"
         if i == 6:
-            level = F.when(u % 3 == 0, dbl((k * 13 + 582) % 15) * 10).otherwise(level)
-        out[f"vpv{i}"] = (
-            F.when(k % 29 == i, F.lit(6553.5)).when(u % 13 == 0, F.lit(0.0)).otherwise(level)
-        )
+            level = f"case when {u} % 3 = 0 then cast(({k} * 13 + 582) % 15 as double) * 10 else {level} end"
+        out[f"vpv{i}"] = f"case when {k} % 29 = {i} then 6553.5D when {u} % 13 = 0 then 0.0D else {level} end"
         out[f"ipv{i}"] = (
-            F.when(k % 31 == i, F.lit(6553.5))
-            .when(u % 17 == 0, F.lit(0.0))
-            .otherwise(dbl((k * 7 + 11 * i) % 120) / 10)
+            f"case when {k} % 31 = {i} then 6553.5D when {u} % 17 = 0 then 0.0D "
+            f"else cast(({k} * 7 + {11 * i}) % 120 as double) / 10 end"
         )
     for i in PHASES:
-        out[f"vac{i}"] = dbl(170 + (k * 17 + 5 * i) % 123)
-        out[f"iac{i}"] = F.when(u % 19 == 0, F.lit(0.0)).otherwise(dbl((k * 3 + 19 * i) % 61))
-    out["temperature"] = F.when(k % 37 == 0, F.lit(None).cast("double")).otherwise(
-        dbl(20 + (k * 11) % 45)
-    )
-    out["switchstatus"] = F.when(k % 7 == 0, F.lit(0.0)).otherwise(F.lit(1.0))
+        out[f"vac{i}"] = f"cast(170 + ({k} * 17 + {5 * i}) % 123 as double)"
+        out[f"iac{i}"] = f"case when {u} % 19 = 0 then 0.0D else cast(({k} * 3 + {19 * i}) % 61 as double) end"
+    out["temperature"] = f"case when {k} % 37 <> 0 then cast(20 + ({k} * 11) % 45 as double) end"
+    out["switchstatus"] = f"if({k} % 7 = 0, 0.0D, 1.0D)"
     out["errorcode"] = (
-        F.when(F.col("event_type") == "error", F.lit("17"))
-        .when((F.col("event_type") == "view") & (k % 10 == 0), F.lit(None).cast("string"))
-        .otherwise(F.lit("0"))
+        f"case when event_type = 'error' then '17' when event_type = 'view' and {k} % 10 = 0 then null else '0' end"
     )
-    out["eday"] = dbl((F.hour("ts") * 60 + F.minute("ts")) * kilowatt) / 20
-    out["etotal"] = dbl(F.col("event_id"))
-    out["ttotal"] = F.when(u % 23 == 0, F.lit(0.0)).otherwise(dbl(F.col("event_id") + 1))
-    out["activepower"] = dbl(k * 100)
-    out["pac"] = dbl(k * 100)
-    out["outputpowerratio"] = dbl(k)
-    out["inspectingpower"] = dbl(k * 200)
-    out["reactivepower"] = F.when(k % 5 == 0, dbl(16777216 - 10 * k)).otherwise(dbl(10 * k))
-    out["powerfactor"] = F.when(
-        (k % 9 == 0) & (k > 0), F.lit(65.536) - dbl(k) / 100
-    ).otherwise(dbl(k) / 100)
-    out["fac1"] = F.lit(50.0) + dbl(k % 5) / 100
-    out["fac2"] = F.lit(50.0) - dbl(k % 5) / 100
-
-    numbered = events.withColumn(
-        "k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    out["eday"] = f"cast((hour(ts) * 60 + minute(ts)) * {kilowatt(u)} as double) / 20"
+    out["etotal"] = "cast(event_id as double)"
+    out["ttotal"] = f"if({u} % 23 = 0, 0.0D, cast(event_id + 1 as double))"
+    out["activepower"] = f"cast({k} * 100 as double)"
+    out["pac"] = f"cast({k} * 100 as double)"
+    out["outputpowerratio"] = f"cast({k} as double)"
+    out["inspectingpower"] = f"cast({k} * 200 as double)"
+    out["reactivepower"] = f"cast(if({k} % 5 = 0, 16777216 - 10 * {k}, 10 * {k}) as double)"
+    out["powerfactor"] = (
+        f"case when {k} % 9 = 0 and {k} > 0 then 65.536D - cast({k} as double) / 100 else cast({k} as double) / 100 end"
     )
-    return numbered.select(
-        *[out[c].alias(c) for c in CORE_COLUMNS], F.col("user_id"), F.col("k")
+    out["fac1"] = f"50.0D + cast({k} % 5 as double) / 100"
+    out["fac2"] = f"50.0D - cast({k} % 5 as double) / 100"
+    return out
+
+
+def telemetry_from_events(events: DataFrame) -> DataFrame:
+    """The 34 core columns plus ``user_id`` and ``k`` (the number in ``props``)."""
+    metrics = _metrics()
+    numbered = events.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "cast(regexp_extract(props, '([0-9]+)', 1) as int) as k"
     )
+    return numbered.selectExpr(*named({c: metrics[c] for c in CORE_COLUMNS}), "user_id", "k")
 
 
 def read_telemetry(spark: SparkSession, folder: str) -> DataFrame:

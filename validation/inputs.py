@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunfleet.plans.cleaning import clean_telemetry
@@ -24,7 +24,7 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 def users(spark: SparkSession, sf: str) -> DataFrame:
     """(user_id, sn) of every device."""
     listed = events(spark, sf).select("user_id").distinct()
-    return listed.select("user_id", device_id(F.col("user_id"))[0].alias("sn"))
+    return listed.selectExpr("user_id", f"{device_id('user_id')} as sn")
 
 
 def fault_labels(spark: SparkSession, sf: str) -> DataFrame:

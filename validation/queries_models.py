@@ -12,7 +12,7 @@ from sunfleet.operators import daily as d
 from sunfleet.operators import fleet
 from sunfleet.plans import scoring as score_plan
 from sunfleet.plans import training as train_plan
-from sunfleet.session import cut_lineage, new_path
+from sunfleet.session import new_path, written
 from sunfleet.sources import writers
 
 from . import sql
@@ -170,13 +170,13 @@ def train_binary(spark, sf):
 @query("cross_validate", digits=6)
 def cross_validate(spark, sf):
     """Metrics of five folds and their mean (fold -1)."""
-    rows = cut_lineage(binary_matrix(spark, sf).drop("split"))
+    rows = written(binary_matrix(spark, sf).drop("split"), "matrix")
     features = train_plan.feature_columns(rows)
     per_fold = training.cross_validate(
         rows, features, ["sn", "out_days", "copy"],
         lambda train: training.train_multiclass(train, features, training.forest(42, trees=3)),
     )
-    per_fold = cut_lineage(per_fold)
+    per_fold = written(per_fold, "folds")
     return per_fold.unionByName(training.mean_metrics(per_fold).withColumn("fold", F.lit(-1)))
 
 

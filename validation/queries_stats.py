@@ -258,10 +258,11 @@ def ts_partial_autocorrelation(spark, sf):
 @query(
     "ts_time_reversal_asymmetry",
     stats_sql(
-        f"{r('avg(a2*a2*a1 - a1*x*x)', 'time_reversal_asymmetry_1')}, {r('avg(a4*a4*a2 - a2*x*x)', 'time_reversal_asymmetry_2')}",
+        f"{sql.rnd('avg(a2*a2*a1 - a1*x*x)', 'time_reversal_asymmetry_1', 3)}, "
+        f"{sql.rnd('avg(a4*a4*a2 - a2*x*x)', 'time_reversal_asymmetry_2', 3)}",
         "near", **_NEAR,
     ),
-    DIGITS,
+    3,
 )
 def ts_time_reversal_asymmetry(spark, sf):
     return _near(spark, sf, "reversal")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sunfleet.session import tune
 
@@ -19,17 +18,17 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Comparable column types: rounded doubles, bigint, text for days and times."""
     out = []
     for name, kind in df.dtypes:
-        c = F.col(f"`{name}`")
+        c = f"`{name}`"
         if kind in ("double", "float"):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            c = f"round(cast({c} as double), {digits}) + 0.0D"
         elif kind in ("int", "smallint", "tinyint", "boolean", "bigint"):
-            c = c.cast("bigint")
+            c = f"cast({c} as bigint)"
         elif kind == "date":
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = f"date_format({c}, 'yyyy-MM-dd')"
         elif kind.startswith("timestamp"):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        out.append(c.alias(name))
-    return df.select(*out)
+            c = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
+        out.append(f"{c} as `{name}`")
+    return df.selectExpr(*out)
 
 
 def query(name: str, oracle: str | None = None, digits: int = DIGITS):
