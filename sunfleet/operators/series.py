@@ -233,11 +233,10 @@ def binned_entropy(
     place = F.least(F.floor(fn_zero(F.try_divide(F.col("x") - F.col("lo"), width)) * bins), F.lit(bins - 1))
     counted = long.withColumn("bin", place).groupBy(*KEYS, "bin").agg(F.count(F.lit(1)).alias("c"))
     totals = F.sum("c")
-    # -sum p ln p = ln N - (sum c ln c) / N
-    return counted.groupBy(*KEYS).agg(
-        (F.log(totals.cast("double")) - F.sum(F.col("c") * F.log(F.col("c").cast("double"))) / totals)
-        .alias("binned_entropy")
-    )
+    # -sum p ln p = ln N - (sum c ln c) / N; never negative but for rounding
+    spread = F.sum(F.col("c") * F.log(F.col("c").cast("double"))) / totals
+    entropy = F.greatest(F.log(totals.cast("double")) - spread, F.lit(0.0))
+    return counted.groupBy(*KEYS).agg(entropy.alias("binned_entropy"))
 
 
 def indexed_long_without_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -46,7 +46,7 @@ def test_ricker_is_centred_and_sums_to_about_zero():
 
 def test_wavelet_peaks_of_separate_bumps():
     x = np.zeros(200)
-    for centre in (40, 100, 160):
+    for centre in (40.3, 100.2, 160.4):  # off the grid: an even kernel would see two equal maxima
         x += np.exp(-0.5 * ((np.arange(200) - centre) / 2.0) ** 2)
     counts = special.count_wavelet_peaks(x, [1, 3], 0, (0, 200), 200)
     assert counts[0] >= 3 and counts[1] >= 3

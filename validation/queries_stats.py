@@ -12,7 +12,7 @@ from sunfleet.plans import statistics as plan
 
 from . import sql
 from .inputs import clean, telemetry
-from .registry import query
+from .registry import TIE_SHIFT, query
 
 KINDS = ["vac1", "vpv2", "eday"]
 TIES = ("etotal",)
@@ -35,7 +35,7 @@ def stats_sql(select: str, source: str = "pos", tail: str = "group by sn, kind",
 
 
 def r(expr: str, name: str) -> str:
-    return sql.rnd(expr, name, DIGITS)
+    return sql.rnd(f"({expr}) + {TIE_SHIFT!r}::double", name, DIGITS)
 
 
 def window(spark, sf):
@@ -64,14 +64,14 @@ def lookback_window_time_capped(spark, sf):
     return rows.select("sn", "createtime", "etotal")
 
 
-@query("ts_mean_median", stats_sql(f"{r('avg(x)', 'mean')}, {r('median(x)', 'median')}"), DIGITS)
+@query("ts_mean_median", stats_sql(f"{r('avg(x)', 'mean')}, {r('median(x)', 'median')}"), DIGITS, TIE_SHIFT)
 def ts_mean_median(spark, sf):
     rows = window(spark, sf)
     means = series.moment_features(rows, KINDS).select("sn", "kind", "mean")
     return means.join(series.median_feature(rows, KINDS), ["sn", "kind"])
 
 
-@query("ts_min_max", stats_sql(f"{r('min(x)', 'min')}, {r('max(x)', 'max')}"), DIGITS)
+@query("ts_min_max", stats_sql(f"{r('min(x)', 'min')}, {r('max(x)', 'max')}"), DIGITS, TIE_SHIFT)
 def ts_min_max(spark, sf):
     return series.moment_features(window(spark, sf), KINDS).select("sn", "kind", "min", "max")
 
@@ -84,7 +84,7 @@ def ts_min_max(spark, sf):
             for f, n in [("var_samp", "variance"), ("stddev_samp", "std"), ("var_pop", "variance_pop"), ("stddev_pop", "std_pop")]
         )
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_variance_std(spark, sf):
     names = ["variance", "std", "variance_pop", "std_pop"]
@@ -102,7 +102,7 @@ _CENTRAL = {
         f"{r('m3/m2**1.5', 'skew')}, {r('case when n>2 then m3/m2**1.5*sqrt(n*(n-1))/(n-2) end', 'skew_adj')}",
         "central", "", **_CENTRAL,
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_skewness(spark, sf):
     return series.moment_features(window(spark, sf), KINDS).select("sn", "kind", "skew", "skew_adj")
@@ -115,7 +115,7 @@ def ts_skewness(spark, sf):
         f"{r('case when n>3 then (n-1)*((n+1)*(m4/m2**2-3)+6)/((n-2)*(n-3)) end', 'kurtosis_adj')}",
         "central", "", **_CENTRAL,
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_kurtosis(spark, sf):
     return series.moment_features(window(spark, sf), KINDS).select("sn", "kind", "kurtosis", "kurtosis_adj")
@@ -128,7 +128,7 @@ def _position(spark, sf, which):
 @query(
     "ts_first_location_max",
     stats_sql(r("arg_min(idx, (-x, idx))::double/any_value(n)", "first_location_of_maximum")),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_first_location_max(spark, sf):
     return _position(spark, sf, "first_location").drop("first_location_of_minimum")
@@ -137,7 +137,7 @@ def ts_first_location_max(spark, sf):
 @query(
     "ts_first_location_min",
     stats_sql(r("arg_min(idx, (x, idx))::double/any_value(n)", "first_location_of_minimum")),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_first_location_min(spark, sf):
     return _position(spark, sf, "first_location").drop("first_location_of_maximum")
@@ -148,7 +148,7 @@ def ts_first_location_min(spark, sf):
     stats_sql(
         "cast(count_if(x > mean) as bigint) as count_above_mean, cast(count_if(x < mean) as bigint) as count_below_mean"
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_count_above_below_mean(spark, sf):
     return _position(spark, sf, "mean_counts")
@@ -165,7 +165,7 @@ _ANGLE = "2*pi()*idx/n"
             for k in (1, 2)
         )
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_fft_coefficients(spark, sf):
     return _position(spark, sf, "fft")
@@ -185,7 +185,7 @@ _TREND = (
         f"{r('sqrt((1-coalesce(sxy/nullif(sqrt(sxx*syy), 0), 0)**2)*syy/sxx/(n-2))', 'trend_stderr')}",
         f"({_TREND})", "",
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_linear_trend(spark, sf):
     return _position(spark, sf, "trend").drop("trend_n")
@@ -211,7 +211,7 @@ _NEAR = {
 }
 
 
-@query("ts_abs_sum_changes", stats_sql(r("sum(abs(a1-x))", "absolute_sum_of_changes"), "near", **_NEAR), DIGITS)
+@query("ts_abs_sum_changes", stats_sql(r("sum(abs(a1-x))", "absolute_sum_of_changes"), "near", **_NEAR), DIGITS, TIE_SHIFT)
 def ts_abs_sum_changes(spark, sf):
     return _near(spark, sf, "changes")
 
@@ -227,7 +227,7 @@ _ACF = {
 @query(
     "ts_autocorrelation",
     stats_sql(", ".join(r(f"r{k}", f"autocorrelation_{k}") for k in (1, 2, 3)), "acf", "", **_ACF),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_autocorrelation(spark, sf):
     return _near(spark, sf, "autocorrelation").select(
@@ -247,7 +247,7 @@ _P2 = "((r2-r1*r1)/(1-r1*r1))"
         ),
         "acf", "", **_ACF,
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_partial_autocorrelation(spark, sf):
     return _near(spark, sf, "autocorrelation").select(
@@ -275,7 +275,7 @@ def ts_time_reversal_asymmetry(spark, sf):
         "cast(count_if(x>a1 and x>b1 and x>a2 and x>b2 and x>a3 and x>b3) as bigint) as number_peaks_3",
         "near", **_NEAR,
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_number_peaks(spark, sf):
     return _near(spark, sf, "peaks")
@@ -295,7 +295,7 @@ def ts_number_cwt_peaks(spark, sf):
         "(select *, min(x) over (partition by sn, kind) as lo, max(x) over (partition by sn, kind) as hi from pos)) "
         "group by sn, kind, bin)",
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_binned_entropy(spark, sf):
     return series.binned_entropy(window(spark, sf), KINDS)
@@ -308,7 +308,7 @@ def ts_binned_entropy(spark, sf):
             r(f"quantile_cont(x, {q})", quantiles.quantile_name(q)) for q in series.QUANTILES
         )
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_quantiles(spark, sf):
     return series.quantile_features(window(spark, sf), KINDS)
@@ -323,7 +323,7 @@ def ts_quantiles(spark, sf):
         ),
         "(select *, row_number() over (partition by sn, kind order by x) - 1 as place from pos)",
     ),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_quantiles_nearest(spark, sf):
     return series.quantile_features(window(spark, sf), KINDS, interpolation="nearest")
@@ -332,7 +332,7 @@ def ts_quantiles_nearest(spark, sf):
 @query(
     "ts_range_count",
     stats_sql("cast(count_if(x >= -1 and x < 1) as bigint) as range_count"),
-    DIGITS,
+    DIGITS, TIE_SHIFT,
 )
 def ts_range_count(spark, sf):
     return series.moment_features(window(spark, sf), KINDS).select("sn", "kind", "range_count")
@@ -350,7 +350,7 @@ def _wide_sql(kinds):
     cells = []
     for k in kinds:
         for name, _ in _WIDE:
-            cells.append(sql.rnd(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}", DIGITS))
+            cells.append(r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}"))
     per = ", ".join(f"({e})::double as {n}" for n, e in _WIDE)
     return sql.chain(
         f"select sn, {', '.join(cells)} from per group by sn",
@@ -358,7 +358,7 @@ def _wide_sql(kinds):
     )
 
 
-@query("window_statistics", _wide_sql(KINDS), DIGITS)
+@query("window_statistics", _wide_sql(KINDS), DIGITS, TIE_SHIFT)
 def window_statistics(spark, sf):
     """All statistics in one wide row per device; the check looks at one of every block."""
     wide = plan.window_statistics(telemetry(spark, sf), KINDS, 0, 20, tie_breakers=TIES, interpolation="linear")

@@ -14,13 +14,18 @@ ORACLES: dict[str, str] = {}
 DIGITS = 9
 
 
-def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+# Short decimals often lie exactly between two rounded values, where two engines may differ by one
+# unit; where that happens, both sides add this amount before they round to 6 digits.
+TIE_SHIFT = 3.7e-8
+
+
+def tidy(df: DataFrame, digits: int = DIGITS, shift: float = 0.0) -> DataFrame:
     """Comparable column types: rounded doubles, bigint, text for days and times."""
     out = []
     for name, kind in df.dtypes:
         c = f"`{name}`"
         if kind in ("double", "float"):
-            c = f"round(cast({c} as double), {digits}) + 0.0D"
+            c = f"round(cast({c} as double) + {shift!r}D, {digits}) + 0.0D"
         elif kind in ("int", "smallint", "tinyint", "boolean", "bigint"):
             c = f"cast({c} as bigint)"
         elif kind == "date":
@@ -31,12 +36,12 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.selectExpr(*out)
 
 
-def query(name: str, oracle: str | None = None, digits: int = DIGITS):
+def query(name: str, oracle: str | None = None, digits: int = DIGITS, shift: float = 0.0):
     """Register ``fn(spark, sf_dir)`` under ``name``; ``oracle`` is its SQL, if SQL can say it."""
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return tidy(fn(tune(spark), sf_dir), digits)
+            return tidy(fn(tune(spark), sf_dir), digits, shift)
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
