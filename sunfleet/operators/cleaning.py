@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import measured
 from ..schema import CORE_COLUMNS, CORE_NUMERIC, IAC, IPV, POWER, TEXT_COLUMNS, VPV
 
 DEVICE_PREFIX = "TP"
@@ -124,7 +125,7 @@ def abnormal_devices(df: DataFrame) -> DataFrame:
 
 def drop_abnormal_devices(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept readings, dropped devices). The anti join is planned by the size of the dropped list."""
-    dropped = abnormal_devices(df)
+    dropped = measured(abnormal_devices(df))
     return df.join(dropped.select("sn"), "sn", "left_anti"), dropped
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..session import measured
 
 
 def with_time(df: DataFrame, time: str = "createtime") -> DataFrame:
@@ -67,43 +68,43 @@ def date_spine(windows: DataFrame, keys: tuple[str, ...] = ("sn",)) -> DataFrame
 
 
 def time_windows(
-    df: DataFrame, days: int = 0, out_days: int = 30, newest_visible: dt.datetime | None = None
+    newest: DataFrame, days: int = 0, out_days: int = 30, newest_visible: dt.datetime | None = None
 ) -> DataFrame:
-    """(sn, start_time, end_time): ``out_days`` that end ``days`` before the newest reading."""
-    newest = F.max("createtime")
+    """``newest`` (sn, newest) to (sn, start_time, end_time): ``out_days`` that end ``days`` before."""
+    last = F.col("newest")
     if newest_visible is not None:
-        newest = F.least(newest, F.lit(newest_visible))
-    ends = df.groupBy("sn").agg(newest.alias("newest"))
-    end = F.col("newest") - F.make_dt_interval(F.lit(days))
-    return ends.select("sn", end.alias("end_time")).withColumn(
+        last = F.least(last, F.lit(newest_visible))
+    end = last - F.make_dt_interval(F.lit(days))
+    return newest.select("sn", end.alias("end_time")).withColumn(
         "start_time", F.col("end_time") - F.make_dt_interval(F.lit(out_days))
     )
 
 
+def inside_time_window(df: DataFrame, windows: DataFrame) -> DataFrame:
+    """``start_time <= createtime < end_time``; with ``days=0`` the newest reading is excluded."""
+    t = F.col("createtime")
+    joined = df.join(windows, "sn").filter((t >= F.col("start_time")) & (t < F.col("end_time")))
+    return joined.select(*df.columns)
+
+
 def rows_in_time_window(
     df: DataFrame, days: int = 0, out_days: int = 30, newest_visible: dt.datetime | None = None
 ) -> DataFrame:
-    """``start_time <= createtime < end_time``; with ``days=0`` the newest reading is excluded."""
-    t = F.col("createtime")
-    windows = time_windows(df, days, out_days, newest_visible)
-    return (
-        df.join(windows, "sn")
-        .filter((t >= F.col("start_time")) & (t < F.col("end_time")))
-        .drop("start_time", "end_time")
-    )
+    newest = measured(df.groupBy("sn").agg(F.max("createtime").alias("newest")))
+    return inside_time_window(df, time_windows(newest, days, out_days, newest_visible))
 
 
 def min_rows_gate(df: DataFrame, min_rows: int = 2000) -> tuple[DataFrame, DataFrame]:
     """(readings of devices with enough rows, skipped devices)."""
     counts = df.groupBy("sn").agg(F.count(F.lit(1)).alias("row_count"))
-    skipped = counts.filter(F.col("row_count") < min_rows)
+    skipped = measured(counts.filter(F.col("row_count") < min_rows))
     return df.join(skipped.select("sn"), "sn", "left_anti"), skipped
 
 
 def min_days_gate(df: DataFrame, min_days: int = 15) -> tuple[DataFrame, DataFrame]:
     """(readings of devices seen on enough days, skipped devices)."""
     counts = df.groupBy("sn").agg(F.countDistinct(day_of()).alias("day_count"))
-    skipped = counts.filter(F.col("day_count") < min_days)
+    skipped = measured(counts.filter(F.col("day_count") < min_days))
     return df.join(skipped.select("sn"), "sn", "left_anti"), skipped
 
 
@@ -121,4 +122,5 @@ def last_full_day(df: DataFrame, min_times: int = 100) -> DataFrame:
 
 def last_full_day_join(df: DataFrame, min_times: int = 100) -> DataFrame:
     """All readings of each device's last full day."""
-    return df.withColumn("date", day_of()).join(last_full_day(df, min_times), ["sn", "date"])
+    wanted = measured(last_full_day(df, min_times))
+    return df.withColumn("date", day_of()).join(wanted, ["sn", "date"])

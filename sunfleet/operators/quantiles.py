@@ -31,18 +31,18 @@ def group_quantiles(
     keys = list(keys)
     present = long.filter(F.col(value).isNotNull())
     counts = present.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    ranges = present.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    # every branch below uses (keys, _v, _n), so all of them read the one shuffle of ``counts``
+    totals = counts.groupBy(*keys).agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
+    )
     place = fn.ratio_or_zero(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    binned = counts.join(ranges, keys).withColumn(
+    binned = counts.join(totals, keys).withColumn(
         "_bin", F.least(F.floor(place * bins), F.lit(bins - 1))
     )
     per_bin = binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_bn"))
     ordered = Window.partitionBy(*keys).orderBy("_bin")  # at most ``bins`` rows per key
     offsets = per_bin.select(
-        *keys,
-        "_bin",
-        (F.sum("_bn").over(ordered) - F.col("_bn")).alias("_before"),
-        F.sum("_bn").over(Window.partitionBy(*keys)).alias("_total"),
+        *keys, "_bin", (F.sum("_bn").over(ordered) - F.col("_bn")).alias("_before")
     )
     inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
     ranks = binned.withColumn("_upto", F.sum("_n").over(inside)).join(offsets, [*keys, "_bin"])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..session import measured
 from .ranking import ranked
 
 
@@ -109,7 +110,7 @@ def consecutive_days_sample(
     df: DataFrame, devices: DataFrame, days: int = 20, months: Sequence[str] | None = None, seed: int = 0
 ) -> DataFrame:
     """Readings of the listed devices on the sampled days."""
-    chosen = consecutive_days(df, days, months, seed).select("date")
+    chosen = measured(consecutive_days(df, days, months, seed).select("date"), "days")
     return (
         df.join(devices.select("sn").distinct(), "sn", "left_semi")
         .withColumn("date", F.to_date("createtime"))

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from .quantiles import group_quantiles, quantile_name
 
 KEYS = ["sn", "kind"]
@@ -29,33 +30,38 @@ def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return doubles.unpivot(["sn", "createtime"], list(columns), "kind", "value")
 
 
-def moment_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Order-free statistics per (sn, kind), sample and population forms side by side."""
-    x = F.col("value")
-    n = F.col("length")
-    out = long_form(df, columns).groupBy(*KEYS).agg(
-        F.count(x).alias("length"),
-        F.avg(x).alias("mean"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-        F.var_samp(x).alias("variance"),
-        F.stddev_samp(x).alias("std"),
-        F.var_pop(x).alias("variance_pop"),
-        F.stddev_pop(x).alias("std_pop"),
-        F.skewness(x).alias("skew"),
-        F.kurtosis(x).alias("kurtosis"),
-        F.count_if((x >= -1.0) & (x < 1.0)).alias("range_count"),
-    )
-    # bias-corrected forms; undefined for fewer than 3 (skew) or 4 (kurtosis) readings
-    skew_factor = F.try_divide(F.sqrt(n * (n - 1).cast("double")), n - 2)
-    kurtosis = F.try_divide(
-        (n - 1) * ((n + 1) * F.col("kurtosis") + 6.0), ((n - 2) * (n - 3)).cast("double")
-    )
-    return out.withColumn("skew_adj", F.when(n > 2, F.col("skew") * skew_factor)).withColumn(
-        "kurtosis_adj", F.when(n > 3, kurtosis)
+def moment_aggregates(x: str) -> list[Column]:
+    """Order-free statistics, sample and population forms side by side."""
+    known = {
+        "length": f"count({x})",
+        "mean": f"avg({x})",
+        "min": f"min({x})",
+        "max": f"max({x})",
+        "variance": f"var_samp({x})",
+        "std": f"stddev_samp({x})",
+        "variance_pop": f"var_pop({x})",
+        "std_pop": f"stddev_pop({x})",
+        "skew": f"skewness({x})",
+        "kurtosis": f"kurtosis({x})",
+        "range_count": f"count_if({x} >= -1.0D and {x} < 1.0D)",
+    }
+    return [F.expr(a) for a in text.named(known)]
+
+
+def _finish_moments(df: DataFrame) -> DataFrame:
+    """Bias-corrected forms; undefined for fewer than 3 (skew) or 4 (kurtosis) readings."""
+    return df.selectExpr(
+        "*",
+        "if(length > 2, skew * try_divide(sqrt(length * cast(length - 1 as double)), length - 2), null) as skew_adj",
+        "if(length > 3, try_divide((length - 1) * ((length + 1) * kurtosis + 6.0D), "
+        "cast((length - 2) * (length - 3) as double)), null) as kurtosis_adj",
     )
 
 
+def moment_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return _finish_moments(long_form(df, columns).groupBy(*KEYS).agg(*moment_aggregates("value")))
+
+
 def quantile_features(
     df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] = QUANTILES,
     interpolation: str = "linear",
@@ -73,65 +79,49 @@ def indexed_rows(
 ) -> DataFrame:
     """Rows with their position ``idx`` in the device's series, its length ``n``, and per metric
     the device's mean, smallest and largest value."""
-    columns = list(columns)
-    order = [F.desc(c) if descending else F.asc(c) for c in ("createtime", *tie_breakers)]
-    rows = df.withColumn("_hour", F.date_trunc("hour", F.col("createtime")))
+    way = "desc" if descending else "asc"
+    order = ", ".join(f"{c} {way}" for c in ("createtime", *tie_breakers))
+    needed = dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])
+    rows = df.selectExpr(*needed, "date_trunc('hour', createtime) as _hour")
+    totals = {
+        f"{c}__{name}": f"{call}({c})"
+        for c in columns
+        for name, call in (("sum", "sum"), ("cnt", "count"), ("lo", "min"), ("hi", "max"))
+    }
     hours = rows.groupBy("sn", "_hour").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(c).alias(f"{c}__sum") for c in columns],
-        *[F.count(c).alias(f"{c}__cnt") for c in columns],
-        *[F.min(c).alias(f"{c}__lo") for c in columns],
-        *[F.max(c).alias(f"{c}__hi") for c in columns],
+        F.expr("count(1) as _n"), *[F.expr(a) for a in text.named(totals)]
     )
     # one row per device-hour: bounded by the calendar, not by the number of readings
-    device = Window.partitionBy("sn")
-    hour = F.desc("_hour") if descending else F.asc("_hour")
-    before = device.orderBy(hour).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hours.select(
-        "sn",
-        "_hour",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(device).alias("n"),
-        *[
-            F.try_divide(F.sum(f"{c}__sum").over(device), F.sum(f"{c}__cnt").over(device)).alias(
-                f"{c}__mean"
-            )
-            for c in columns
-        ],
-        *[F.min(f"{c}__lo").over(device).alias(f"{c}__min") for c in columns],
-        *[F.max(f"{c}__hi").over(device).alias(f"{c}__max") for c in columns],
+    device = "over (partition by sn)"
+    before = f"over (partition by sn order by _hour {way} rows between unbounded preceding and 1 preceding)"
+    offsets = {"_before": f"coalesce(sum(_n) {before}, 0)", "n": f"sum(_n) {device}"}
+    for c in columns:
+        offsets[f"{c}__mean"] = f"try_divide(sum({c}__sum) {device}, sum({c}__cnt) {device})"
+        offsets[f"{c}__min"] = f"min({c}__lo) {device}"
+        offsets[f"{c}__max"] = f"max({c}__hi) {device}"
+    placed = hours.selectExpr("sn", "_hour", *text.named(offsets))
+    numbered = rows.selectExpr(
+        "*", f"row_number() over (partition by sn, _hour order by {order}) - 1 as _local"
     )
-    inside = Window.partitionBy("sn", "_hour").orderBy(*order)
-    numbered = rows.withColumn("_local", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, ["sn", "_hour"]).withColumn(
-        "idx", F.col("_before") + F.col("_local")
+    return numbered.join(placed, ["sn", "_hour"]).selectExpr("*", "_before + _local as idx")
+
+
+def _metrics(columns: Sequence[str]) -> str:
+    """One output row per metric: kind, value, and the device's mean and range of the metric."""
+    structs = ", ".join(
+        f"struct('{c}' as kind, cast({c} as double) as x, {c}__mean as mean, "
+        f"cast({c}__min as double) as lo, cast({c}__max as double) as hi)"
+        for c in columns
     )
+    return f"inline(array({structs}))"
 
 
 def indexed_long(
-    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False,
-    extra: Sequence[Column] = (),
+    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
-    """(sn, kind, idx, n, x, mean, lo, hi) per reading and metric."""
+    """(sn, idx, n, kind, x, mean, lo, hi) per reading and metric."""
     wide = indexed_rows(df, columns, tie_breakers, descending)
-    return wide.select("sn", "idx", "n", *extra, _metrics(columns))
-
-
-def _metrics(columns: Sequence[str]) -> Column:
-    return F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("kind"),
-                    F.col(c).cast("double").alias("x"),
-                    F.col(f"{c}__mean").alias("mean"),
-                    F.col(f"{c}__min").cast("double").alias("lo"),
-                    F.col(f"{c}__max").cast("double").alias("hi"),
-                )
-                for c in columns
-            ]
-        )
-    )
+    return wide.selectExpr("sn", "idx", "n", _metrics(columns))
 
 
 def chunked(df: DataFrame, chunk: int = CHUNK, halo: int = HALO) -> DataFrame:
@@ -139,13 +129,12 @@ def chunked(df: DataFrame, chunk: int = CHUNK, halo: int = HALO) -> DataFrame:
 
     At most ``2 * halo`` extra rows per ``chunk`` rows.
     """
-    own = F.floor(F.col("idx") / chunk)
-    place = F.col("idx") % chunk
-    first, last = place < halo, place >= chunk - halo
-    targets = F.array_compact(
-        F.array(own, F.when(first & (own > 0), own - 1), F.when(last, own + 1))
+    own, place = f"floor(idx / {chunk})", f"idx % {chunk}"
+    targets = (
+        f"array_compact(array({own}, if({place} < {halo} and {own} > 0, {own} - 1, null), "
+        f"if({place} >= {chunk - halo}, {own} + 1, null)))"
     )
-    return df.withColumn("chunk", F.explode(targets)).withColumn("core", F.col("chunk") == own)
+    return df.selectExpr("*", f"explode({targets}) as chunk").selectExpr("*", f"chunk = {own} as core")
 
 
 def with_neighbours(
@@ -154,159 +143,161 @@ def with_neighbours(
 ) -> DataFrame:
     """Long rows with ``b1..`` (values before) and ``a1..`` (values after); NULL past the ends."""
     rows = chunked(indexed_rows(df, columns, tie_breakers, descending), chunk, max(before, after, 1))
-    packed = rows.repartition("sn", "chunk").select(
+    packed = rows.repartition("sn", "chunk").selectExpr(
         "sn", "chunk", "core", "idx", "n", _metrics(columns)
     )
     # the sort is local: rows of a chunk already share a partition
-    w = Window.partitionBy("sn", "chunk", "kind").orderBy("idx")
-    near = packed.select(
+    w = "over (partition by sn, chunk, kind order by idx)"
+    near = packed.selectExpr(
         "*",
-        *[F.lag("x", i).over(w).alias(f"b{i}") for i in range(1, before + 1)],
-        *[F.lead("x", i).over(w).alias(f"a{i}") for i in range(1, after + 1)],
+        *[f"lag(x, {i}) {w} as b{i}" for i in range(1, before + 1)],
+        *[f"lead(x, {i}) {w} as a{i}" for i in range(1, after + 1)],
     )
     return near.filter("core").drop("chunk", "core")
 
 
-def position_aggregates() -> dict[str, list[Column]]:
-    """Statistics that need positions, but no neighbours."""
-    x, idx, n = F.col("x"), F.col("idx").cast("double"), F.col("n").cast("double")
-    angle = F.lit(2.0) * F.pi() * idx / n
-    fft = []
-    for k in (1, 2):
-        fft += [
-            F.sum(x * F.cos(angle * k)).alias(f"fft_real_{k}"),
-            (-F.sum(x * F.sin(angle * k))).alias(f"fft_imag_{k}"),
-        ]
-    return {
-        "first_location": [
-            (F.min(F.when(x == F.col("hi"), idx)) / F.max(n)).alias("first_location_of_maximum"),
-            (F.min(F.when(x == F.col("lo"), idx)) / F.max(n)).alias("first_location_of_minimum"),
-        ],
-        "mean_counts": [
-            F.count_if(x > F.col("mean")).alias("count_above_mean"),
-            F.count_if(x < F.col("mean")).alias("count_below_mean"),
-        ],
-        "fft": fft,
-        "trend": [
-            F.regr_slope(x, idx).alias("trend_slope"),
-            F.regr_intercept(x, idx).alias("trend_intercept"),
-            F.regr_sxx(x, idx).alias("_sxx"),
-            F.regr_syy(x, idx).alias("_syy"),
-            F.regr_sxy(x, idx).alias("_sxy"),
-            F.count(x).alias("_n"),
-        ],
-    }
+def _peak(support: int) -> str:
+    higher = [f"x > b{i} and x > a{i}" for i in range(1, support + 1)]
+    return f"count_if({' and '.join(higher)})"
 
 
-def position_features(
-    df: DataFrame, columns: Sequence[str], which: Sequence[str] = ("first_location", "mean_counts", "fft", "trend"),
-    tie_breakers: Sequence[str] = (), descending: bool = False,
-) -> DataFrame:
-    known = position_aggregates()
-    aggregates = [a for w in which for a in known[w]]
-    out = indexed_long(df, columns, tie_breakers, descending).groupBy(*KEYS).agg(*aggregates)
-    return _finish_trend(out) if "trend" in which else out
+def _bin(bins: int) -> str:
+    return f"least(floor(coalesce(try_divide(x - lo, hi - lo), 0.0D) * {bins}), {bins - 1})"
 
 
-def _finish_trend(df: DataFrame) -> DataFrame:
-    """Correlation and standard error of the slope; a constant series has correlation 0."""
-    sxx, syy, sxy, n = (F.col(c) for c in ("_sxx", "_syy", "_sxy", "_n"))
-    r = F.when(n > 1, fn_zero(F.try_divide(sxy, F.sqrt(sxx * syy))))
-    residual = F.greatest(F.lit(0.0), F.lit(1.0) - F.col("trend_rvalue") * F.col("trend_rvalue"))
-    stderr = F.when(
-        n > 2, F.sqrt(F.try_divide(residual * syy, sxx) / F.greatest(n - 2, F.lit(1)))
-    )
-    out = df.withColumn("trend_rvalue", r).withColumn("trend_stderr", stderr)
-    return out.withColumnRenamed("_n", "trend_n").drop("_sxx", "_syy", "_sxy")
+_ANGLE = "2.0D * pi() * idx / n"
 
+# Statistics that need positions, but no neighbours.
+POSITION = {
+    "first_location": {
+        "first_location_of_maximum": "min(if(x = hi, idx, null)) / cast(max(n) as double)",
+        "first_location_of_minimum": "min(if(x = lo, idx, null)) / cast(max(n) as double)",
+    },
+    "mean_counts": {
+        "count_above_mean": "count_if(x > mean)",
+        "count_below_mean": "count_if(x < mean)",
+    },
+    "fft": {
+        name: call
+        for k in (1, 2)
+        for name, call in (
+            (f"fft_real_{k}", f"sum(x * cos({k} * ({_ANGLE})))"),
+            (f"fft_imag_{k}", f"-sum(x * sin({k} * ({_ANGLE})))"),
+        )
+    },
+    "trend": {
+        "trend_slope": "regr_slope(x, cast(idx as double))",
+        "trend_intercept": "regr_intercept(x, cast(idx as double))",
+        "_sxx": "regr_sxx(x, cast(idx as double))",
+        "_syy": "regr_syy(x, cast(idx as double))",
+        "_sxy": "regr_sxy(x, cast(idx as double))",
+        "trend_n": "count(x)",
+    },
+    "entropy": {f"_bin_{b}": f"count_if({_bin(BINS)} = {b})" for b in range(BINS)},
+}
+
+# Statistics of a value and its neighbours in time.
+NEIGHBOUR = {
+    "changes": {"absolute_sum_of_changes": "sum(abs(a1 - x))"},
+    "autocorrelation": {
+        **{f"_c{k}": f"sum((x - mean) * (a{k} - mean))" for k in (1, 2, 3)},
+        "_c0": "sum((x - mean) * (x - mean))",
+        "_n": "max(n)",
+    },
+    "reversal": {
+        f"time_reversal_asymmetry_{k}": f"avg(a{2 * k} * a{2 * k} * a{k} - a{k} * x * x)" for k in (1, 2)
+    },
+    "peaks": {f"number_peaks_{s}": _peak(s) for s in (1, 3)},
+}
+NEIGHBOURS = tuple(NEIGHBOUR)
 
-def fn_zero(column: Column) -> Column:
-    return F.coalesce(column, F.lit(0.0))
 
+def _finish_trend(df: DataFrame) -> DataFrame:
+    """Correlation and standard error of the slope; a constant series has correlation 0."""
+    return df.selectExpr(
+        "*", "if(trend_n > 1, coalesce(try_divide(_sxy, sqrt(_sxx * _syy)), 0.0D), null) as trend_rvalue"
+    ).selectExpr(
+        "*",
+        "if(trend_n > 2, sqrt(try_divide(greatest(0.0D, 1.0D - trend_rvalue * trend_rvalue) * _syy, _sxx) "
+        "/ greatest(trend_n - 2, 1)), null) as trend_stderr",
+    ).drop("_sxx", "_syy", "_sxy")
 
-def binned_entropy(
-    df: DataFrame, columns: Sequence[str], bins: int = BINS
-) -> DataFrame:
+
+def _finish_entropy(df: DataFrame) -> DataFrame:
     """Entropy of a histogram with equal-width bins between smallest and largest value."""
-    long = indexed_long_without_order(df, columns)
-    width = F.col("hi") - F.col("lo")
-    place = F.least(F.floor(fn_zero(F.try_divide(F.col("x") - F.col("lo"), width)) * bins), F.lit(bins - 1))
-    counted = long.withColumn("bin", place).groupBy(*KEYS, "bin").agg(F.count(F.lit(1)).alias("c"))
-    totals = F.sum("c")
+    names = [f"_bin_{b}" for b in range(BINS)]
+    total = f"cast({' + '.join(names)} as double)"
     # -sum p ln p = ln N - (sum c ln c) / N; never negative but for rounding
-    spread = F.sum(F.col("c") * F.log(F.col("c").cast("double"))) / totals
-    entropy = F.greatest(F.log(totals.cast("double")) - spread, F.lit(0.0))
-    return counted.groupBy(*KEYS).agg(entropy.alias("binned_entropy"))
+    spread = " + ".join(f"if({c} > 0, {c} * ln(cast({c} as double)), 0.0D)" for c in names)
+    entropy = f"greatest(ln({total}) - try_divide({spread}, {total}), 0.0D) as binned_entropy"
+    return df.selectExpr("*", entropy).drop(*names)
 
 
-def indexed_long_without_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(sn, kind, x, lo, hi): the device's range joined to its readings, no positions."""
-    ranges = df.groupBy("sn").agg(
-        *[F.min(c).alias(f"{c}__min") for c in columns],
-        *[F.max(c).alias(f"{c}__max") for c in columns],
-        *[F.avg(c).alias(f"{c}__mean") for c in columns],
-    )
-    return df.select("sn", *columns).join(ranges, "sn").select("sn", _metrics(columns)).filter(
-        F.col("x").isNotNull()
+def _finish_autocorrelation(df: DataFrame) -> DataFrame:
+    """Autocorrelation at lags 1-3 and, by the Levinson-Durbin recursion, partial autocorrelation.
+
+    NULL for a constant series and for lags the series is too short for.
+    """
+    scaled = [
+        f"if(_n > {k}, try_divide(_c{k} * _n, _c0 * (_n - {k})), null) as autocorrelation_{k}"
+        for k in (1, 2, 3)
+    ]
+    r1, r2, r3 = (f"autocorrelation_{k}" for k in (1, 2, 3))
+    p2 = "partial_autocorrelation_2"
+    p21 = f"({r1} - {p2} * {r1})"
+    return (
+        df.selectExpr("*", *scaled)
+        .selectExpr(
+            "*", f"{r1} as partial_autocorrelation_1",
+            f"try_divide({r2} - {r1} * {r1}, 1.0D - {r1} * {r1}) as {p2}",
+        )
+        .selectExpr(
+            "*",
+            f"try_divide({r3} - {p21} * {r2} - {p2} * {r1}, 1.0D - {p21} * {r1} - {p2} * {r2}) "
+            "as partial_autocorrelation_3",
+        )
+        .drop("_c0", "_c1", "_c2", "_c3", "_n")
     )
 
 
-def neighbour_aggregates() -> dict[str, list[Column]]:
-    """Statistics of a value and its neighbours in time."""
-    x = F.col("x")
-    centred = x - F.col("mean")
-    out = {"changes": [F.sum(F.abs(F.col("a1") - x)).alias("absolute_sum_of_changes")]}
-    out["autocorrelation"] = [
-        *[F.sum(centred * (F.col(f"a{k}") - F.col("mean"))).alias(f"_c{k}") for k in (1, 2, 3)],
-        F.sum(centred * centred).alias("_c0"),
-        F.max("n").alias("_n"),
-    ]
-    out["reversal"] = [
-        F.avg(
-            F.col(f"a{2 * k}") * F.col(f"a{2 * k}") * F.col(f"a{k}") - F.col(f"a{k}") * x * x
-        ).alias(f"time_reversal_asymmetry_{k}")
-        for k in (1, 2)
-    ]
+FINISH = {
+    "trend": _finish_trend, "entropy": _finish_entropy, "autocorrelation": _finish_autocorrelation,
+    "moments": _finish_moments,
+}
 
-    def peak(support):
-        hit = F.lit(True)
-        for i in range(1, support + 1):
-            hit = hit & (x > F.col(f"b{i}")) & (x > F.col(f"a{i}"))
-        return F.count_if(hit).alias(f"number_peaks_{support}")
 
-    out["peaks"] = [peak(1), peak(3)]
+def series_features(
+    df: DataFrame, columns: Sequence[str], which: Sequence[str], tie_breakers: Sequence[str] = (),
+    descending: bool = False, chunk: int = CHUNK,
+) -> DataFrame:
+    """The chosen statistics per (sn, kind) in one pass; neighbours are computed only if needed."""
+    if any(w in NEIGHBOUR for w in which):
+        rows = with_neighbours(df, columns, tie_breakers, descending, chunk)
+    else:
+        rows = indexed_long(df, columns, tie_breakers, descending)
+    known = {**POSITION, **NEIGHBOUR}
+    aggregates = []
+    for w in which:
+        aggregates += moment_aggregates("x") if w == "moments" else [F.expr(a) for a in text.named(known[w])]
+    out = rows.groupBy(*KEYS).agg(*aggregates)
+    for w in which:
+        out = FINISH.get(w, lambda frame: frame)(out)
     return out
 
 
-NEIGHBOURS = ("changes", "autocorrelation", "reversal", "peaks")
+def position_features(
+    df: DataFrame, columns: Sequence[str], which: Sequence[str] = tuple(POSITION),
+    tie_breakers: Sequence[str] = (), descending: bool = False,
+) -> DataFrame:
+    return series_features(df, columns, which, tie_breakers, descending)
 
 
 def neighbour_features(
     df: DataFrame, columns: Sequence[str], which: Sequence[str] = NEIGHBOURS,
     tie_breakers: Sequence[str] = (), descending: bool = False, chunk: int = CHUNK,
 ) -> DataFrame:
-    known = neighbour_aggregates()
-    rows = with_neighbours(df, columns, tie_breakers, descending, chunk)
-    out = rows.groupBy(*KEYS).agg(*[a for w in which for a in known[w]])
-    return _finish_autocorrelation(out) if "autocorrelation" in which else out
+    return series_features(df, columns, which, tie_breakers, descending, chunk)
 
 
-def _finish_autocorrelation(df: DataFrame) -> DataFrame:
-    """Autocorrelation at lags 1-3 and, by the Levinson-Durbin recursion, partial autocorrelation.
-
-    NULL for a constant series and for lags the series is too short for.
-    """
-    n = F.col("_n")
-    for k in (1, 2, 3):
-        scaled = F.try_divide(F.col(f"_c{k}") * n, F.col("_c0") * (n - k))
-        df = df.withColumn(f"autocorrelation_{k}", F.when(n > k, scaled))
-    r1, r2, r3 = (F.col(f"autocorrelation_{k}") for k in (1, 2, 3))
-    df = df.withColumn("partial_autocorrelation_1", r1)
-    df = df.withColumn("partial_autocorrelation_2", F.try_divide(r2 - r1 * r1, 1.0 - r1 * r1))
-    p2 = F.col("partial_autocorrelation_2")
-    p21 = r1 - p2 * r1
-    df = df.withColumn(
-        "partial_autocorrelation_3",
-        F.try_divide(r3 - p21 * r2 - p2 * r1, 1.0 - p21 * r1 - p2 * r2),
-    )
-    return df.drop("_c0", "_c1", "_c2", "_c3", "_n")
+def binned_entropy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return series_features(df, columns, ["entropy"])

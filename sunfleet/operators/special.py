@@ -81,9 +81,15 @@ def trend_p_value(r: Column, n: Column) -> Column:
     return _trend_p(r, n)
 
 
-def linear_trend(df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False) -> DataFrame:
-    out = series.position_features(df, columns, ["trend"], tie_breakers, descending)
-    return out.withColumn("trend_pvalue", trend_p_value(F.col("trend_rvalue"), F.col("trend_n"))).drop("trend_n")
+def with_trend_p_value(df: DataFrame) -> DataFrame:
+    p = trend_p_value(F.col("trend_rvalue"), F.col("trend_n"))
+    return df.withColumn("trend_pvalue", p).drop("trend_n")
+
+
+def linear_trend(
+    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False
+) -> DataFrame:
+    return with_trend_p_value(series.position_features(df, columns, ["trend"], tie_breakers, descending))
 
 
 def ricker(points: int, width: float) -> np.ndarray:

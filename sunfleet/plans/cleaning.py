@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from .. import functions as fn  # noqa: F401
 from ..operators import cleaning as c
+from ..operators import lookback as lb
+from ..session import measured
 
 
 def clean_telemetry(df: DataFrame, cast: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -16,6 +20,23 @@ def clean_telemetry(df: DataFrame, cast: bool = True) -> tuple[DataFrame, DataFr
     variant for input whose numeric columns already are doubles.
     """
     rows = c.standard_rows(df, cast)
-    repaired = c.repair_sensors(c.dedupe_rows(rows))
-    dropped = c.abnormal_devices(c.repair_sensors(rows))
-    return repaired.join(dropped.select("sn"), "sn", "left_anti"), dropped
+    dropped = measured(c.abnormal_devices(c.repair_sensors(rows)))
+    kept = rows.join(dropped.select("sn"), "sn", "left_anti").select(*rows.columns)
+    return c.repair_sensors(c.dedupe_rows(kept)), dropped
+
+
+def clean_windows(
+    df: DataFrame, newest: Column, windows_of: Callable[[DataFrame], DataFrame],
+    inside: Callable[[DataFrame, DataFrame], DataFrame],
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clean readings inside the windows, windows of kept devices, dropped devices).
+
+    One narrow aggregate over all readings yields the device test and the newest reading; only
+    the readings inside the windows go through the wide distinct. ``windows_of`` turns
+    (sn, ``newest``) into windows, ``inside`` joins and filters.
+    """
+    rows = lb.with_time(c.standard_rows(df))
+    profile = measured(c.device_profile(c.repair_sensors(rows), newest))
+    windows = windows_of(profile.filter(F.size("reasons") == 0).drop("reasons"))
+    clean = c.repair_sensors(c.dedupe_rows(inside(rows, windows).select(*rows.columns)))
+    return clean, windows, profile.filter(F.size("reasons") > 0).select("sn", "reasons")

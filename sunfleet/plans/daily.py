@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import changes as ch
-from ..operators import cleaning as cl
 from ..operators import daily as d
 from ..operators import lookback as lb
 from ..operators.reshape import pivot_days
 from ..schema import PHASES, STRINGS
+from .cleaning import clean_windows
 
 CHANGED = {
     "vpv": [f"vpv{i}_{m}" for m in ("mean", "variance") for i in STRINGS],
@@ -48,21 +48,13 @@ def complete_days(
 def windowed_rows(
     df: DataFrame, out_days: int, time_range: int, visible_date: dt.date | None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clean readings inside the windows, windows of kept devices, dropped devices).
-
-    The device test and the newest day come from one narrow aggregate over all readings; only
-    the readings inside the windows go through the wide distinct.
-    """
-    rows = lb.with_time(cl.standard_rows(df))
-    profile = cl.device_profile(
-        cl.repair_sensors(rows), F.max(lb.day_of()).alias("last_seen")
-    )
-    windows = lb.day_windows(
-        profile.filter(F.size("reasons") == 0), out_days, time_range, visible_date
+    """(clean readings inside the day windows, windows of kept devices, dropped devices)."""
+    return clean_windows(
+        df,
+        F.max(lb.day_of()).alias("last_seen"),
+        lambda seen: lb.day_windows(seen, out_days, time_range, visible_date),
+        lb.rows_in_day_window,
     )
-    inside = lb.rows_in_day_window(rows, windows).drop("start_date", "last_date")
-    clean = cl.repair_sensors(cl.dedupe_rows(inside))
-    return clean, windows, profile.filter(F.size("reasons") > 0)
 
 
 def window_days(

@@ -13,6 +13,7 @@ from ..operators import cleaning as cl
 from ..operators import lookback as lb
 from ..operators import sampling
 from ..sources import readers, writers
+from ..session import measured
 from .cleaning import clean_telemetry
 
 
@@ -30,7 +31,7 @@ def ok_set(
 
     Readings of a month are cleaned on their own: a device silent in one month is dropped there.
     """
-    chosen = sampling.proportional_sample(devices, total, seed)
+    chosen = measured(sampling.proportional_sample(devices, total, seed))
     rows = sampling.consecutive_days_sample(df, chosen, days, months, seed)
     return clean_per_month(rows)
 
@@ -43,7 +44,7 @@ def clean_per_month(df: DataFrame) -> DataFrame:
     hit = F.lit(False)
     for rule in cl.SILENT_RULES:
         hit = hit | F.col(f"silent_{rule}")
-    dropped = silent.filter(hit).select("sn_ym")
+    dropped = measured(silent.filter(hit).select("sn_ym"))
     return cl.repair_sensors(cl.dedupe_rows(keyed)).join(dropped, "sn_ym", "left_anti")
 
 

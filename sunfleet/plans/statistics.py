@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators import lookback as lb
 from ..operators import reshape, series, special
+from ..operators.quantiles import group_quantiles, quantile_name
 from ..session import written
-from .cleaning import clean_telemetry
+from .cleaning import clean_windows
 
 KEYS = series.KEYS
 
@@ -21,8 +22,12 @@ def window_rows(
     min_rows: int | None = None, min_days: int | None = None,
 ) -> DataFrame:
     """Clean readings of the look-back window, optionally only of well covered devices."""
-    clean, _ = clean_telemetry(df)
-    rows = lb.rows_in_time_window(lb.with_time(clean), days, out_days, newest_visible)
+    rows, _, _ = clean_windows(
+        df,
+        F.max("createtime").alias("newest"),
+        lambda newest: lb.time_windows(newest, days, out_days, newest_visible),
+        lb.inside_time_window,
+    )
     if min_rows is not None:
         rows, _ = lb.min_rows_gate(rows, min_rows)
     if min_days is not None:
@@ -34,28 +39,27 @@ def all_features(
     rows: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False,
     interpolation: str = "linear", wavelet_peaks: bool = False,
 ) -> DataFrame:
-    """Every statistic per (sn, kind). The blocks are one row per device and metric when joined.
+    """Every statistic per (sn, kind).
 
-    The readings of the window are written once with the columns in use: seven blocks read them.
+    The readings of the window are written once with the columns in use. One pass in time order
+    yields everything but the quantiles (and the wavelet peaks); the blocks that are joined hold
+    one row per device and metric.
     """
     needed = dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])
     rows = written(rows.select(*needed), "window-rows")
-    blocks = [
-        series.moment_features(rows, columns),
-        series.median_feature(rows, columns),
-        series.quantile_features(rows, columns, interpolation=interpolation),
-        series.position_features(
-            rows, columns, ["first_location", "mean_counts", "fft"], tie_breakers, descending
-        ),
-        special.linear_trend(rows, columns, tie_breakers, descending),
-        series.neighbour_features(rows, columns, series.NEIGHBOURS, tie_breakers, descending),
-        series.binned_entropy(rows, columns),
-    ]
+    ordered = ["moments", *series.POSITION, *series.NEIGHBOUR]
+    out = special.with_trend_p_value(
+        series.series_features(rows, columns, ordered, tie_breakers, descending)
+    )
+    quantiles = {"median": 0.5, **{quantile_name(q): q for q in series.QUANTILES}}
+    if interpolation == "linear":
+        out = out.join(group_quantiles(series.long_form(rows, columns), KEYS, quantiles), KEYS)
+    else:
+        out = out.join(series.median_feature(rows, columns), KEYS).join(
+            series.quantile_features(rows, columns, interpolation=interpolation), KEYS
+        )
     if wavelet_peaks:
-        blocks.append(special.number_cwt_peaks(rows, columns, tie_breakers=tie_breakers))
-    out = blocks[0]
-    for block in blocks[1:]:
-        out = out.join(block, KEYS)
+        out = out.join(special.number_cwt_peaks(rows, columns, tie_breakers=tie_breakers), KEYS)
     return out
 
 

@@ -14,7 +14,7 @@ from ..operators import daily as d
 from ..operators import fleet
 from ..operators import lookback as lb
 from ..operators import reshape, sampling
-from ..session import written
+from ..session import measured, written
 from .daily import complete_days, matrix_columns, matrix_from_days, safe_name
 
 FAULT_OFFSETS = tuple(range(8))
@@ -34,7 +34,9 @@ def offset_days(
     rows = lb.with_time(cl.standard_rows(df))
     if devices is not None:
         rows = fleet.devices_in(rows, devices)
-    profile = cl.device_profile(cl.repair_sensors(rows), F.max(lb.day_of()).alias("last_seen"))
+    profile = measured(
+        cl.device_profile(cl.repair_sensors(rows), F.max(lb.day_of()).alias("last_seen"))
+    )
     kept = profile.filter(F.size("reasons") == 0).select("sn", "last_seen")
     first, last = min(offsets), max(offsets)
     span = kept.select(
