@@ -17,29 +17,32 @@ def spine_join(spine: DataFrame, daily: DataFrame, keys: Sequence[str] = KEYS) -
     return spine.join(daily, [*keys, "date"], "left")
 
 
-def _by_day(keys: Sequence[str]) -> str:
-    return f"partition by {', '.join(keys)} order by date"
+def _newest_first(keys: Sequence[str]) -> str:
+    """One order for all windows, so the rows are sorted once; later days come before a row."""
+    return f"partition by {', '.join(keys)} order by date desc"
 
 
 def backfill_then_zero(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """A missing value takes the next known later value of the device, else 0."""
-    ahead = f"over ({_by_day(keys)} rows between current row and unbounded following)"
-    filled = {c: f"coalesce(first({c}, true) {ahead}, 0)" for c in columns}
+    later = f"over ({_newest_first(keys)} rows between unbounded preceding and current row)"
+    filled = {c: f"coalesce(last({c}, true) {later}, 0)" for c in columns}
     return df.selectExpr(*[f"{filled.get(c, c)} as {c}" for c in df.columns])
 
 
+def _day_before(column: str, keys: Sequence[str]) -> str:
+    return f"lead({column}) over ({_newest_first(keys)})"
+
+
 def first_difference(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
-    w = _by_day(keys)
-    return df.selectExpr("*", *[f"{c} - lag({c}) over ({w}) as {c}_diff" for c in columns])
+    return df.selectExpr("*", *[f"{c} - {_day_before(c, keys)} as {c}_diff" for c in columns])
 
 
 def day_over_day_change(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS, suffix: str = "_change"
 ) -> DataFrame:
     """Relative change to the day before; 0 where the day before is 0, and on the first day."""
-    w = _by_day(keys)
     return df.selectExpr(
-        "*", *[f"{text.relative_change(c, f'lag({c}) over ({w})')} as {c}{suffix}" for c in columns]
+        "*", *[f"{text.relative_change(c, _day_before(c, keys))} as {c}{suffix}" for c in columns]
     )
 
 

@@ -22,7 +22,7 @@ def quantile_name(q: float) -> str:
 
 def group_quantiles(
     long: DataFrame, keys: Sequence[str], quantiles: dict[str, float], value: str = "value",
-    interpolation: str = "linear", bins: int = BINS,
+    interpolation: str = "linear", bins: int = BINS, small: int = BINS,
 ) -> DataFrame:
     """One row per key with one column per entry of ``quantiles``; NULL values are ignored.
 
@@ -31,13 +31,15 @@ def group_quantiles(
     keys = list(keys)
     present = long.filter(F.col(value).isNotNull())
     counts = present.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    # every branch below uses (keys, _v, _n), so all of them read the one shuffle of ``counts``
+    # every branch below needs (keys, _v, _n) and the totals, so all of them read the same shuffles
     totals = counts.groupBy(*keys).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
     )
     place = fn.ratio_or_zero(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    bin_no = F.least(F.floor(place * bins), F.lit(bins - 1))
+    # a group that fits into one task's window needs no bins
     binned = counts.join(totals, keys).withColumn(
-        "_bin", F.least(F.floor(place * bins), F.lit(bins - 1))
+        "_bin", F.when(F.col("_total") <= small, F.lit(0)).otherwise(bin_no)
     )
     per_bin = binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_bn"))
     ordered = Window.partitionBy(*keys).orderBy("_bin")  # at most ``bins`` rows per key

@@ -52,20 +52,22 @@ def device_set_union(*device_lists: DataFrame) -> DataFrame:
 
 
 def pivot_days(
-    days: DataFrame, columns: Sequence[str], time_range: int, keys: Sequence[str] = ("sn",)
+    days: DataFrame, cells: Sequence[tuple[str, str, int]], keys: Sequence[str] = ("sn",)
 ) -> DataFrame:
-    """Day rows to one row per device: ``<column>_day_<j>``; day values are given, not discovered."""
-    pivoted = days.groupBy(*keys).pivot("day_idx", list(range(time_range))).agg(
-        *[F.expr(f"first({c}) as {c}") for c in columns]
+    """Day rows to one row per device; ``cells`` lists (output name, day-row column, day).
+
+    A day's values travel as one array, so the aggregate has one entry per day instead of one
+    per cell, and it needs no list of days from the data.
+    """
+    position = {c: i for i, c in enumerate(dict.fromkeys(column for _, column, _ in cells))}
+    time_range = max(j for _, _, j in cells) + 1
+    values = ", ".join(f"cast({c} as double)" for c in position)
+    packed = days.selectExpr(*keys, "day_idx", f"array({values}) as _values")
+    by_day = packed.groupBy(*keys).agg(
+        *[F.expr(f"first(if(day_idx = {j}, _values, null), true) as _day_{j}") for j in range(time_range)]
     )
-    single = len(columns) == 1
-    return pivoted.selectExpr(
-        *keys,
-        *[
-            f"`{j}` as {c}_day_{j}" if single else f"`{j}_{c}` as {c}_day_{j}"
-            for c in columns
-            for j in range(time_range)
-        ],
+    return by_day.selectExpr(
+        *keys, *[f"_day_{j}[{position[column]}] as `{name}`" for name, column, j in cells]
     )
 
 

@@ -123,13 +123,8 @@ def matrix_from_days(
     dotted: bool = False,
 ) -> DataFrame:
     """Day rows to one row per device; names carry dots only on request (export)."""
-    time_range = max(j for _, _, j in columns) + 1
-    sources = list(dict.fromkeys(column for _, column, _ in columns))
-    wide = pivot_days(days, sources, time_range, keys)
-    out = wide.selectExpr(
-        *keys, *[f"cast({column}_day_{j} as double) as {safe_name(name)}" for name, column, j in columns]
-    )
-    return out.toDF(*keys, *[name for name, _, _ in columns]) if dotted else out
+    cells = columns if dotted else [(safe_name(name), column, j) for name, column, j in columns]
+    return pivot_days(days, cells, keys)
 
 
 def daily_features(

@@ -106,7 +106,7 @@ def test_chunks_do_not_change_wavelet_peaks(clean):
 @pytest.mark.parametrize("bins", [1, 3, 1000])
 def test_bins_do_not_change_quantiles(clean, bins):
     long = series.long_form(clean, KINDS)
-    ours = quantiles.group_quantiles(long, ["sn", "kind"], {"a": 0.3, "b": 0.5}, bins=bins)
+    ours = quantiles.group_quantiles(long, ["sn", "kind"], {"a": 0.3, "b": 0.5}, bins=bins, small=0)
     plain = long.groupBy("sn", "kind").agg(
         F.percentile("value", 0.3).alias("a"), F.percentile("value", 0.5).alias("b")
     )
