@@ -115,34 +115,31 @@ def _row_maxima(rows: np.ndarray) -> np.ndarray:
     return (rows > left) & (rows > right)
 
 
-def ridge_starts(maxima: np.ndarray, widths: Sequence[int]) -> list[tuple[int, int]]:
-    """Positions (row, column) where ridge lines end at the smallest width they reach.
+def ridge_ends(maxima: np.ndarray, widths: Sequence[int]) -> np.ndarray:
+    """(row, column) of the narrowest maximum of every ridge line.
 
     Lines start at the maxima of the widest wavelet and follow the nearest maximum of the next
     narrower one within a quarter of the width; one missing width is tolerated, and an unmatched
     maximum opens a line of its own.
     """
-    lines: list[list[int]] = []  # [row, column, gap]
-    done: list[tuple[int, int]] = []
+    if max(widths) < 4:  # a quarter of the width is below one step: lines stay in their column
+        columns = np.flatnonzero(maxima.any(axis=0))
+        return np.column_stack([maxima[:, columns].argmax(axis=0), columns])
+    lines: list[list[int]] = []  # [row, column, widths since the last match]
+    done: list[list[int]] = []
     for row in range(len(widths) - 1, -1, -1):
-        reach = widths[row] / 4.0
-        columns = np.array([line[1] for line in lines])
+        known = np.array([line[1] for line in lines])
         for line in lines:
             line[2] += 1
-        for col in np.flatnonzero(maxima[row]):
-            target = None
-            if len(columns):
-                distance = np.abs(columns - col)
-                nearest = int(np.argmin(distance))
-                if distance[nearest] <= reach:
-                    target = nearest
-            if target is None:
-                lines.append([row, int(col), 0])
+        for column in np.flatnonzero(maxima[row]):
+            distance = np.abs(known - column)
+            if len(known) and distance.min() <= widths[row] / 4.0:
+                lines[int(distance.argmin())][:] = [row, int(column), 0]
             else:
-                lines[target][:] = [row, int(col), 0]
-        done += [(r, c) for r, c, gap in lines if gap > 1]
+                lines.append([row, int(column), 0])
+        done += [line for line in lines if line[2] > 1]
         lines = [line for line in lines if line[2] <= 1]
-    return done + [(r, c) for r, c, _ in lines]
+    return np.array([line[:2] for line in done + lines], dtype=int).reshape(-1, 2)
 
 
 class _Centred(pd.api.indexers.BaseIndexer):
@@ -174,8 +171,7 @@ def count_wavelet_peaks(
     noise = np.abs(noise_floor(rows[0], math.ceil(length / 20)))
     counts = []
     for w in widths:
-        ends = np.array(ridge_starts(maxima[:w], every[:w]), dtype=int).reshape(-1, 2)
-        row, col = ends[:, 0], ends[:, 1]
+        row, col = ridge_ends(maxima[:w], every[:w]).T
         inside = (first + col >= core[0]) & (first + col < core[1])
         counts.append(int(np.sum(inside & (np.abs(rows[row, col]) >= noise[col]))))
     return counts
