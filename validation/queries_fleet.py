@@ -84,6 +84,23 @@ def daily_extract(spark, sf):
     return spark.read.parquet(path).select(*ID, F.col("ds").cast("date").alias("ds"))
 
 
+@query(
+    "daily_extract_incremental",
+    q(f"select {ID_SQL}, {sql.day('createtime', 'ds')} from telemetry where sn like 'TP%'"),
+)
+def daily_extract_incremental(spark, sf):
+    """The extract as a file stream that takes what is there and stops; the second run adds nothing."""
+    from sunfleet.sources.event_log import telemetry_from_events
+    from sunfleet.streaming import extract
+
+    schema = events(spark, sf).schema
+    out, checkpoint = new_path(spark, "stream"), new_path(spark, "progress")
+    for _ in range(2):
+        arrived = extract.new_rows(spark, sf, schema, "events*.parquet")
+        extract.extract_days(telemetry_from_events(arrived).select(*ID), out, checkpoint)
+    return spark.read.parquet(out).select(*ID, F.col("ds").cast("date").alias("ds"))
+
+
 def _fetch_sql(days):
     return q(
         f"select t.sn, {sql.time('t.createtime', 'createtime')}, {sql.rnd('t.etotal', 'etotal')}, "
