@@ -13,7 +13,7 @@ from ..operators.fleet import latest_version
 from ..sources.readers import read_manifest
 from ..sources.writers import write_manifest
 
-MARKER = "_registered"
+MARKER = "registered"
 
 
 def model_path(root: str, name: str, out_days: int, time_range: int, stamp: str) -> str:

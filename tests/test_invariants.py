@@ -113,6 +113,21 @@ def test_bins_do_not_change_quantiles(clean, bins):
     assert values(ours) == values(plain)
 
 
+def test_quantiles_with_far_outliers(spark):
+    """Crowded values beside an outlier still spread over bins, and the result is exact."""
+    rows = spark.range(2000).selectExpr(
+        "'a' as k", "if(id = 0, 1e9, id / 7.0D) as value"
+    ).unionByName(spark.range(2000).selectExpr("'b' as k", "if(id = 0, -1e9, id / 7.0D) as value"))
+    ours = quantiles.group_quantiles(rows, ["k"], {"a": 0.1, "b": 0.75}, small=0)
+    plain = rows.groupBy("k").agg(F.percentile("value", 0.1).alias("a"), F.percentile("value", 0.75).alias("b"))
+    assert values(ours) == values(plain)
+    ends = rows.groupBy("k").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    bins = rows.withColumnRenamed("value", "_v").join(ends, "k").selectExpr(
+        "k", f"{quantiles._bin_number(1024)} as bin"
+    )
+    assert bins.groupBy("k", "bin").count().agg(F.max("count")).first()[0] < 100
+
+
 def test_layout_independence(spark, telemetry):
     spec = d.DailySpec(("error", "vac", "energy"))
     before = spark.conf.get("spark.sql.shuffle.partitions")
