@@ -365,9 +365,34 @@ def window_statistics(spark, sf):
     return wide.select("sn", *[F.col(f"{k}_{n}").cast("double").alias(f"{k}_{n}") for k in KINDS for n, _ in _WIDE])
 
 
-@query("window_statistics_long", None, DIGITS)
-def window_statistics_long(spark, sf):
-    """Every statistic of the long form, imputed, for devices with enough readings and days."""
+def _gated_sql(kinds, min_rows, min_days):
+    covered = (
+        f"select sn from rows group by sn having count(*) >= {min_rows} and count(distinct createtime::date) >= {min_days}"
+    )
+    blocks = {**WINDOW, "long": f"select * from ({WINDOW['long']}) where sn in ({covered})"}
+    cells = [
+        r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}") for k in kinds for name, _ in _WIDE
+    ]
+    per = ", ".join(f"({e})::double as {n}" for n, e in _WIDE)
+    return sql.chain(
+        f"select sn, {', '.join(cells)} from per group by sn",
+        **blocks, **_NEAR, per=f"select sn, kind, {per} from near group by sn, kind",
+    )
+
+
+def _long_features(spark, sf):
     return plan.window_statistics_long(
-        telemetry(spark, sf), KINDS[:2], 0, 20, min_rows=30, min_days=10, tie_breakers=TIES
+        telemetry(spark, sf), KINDS[:2], 0, 20, min_rows=45, min_days=10, tie_breakers=TIES
     )
+
+
+@query("window_statistics_long", _gated_sql(KINDS[:2], 45, 10), DIGITS, TIE_SHIFT)
+def window_statistics_long(spark, sf):
+    """Long form for devices with enough readings and days; the check looks at one of every block."""
+    return _long_features(spark, sf).select("sn", *[f"{k}_{n}" for k in KINDS[:2] for n, _ in _WIDE])
+
+
+@query("window_statistics_imputed", None, DIGITS)
+def window_statistics_imputed(spark, sf):
+    """Every statistic of the long form, imputed."""
+    return _long_features(spark, sf)
