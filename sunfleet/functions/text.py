@@ -92,3 +92,7 @@ def phase_variance(columns: Iterable[str]) -> str:
     mean = phase_mean(columns)
     squares = " + ".join(f"({c} - {mean}) * ({c} - {mean})" for c in columns)
     return f"(({squares}) / {number(len(columns))})"
+
+
+def finite(c: str) -> str:
+    return f"({c} is not null and not isnan({c}) and abs({c}) <> double('infinity'))"

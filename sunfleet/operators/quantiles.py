@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import functions as fn
+from ..functions import text
 
 BINS = 1024
 
@@ -97,10 +97,8 @@ def group_quantiles(
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: ``<column>__median`` over the finite values of each column."""
-    finite = df.select(*[F.when(fn.is_finite(c), F.col(c).cast("double")).alias(c) for c in columns])
+    finite = df.selectExpr(*[f"cast(if({text.finite(c)}, {c}, null) as double) as {c}" for c in columns])
     long = finite.unpivot([], list(columns), "kind", "value")
     medians = group_quantiles(long, ["kind"], {"median": 0.5})
     # a global aggregate: exactly one row, also when no column has a finite value
-    return medians.agg(
-        *[F.max(F.when(F.col("kind") == c, F.col("median"))).alias(f"{c}__median") for c in columns]
-    )
+    return medians.agg(*[F.expr(f"max(if(kind = '{c}', median, null)) as {c}__median") for c in columns])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..functions import text
 
 
 def union_rows(first: DataFrame, second: DataFrame, keep: Sequence[str] = ("sn",)) -> DataFrame:
@@ -118,25 +119,19 @@ def impute_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     from .quantiles import column_medians
 
-    finite = {c: F.when(fn.is_finite(c), F.col(c)) for c in columns}
+    finite = {c: f"if({text.finite(c)}, {c}, null)" for c in columns}
     stats = df.agg(
-        *[F.max(v).alias(f"{c}__max") for c, v in finite.items()],
-        *[F.min(v).alias(f"{c}__min") for c, v in finite.items()],
+        *[F.expr(f"max({v}) as {c}__max") for c, v in finite.items()],
+        *[F.expr(f"min({v}) as {c}__min") for c, v in finite.items()],
     )
     joined = _one_row_join(_one_row_join(df, stats), column_medians(df, columns))
-
-    def filled(c):
-        value = F.col(c)
-        inf = float("inf")
-        return F.coalesce(
-            F.when(value == F.lit(inf), F.col(f"{c}__max"))
-            .when(value == F.lit(-inf), F.col(f"{c}__min"))
-            .when(value.isNull() | F.isnan(value), F.col(f"{c}__median"))
-            .otherwise(value),
-            F.lit(0.0),
-        ).alias(c)
-
-    return joined.select(*[filled(c) if c in columns else F.col(c) for c in df.columns])
+    inf = "double('infinity')"
+    filled = {
+        c: f"coalesce(case when {c} = {inf} then {c}__max when {c} = -{inf} then {c}__min "
+        f"when {c} is null or isnan({c}) then {c}__median else {c} end, 0.0D)"
+        for c in columns
+    }
+    return joined.selectExpr(*[f"{filled.get(c, c)} as {c}" for c in df.columns])
 
 
 def find_infinite(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
