@@ -26,7 +26,7 @@ def small(table: DataFrame) -> bool:
 
 def _bytes(name: str, kind: str) -> Column:
     """Bytes of a value in memory, about."""
-    if kind.startswith("array"):
+    if kind.startswith(("array", "map")):
         width = 8 * max(1, kind.count(":"))
         return F.size(name).cast("long") * width + 32
     if kind in ("string", "binary"):
