@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sunfleet.session import written
+
 #: A written table is broadcast up to this many rows and bytes; beyond, Spark joins by sort and merge.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
@@ -37,3 +39,18 @@ def _bytes(name: str, kind: str) -> Column:
 def joined(big: DataFrame, table: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Join a written table: broadcast if its size is checked to be small, else as Spark plans it."""
     return big.join(F.broadcast(table) if small(table) else table, on, how)
+
+
+def identified(docs: DataFrame, id_column: str) -> tuple[DataFrame, str]:
+    """``docs`` and a column of unique long ids in the order of ``id_column``: that column itself if it is unique and never null.
+
+    Otherwise the rows are numbered in order of id (null last) and of all other columns, and written, so the numbers stay.
+    """
+    counts = docs.groupBy(F.col(id_column).cast("long").alias("id")).count().filter("count > 1 or id is null").limit(1).count()
+    number = fresh(docs, "row_id")
+    if not counts:
+        return docs.withColumn(number, F.col(id_column).cast("long")), number
+    key = F.col(id_column).cast("long")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    ordered = docs.repartitionByRange(key.asc_nulls_last(), whole).sortWithinPartitions(key.asc_nulls_last(), whole)
+    return written(ordered.withColumn(number, F.monotonically_increasing_id()), "rows"), number

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunfleet.llm.frames import joined
+from sunfleet.llm.frames import identified, joined, small
 from sunfleet.llm.graph import components
 from sunfleet.llm.kernels import LOWER, SpanHash, flat, lists, mix, ranges, shingles, slices, words
 from sunfleet.session import written
@@ -276,3 +276,12 @@ def _null_safe(rows: DataFrame, ask: DataFrame) -> DataFrame:
     marked = ask.selectExpr("coalesce(id, -9223372036854775808L) as id", "set", "comp")
     keyed = rows.selectExpr("coalesce(id, -9223372036854775808L) as id", "text")
     return joined(keyed, written(marked, "ask"), "id")
+
+
+def one_per_component(docs: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` without the rows that link, over any number of steps, to a row with a smaller id; columns as they are."""
+    rows, number = identified(docs, id_column)
+    found = similarity_components(rows, shingle, percent, number, text_column)
+    gone = written(found.filter("doc_id <> component_id").selectExpr("doc_id as gone"), "gone")
+    side = F.broadcast(gone) if small(gone) else gone
+    return rows.join(side, rows[number] == side["gone"], "left_anti").drop(number)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunfleet.llm.frames import fresh, joined
+from sunfleet.llm.frames import fresh, small
 from sunfleet.llm.kernels import LOWER, SPACE, SpanHash, flat, lists, per_row, rows_of, shingles, slices, words
 from sunfleet.session import written
 
@@ -179,29 +179,42 @@ def references(measured: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataF
 
 
 def judged(
-    docs: DataFrame, keep: list[str], lang_column: str = "lang", text_column: str = "text",
-    max_class: float = MAX_CLASS_DISTANCE, max_words: float = MAX_WORD_DISTANCE,
-    max_both: tuple[float, float] = MAX_BOTH, min_documents: int = MIN_DOCUMENTS,
+    measured: DataFrame, means: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_words: float = MAX_WORD_DISTANCE, max_both: tuple[float, float] = MAX_BOTH,
 ) -> DataFrame:
-    """``keep`` columns with features, class_distance, word_distance, base_failed, kept."""
-    with_lang = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
-    names = [f"k{i}" for i in range(len(keep))]
-    measured = written(document_features(with_lang, [*names, "lang"]), "quality")
-    means = references(measured, min_documents)
-    # languages without a reference take the mean of all
-    own = joined(measured, means.filter("lang is not null"), "lang", "left")
-    all_of = means.filter("lang is null").selectExpr("class_reference as c", "word_reference as w")
-    whole = all_of.agg(F.first("c").alias("c"), F.first("w").alias("w"))  # one row
-    compared = own.join(F.broadcast(whole)).selectExpr(
-        *names, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        f"if(n_words > 0, {distance(_shares('classes'), 'coalesce(class_reference, c)')}, null) as class_distance",
-        f"if(n_words > 0, {distance(_shares('common'), 'coalesce(word_reference, w)')}, null) as word_distance",
-    ).withColumn("base_failed", F.expr(base_failed()))
+    """``measured`` (with lang) plus class_distance, word_distance, base_failed, kept."""
+    # languages without a reference take the mean of all, which is one row
+    names = {n: fresh(measured, n) for n in ("class_reference", "word_reference", "c", "w")}
+    named = means.selectExpr("lang as of", f"class_reference as {names['class_reference']}", f"word_reference as {names['word_reference']}")
+    own = named.filter("of is not null")
+    whole = named.filter("of is null").agg(F.first(names["class_reference"]).alias(names["c"]), F.first(names["word_reference"]).alias(names["w"]))
+    side = F.broadcast(own) if small(own) else own
+    rows = measured.join(side, measured["lang"] == side["of"], "left").drop("of").join(F.broadcast(whole))
+    references_of = f"coalesce({names['class_reference']}, {names['c']})", f"coalesce({names['word_reference']}, {names['w']})"
+    compared = rows.withColumns({
+        "class_distance": F.expr(f"if(n_words > 0, {distance(_shares('classes'), references_of[0])}, null)"),
+        "word_distance": F.expr(f"if(n_words > 0, {distance(_shares('common'), references_of[1])}, null)"),
+        "base_failed": F.expr(base_failed()),
+    }).drop(*names.values())
     by_class, by_words = f"word_chars >= {MIN_CHARS_CLASS}", f"n_words >= {MIN_WORDS_COMMON}"
     strange = " or ".join([
         f"({by_class} and coalesce(class_distance > {max_class}D, false))",
         f"({by_words} and coalesce(word_distance > {max_words}D, false))",
         f"({by_class} and {by_words} and coalesce(class_distance > {max_both[0]}D and word_distance > {max_both[1]}D, false))",
     ])
-    out = compared.withColumn("kept", F.expr(f"not base_failed and not ({strange})"))
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[c for c in out.columns if c not in names])
+    return compared.withColumn("kept", F.expr(f"not base_failed and not ({strange})"))
+
+
+def quality(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """Per row of ``docs``: doc_id, lang, counts, distances, base_failed and kept."""
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
+    measured = written(document_features(rows, ["doc_id", "lang"]), "quality")
+    return judged(measured, references(measured, min_documents)).drop("classes", "common")
+
+
+def kept(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. The texts are read twice and never shuffled."""
+    columns = docs.columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
+    means = references(document_features(packed, ["lang"]), min_documents)
+    good = judged(document_features(packed, ["row", "lang"]), means).filter("kept")
+    return good.select(*[F.col("row").getField(c).alias(c) for c in columns])
