@@ -7,9 +7,9 @@ common as (select unnest(['the','of','and','to','in','that','is','for','with','a
 windows as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as s from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w)),
 twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, s) as n from windows) where n > 1),
 covered as (select doc_id, count(distinct i + k) as n_repeat_words from twice, (select unnest([0, 1, 2]) as k) group by doc_id),
-lines as (select doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+lines as (select doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
 base as (
-  select w.doc_id, lang, len(ws) as n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::bigint as word_chars,
+  select w.doc_id, lang, len(ws) as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint as word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
     length(regexp_replace(t, '[^a-z]', '', 'g')) as c0, length(regexp_replace(t, '[^A-Z]', '', 'g')) as c1, length(regexp_replace(t, '[^0-9]', '', 'g')) as c2,
     length(regexp_replace(t, '[^.,;:?''"()\-]', '', 'g')) as c3, length(regexp_replace(t, '[^!]', '', 'g')) as c4, length(regexp_replace(t, '[[:ascii:]]', '', 'g')) as c6,
@@ -65,11 +65,11 @@ from n left join kept using (doc_id)
 """
 
 OP4 = r"""
-with doc as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as ws from documents),
-item as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as ws from benchmark),
+with doc as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+item as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from benchmark),
 ds as (select doc_id, i - 1 as pos, len(ws) as n, array_to_string(ws[i:i + 4], ' ') as s from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from doc)),
-its as (select item_id, i - 1 as at, len(ws) as l, array_to_string(ws[i:i + 4], ' ') as s from (select item_id, ws, unnest(range(1, len(ws) - 3)) as i from item)),
-win as (select distinct doc_id, item_id, l, greatest(0, least(pos - at, n - l)) as start from ds join its using (s)),
+its as (select item_id, i - 1 as pos_in_item, len(ws) as l, array_to_string(ws[i:i + 4], ' ') as s from (select item_id, ws, unnest(range(1, len(ws) - 3)) as i from item)),
+win as (select distinct doc_id, item_id, l, greatest(0, least(pos - pos_in_item, n - l)) as start from ds join its using (s)),
 have as (select doc_id, item_id, l, start, s, count(*) as c from win join ds using (doc_id) where pos >= start and pos <= greatest(start + l - 5, start) group by all),
 want as (select item_id, s, count(*) as c from its group by all),
 both as (select h.doc_id, h.item_id, h.l, h.start, sum(case when w.c is null then 0 else least(h.c, w.c) * length(replace(h.s, ' ', '')) end) as common, sum(h.c * length(replace(h.s, ' ', ''))) as total
