@@ -72,10 +72,10 @@ its as (select item_id, i - 1 as pos_in_item, len(ws) as l, array_to_string(ws[i
 win as (select distinct doc_id, item_id, l, greatest(0, least(pos - pos_in_item, n - l)) as start from ds join its using (s)),
 have as (select doc_id, item_id, l, start, s, count(*) as c from win join ds using (doc_id) where pos >= start and pos <= greatest(start + l - 5, start) group by all),
 want as (select item_id, s, count(*) as c from its group by all),
-both as (select h.doc_id, h.item_id, h.l, h.start, sum(case when w.c is null then 0 else least(h.c, w.c) * length(replace(h.s, ' ', '')) end) as common, sum(h.c * length(replace(h.s, ' ', ''))) as total
+held as (select h.doc_id, h.item_id, h.l, h.start, sum(case when w.c is null then 0 else least(h.c, w.c) * length(replace(h.s, ' ', '')) end) as common, sum(h.c * length(replace(h.s, ' ', ''))) as total
   from have h left join want w using (item_id, s) group by all),
 sized as (select item_id, sum(c * length(replace(s, ' ', ''))) as total from want group by all),
-good as (select doc_id, item_id, l, start, common / (b.total + z.total - common)::double as similarity from both b join sized z using (item_id) where 100 * common >= 80 * (b.total + z.total - common)),
+good as (select doc_id, item_id, l, start, common / (b.total + z.total - common)::double as similarity from held b join sized z using (item_id) where 100 * common >= 80 * (b.total + z.total - common)),
 best as (select *, row_number() over (partition by doc_id, item_id order by similarity desc, start, l desc) as r from good)
 select doc_id, item_id, round(similarity, 6) as similarity, start::bigint as start, l::bigint as n_words from best where r = 1
 """

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunfleet.llm.frames import fresh, joined
+from sunfleet.llm.frames import fresh
 from sunfleet.llm.grouping_sort import suffix_arrays
 from sunfleet.llm.kernels import SpanHash, flat, mix, ranges, rows_of, slices, slide_min
 from sunfleet.session import written
@@ -328,7 +328,7 @@ def duplicate_spans(docs: DataFrame, length: int = 100, id_column: str = "doc_id
     ).filter("not same and (again or several)").selectExpr("anchor", "id", "place", "windows", "offset", "crowd", "again")
     found = written(found, "contexts")
     wanted = found.filter("not again").groupBy("id").agg(F.collect_list(F.struct("anchor", "place", "windows", "offset", "crowd")).alias("wanted"))
-    texts = joined(rows, written(wanted, "wanted"), "id").select("id", "part", "text", "wanted")
+    texts = rows.join(written(wanted, "wanted"), "id").select("id", "part", "text", "wanted")
     fetched = texts.mapInArrow(fetch_contexts(length, most), "anchor long, id long, place long, windows int, offset int, text binary")
     compared = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare_contexts(length), MARKS)
     marks = found.filter("again").select("id", "place", "windows").unionByName(compared)
@@ -378,7 +378,7 @@ def cut_spans(schema: pa.Schema, text: int, digest: bool) -> Callable[[Iterator[
 def digests(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes."""
     spans = duplicate_spans(docs, length, id_column, text_column)
-    rows = joined(keyed(docs, id_column, text_column), spans, ["id", "part"], "left").select("id", "text", "spans")
+    rows = keyed(docs, id_column, text_column).join(spans, ["id", "part"], "left").select("id", "text", "spans")
     cut = rows.mapInArrow(cut_spans(pa.schema([]), 1, True), "id long, kept_sha256 string, n_bytes long, n_removed long, n_spans long")
     return cut.selectExpr(f"nullif(id, {LAST}) as doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -393,7 +393,7 @@ def remove_duplicates(docs: DataFrame, length: int = 100, id_column: str = "doc_
     keys = _keys(docs, id_column, text_column)
     with_key = docs.withColumns({key: keys[0], part: keys[1]})
     spans = spans.select(F.col("id").alias(key), F.col("part").alias(part), F.col("spans").alias(cuts))
-    rows = joined(with_key, spans, [key, part], "left").select(*[F.col(f"`{c}`") for c in docs.columns], cuts)
+    rows = with_key.join(spans, [key, part], "left").select(*[F.col(f"`{c}`") for c in docs.columns], cuts)
     at = docs.columns.index(text_column)
     sizes = [fresh(docs, n) for n in ("n_bytes", "n_removed", "n_spans")]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in sizes]])
