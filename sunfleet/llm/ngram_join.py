@@ -2,11 +2,11 @@
 
 Two documents link when ``100 * intersection >= percent * union`` of their shingle sets.
 
-1. *Sketch.* A set of size n falls into a size band. Every shingle flips one bit of a sketch of
-   ``blocks x 64`` bits, so the Hamming distance of two sketches is at most the symmetric difference
-   of the sets. In a band, linked sets differ in at most ``D`` shingles, and the band has D + 1 blocks:
-   linked sets agree on a whole block (pigeonhole). A set that a larger partner may pull into the next
-   band is sketched there as well.
+1. *Sketch.* A set of size n falls into a size band. Every shingle is XORed, as a 64-bit hash, into one block of
+   the sketch, so two sketches differ in at most as many blocks as the symmetric difference of the sets has
+   members (with a single bit per shingle, blocks of few shingles would look alike in unrelated sets). In a
+   band, linked sets differ in at most ``D`` shingles, and the band has D + 1 blocks: linked sets agree on
+   a whole block (pigeonhole). A set that a larger partner may pull into the next band is sketched there as well.
 2. *Join.* Equal blocks meet in one shuffle of (block key, set). Each set links to the smallest set of its
    block: linear in the group, never all pairs. An empty block says little, so its holders meet by a
    second sketch with other hashes instead; linked sets agree on one of its blocks too.
@@ -105,12 +105,12 @@ def block_keys(value: np.ndarray, start: np.ndarray, n: np.ndarray, bands: Bands
 
 
 def _sketch(value, start, n, blocks, seed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Parity of the shingles per block of 64 bits, blocks of all sets one after another."""
+    """Parity of the shingles' bits per block, blocks of all sets one after another."""
     first = np.cumsum(blocks) - blocks
     token = mix(value, 21 + seed)[ranges(start, n)]
-    at = np.repeat(first, n) + ((token >> np.uint64(6)) % np.repeat(blocks, n).astype(np.uint64)).astype(np.int64)
+    at = np.repeat(first, n) + (mix(token, 23) % np.repeat(blocks, n).astype(np.uint64)).astype(np.int64)
     sketch = np.zeros(int(blocks.sum()), dtype=np.uint64)
-    np.bitwise_xor.at(sketch, at, np.uint64(1) << (token & np.uint64(63)))
+    np.bitwise_xor.at(sketch, at, token)
     return sketch, first, blocks
 
 
@@ -154,7 +154,7 @@ def sketch_rows(size: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
 
 
 def set_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(set, comp, shingles) of the rows (text, set, comp): the sets asked for."""
+    """The rows (text, set, ...) whose text has the set asked for, with its shingles instead of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,11 +164,9 @@ def set_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 wanted = np.flatnonzero(whole == piece.column("set").to_numpy())
                 n = np.bincount(row, minlength=piece.num_rows)
                 start = np.cumsum(n) - n
-                take = pa.array(wanted)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("set").take(take), piece.column("comp").take(take), lists(value.view(np.int64)[ranges(start[wanted], n[wanted])], n[wanted], pa.int64())],
-                    names=["set", "comp", "shingles"],
-                )
+                found = lists(value.view(np.int64)[ranges(start[wanted], n[wanted])], n[wanted], pa.int64())
+                rest = piece.drop_columns(["text"]).take(pa.array(wanted))
+                yield pa.RecordBatch.from_arrays([*rest.columns, found], names=[*rest.schema.names, "shingles"])
 
     return run
 
@@ -205,7 +203,8 @@ def verify(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
-        for _, comp in cell.groupby("comp", sort=False):
+        # rows that repeat an id may bring a set twice
+        for _, comp in cell.drop_duplicates("set").groupby("comp", sort=False):
             ids, copies = comp["set"].to_numpy(), comp["copies"].to_numpy()
             linked = linked_pairs([np.asarray(s) for s in comp["shingles"]], percent)
             part = comp["part"].to_numpy()
@@ -245,19 +244,16 @@ def similarity_components(
     plan = joined(known, written(sizes, "sizes"), "root").withColumn("parts", F.expr(f"cast(ceil(size / {CELL}) as int)"))
     plan = plan.withColumn("part", F.expr("cast(pmod(xxhash64(set, 5L), parts) as int)"))
     wanted = written(plan.selectExpr("low as doc_id", "set", "root as comp", "copies", "parts", "part"), "wanted")
-    # the sets of the wanted documents, from their texts
-    ask = wanted.selectExpr("doc_id as id", "set", "comp")
+    # the sets of the wanted documents, from their texts; a large component's go to the cells of their part with every part
+    ask = wanted.withColumnRenamed("doc_id", "id")
     texts = _null_safe(rows.withColumnRenamed("doc_id", "id"), ask)
-    sets = texts.select("text", "set", "comp").mapInArrow(set_rows(shingle), "set long, comp long, shingles array<long>")
-    sets = written(sets.dropDuplicates(["set"]), "members")
-    cells = joined(sets, wanted.drop("doc_id", "comp"), "set")
+    sets = texts.mapInArrow(set_rows(shingle), "set long, comp long, copies long, parts int, part int, shingles array<long>")
     bundles = max(1, math.ceil(wanted.filter("parts = 1").count() / BUNDLE))
-    one = cells.filter("parts = 1").selectExpr("*", f"pmod(xxhash64(comp, 7L), {bundles}) as x", "-1L as y", "false as both")
-    more = cells.filter("parts > 1").selectExpr("*", "explode(sequence(0, parts - 1)) as other").selectExpr(
-        "* except (other)", "xxhash64(comp, least(part, other)) as x", "cast(greatest(part, other) as long) as y", "part <> other as both"
+    cells = sets.selectExpr("*", "explode(sequence(0, parts - 1)) as other").selectExpr(
+        "set", "comp", "copies", "part", "shingles", "part <> other as both",
+        f"if(parts = 1, pmod(xxhash64(comp, 7L), {bundles}), xxhash64(comp, least(part, other))) as x", "if(parts = 1, -1, greatest(part, other)) as y",
     )
-    parts = one.unionByName(more)
-    links = parts.groupBy("x", "y").applyInPandas(verify(percent), "a long, b long, links long")
+    links = cells.groupBy("x", "y").applyInPandas(verify(percent), "a long, b long, links long")
     links = written(links, "links")
     counts = links.filter("a = b").groupBy("a").agg(F.sum("links").alias("linked"))
     roots = components(links.filter("a <> b").select("a", "b"))
@@ -273,9 +269,9 @@ def similarity_components(
 
 def _null_safe(rows: DataFrame, ask: DataFrame) -> DataFrame:
     """Rows whose id is asked for, a null id included."""
-    marked = ask.selectExpr("coalesce(id, -9223372036854775808L) as id", "set", "comp")
+    marked = written(ask.withColumn("id", F.expr("coalesce(id, -9223372036854775808L)")), "ask")
     keyed = rows.selectExpr("coalesce(id, -9223372036854775808L) as id", "text")
-    return joined(keyed, written(marked, "ask"), "id")
+    return joined(keyed, marked, "id").drop("id")
 
 
 def one_per_component(docs: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
