@@ -12,21 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunfleet.llm import decontaminate, mixing, ngram_join, quality_divergence, suffix_dedup
+from sunfleet.llm.frames import bounded_batches
 from sunfleet.session import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or diverge from their language go."""
+    bounded_batches(spark)
     return quality_divergence.kept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five-word shingles, similarity 0.8)."""
+    bounded_batches(spark)
     return ngram_join.one_per_component(docs, shingle=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes or more that occur earlier are cut from the text; n_chars follows."""
+    bounded_batches(spark)
     out = suffix_dedup.remove_duplicates(docs, length=100)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunfleet.session import written
@@ -11,6 +11,16 @@ from sunfleet.session import written
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 
+#: Rows that travel to a Python worker at once; texts may be long.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Let the session send texts to Python workers in small batches, so that a worker's memory stays bounded."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until the frame has no such column."""
     taken = {c.lower() for c in df.columns}

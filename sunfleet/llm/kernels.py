@@ -20,7 +20,7 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 TOP = np.iinfo(np.uint64).max
 
 #: Bytes handled at a time: the working arrays take some 60 times as much.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sunfleet.llm import cotraining, decontaminate, html_extract, license_scan, mixing, ngram_join, oracles, quality_divergence, suffix_dedup, token_counts, toxicity
+from sunfleet.llm.frames import bounded_batches
 
 #: Vocabulary of a public tokenizer; read by Spark.
 VOCABULARY = "file:///opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
