@@ -5,11 +5,12 @@ Two documents link when ``100 * intersection >= percent * union`` of their shing
 1. *Sketch.* A set of size n falls into a size band. Every shingle is XORed, as a 64-bit hash, into one block of
    the sketch, so two sketches differ in at most as many blocks as the symmetric difference of the sets has
    members (with a single bit per shingle, blocks of few shingles would look alike in unrelated sets). In a
-   band, linked sets differ in at most ``D`` shingles, and the band has D + 1 blocks: linked sets agree on
-   a whole block (pigeonhole). A set that a larger partner may pull into the next band is sketched there as well.
+   band, linked sets differ in at most ``D`` shingles, and the band has m > D blocks: linked sets agree on
+   m - D whole blocks (pigeonhole). A set that a larger partner may pull into the next band is sketched there as well.
 2. *Join.* Equal blocks meet in one shuffle of (block key, set). Each set links to the smallest set of its
-   block: linear in the group, never all pairs. An empty block says little, so its holders meet by a
-   second sketch with other hashes instead; linked sets agree on one of its blocks too.
+   block: linear in the group, never all pairs. Empty blocks say nothing and are left out: m is chosen so that a set has
+   fewer of them than m - D, and so one of the blocks it agrees on is not empty. A set with more empty blocks (a
+   small one, as a rule) meets the other holders of each by a second sketch with other hashes.
 3. *Verify.* The links' connected components hold every candidate pair. Inside a component the exact
    intersections of all sets are counted; large components are cut into cells of bounded size, one task each.
 4. *Classes.* Verified links give the components that are returned.
@@ -41,7 +42,7 @@ CELL, BUNDLE = 512, 2048
 #: Shingles per slab of the 0/1 matrix.
 SLAB = 4096
 
-SKETCHED = "doc_id long, n long, set long, check long, keys array<long>"
+SKETCHED = "doc_id long, n long, set long, check long"
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,19 +65,28 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Bands:
-    """Size bands: largest set, blocks and smallest set of each."""
+    """Size bands: largest set, smallest set, largest difference of linked sets and blocks of each."""
 
     def __init__(self, percent: int, largest: int):
         self.percent = percent
-        ratio = 100 / percent if percent < 100 else 1.1
+        share = percent / 100
+        steps = 3 if percent >= 90 else 2
+        ratio = 1 / share**steps if percent < 100 else 1.5
         high, edges = 1, [0, 1]
         while high < largest:
-            high = max(high + 1, math.floor(high * ratio**3))
+            high = max(high + 1, math.floor(high * ratio))
             edges.append(high)
         self.high = np.array(edges[1:], dtype=np.int64)
         self.low = np.array(edges[:-1], dtype=np.int64) + 1
         # |A| + |B| <= 2 high and intersection >= percent / (100 + percent) of it
-        self.blocks = 2 * self.high * (100 - percent) // (100 + percent) + 1
+        self.difference = 2 * self.high * (100 - percent) // (100 + percent)
+        # blocks per D + 1: the smallest set of a band has about exp(-shingles per block) empty blocks, which must stay below m - D
+        more = 1.05
+        if percent < 100:
+            fill = share / ratio * (1 + share) / (2 * (1 - share))
+            while more * math.exp(-fill / more) > 0.7 * (more - 1):
+                more += 0.05
+        self.blocks = np.ceil(more * (self.difference + 1)).astype(np.int64) + 1
 
     def of(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index into n, band): the own band, and those above that a larger partner may be in."""
@@ -87,21 +97,22 @@ class Bands:
 
 
 def block_keys(value: np.ndarray, start: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Block keys of each set, and their number."""
+    """(index of the set, block key). Sets whose band allows no difference link with equal sets only and have no key."""
     owner, band = bands.of(n)
+    able = bands.difference[band] > 0
+    owner, band = owner[able], band[able]
     sketch, first, blocks = _sketch(value, start[owner], n[owner], bands.blocks[band], 0)
     of = np.repeat(np.arange(len(owner)), blocks)
     key = mix(sketch ^ mix((band[of] * 2**32 + ranges(np.zeros(len(blocks), dtype=np.int64), blocks)).astype(np.uint64), 11), 12)
-    empty = np.flatnonzero(sketch == 0)
-    again = of[empty]
+    empty = sketch == 0
+    many = np.bincount(of[empty], minlength=len(owner)) >= blocks - bands.difference[band]
+    bare = np.flatnonzero(empty & many[of])
+    again = of[bare]
     second, _, more = _sketch(value, start[owner[again]], n[owner[again]], blocks[again], 1)
     into = np.repeat(np.arange(len(again)), more)
     inner = ranges(np.zeros(len(more), dtype=np.int64), more).astype(np.uint64)
-    second = mix(second ^ mix(key[empty[into]] + inner, 13), 14)
-    key = np.concatenate([np.delete(key, empty), second])
-    of = np.concatenate([np.delete(owner[of], empty), owner[again[into]]])
-    by = np.argsort(of, kind="stable")
-    return key[by], np.bincount(of, minlength=len(n))
+    second = mix(second ^ mix(key[bare[into]] + inner, 13), 14)
+    return np.concatenate([owner[of[~empty]], owner[again[into]]]), np.concatenate([key[~empty], second])
 
 
 def _sketch(value, start, n, blocks, seed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,32 +134,44 @@ def _sums(value: np.ndarray, row: np.ndarray, n_rows: int, seed: int) -> np.ndar
     return mix(sums[ends] - sums[starts], seed)
 
 
-def sketch_rows(size: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(doc_id, n, set, check, keys) of the rows (doc_id, text); keys once per set and task."""
-    names = ["doc_id", "n", "set", "check", "keys"]
+def size_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(doc_id, n, set, check) of the rows (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                value, row = shingle_sets(piece.column("text"), size)
+                n = np.bincount(row, minlength=piece.num_rows)
+                whole, check = (pa.array(_sums(value, row, piece.num_rows, seed).view(np.int64)) for seed in (31, 32))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n), whole, check], names=["doc_id", "n", "set", "check"])
+
+    return run
+
+
+def key_rows(size: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(set, key) of the rows (doc_id, text), once per set and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         bands = Bands(percent, 1 << 34)
         for batch in batches:
             for piece in slices(batch, "text"):
-                rows = piece.num_rows
                 value, row = shingle_sets(piece.column("text"), size)
-                n = np.bincount(row, minlength=rows)
+                n = np.bincount(row, minlength=piece.num_rows)
                 start = np.cumsum(n) - n
-                whole, check = (_sums(value, row, rows, seed).view(np.int64) for seed in (31, 32))
+                whole = _sums(value, row, piece.num_rows, 31).view(np.int64)
                 if len(seen) > 1_000_000:
                     seen.clear()
-                ask = np.zeros(rows, dtype=bool)
+                ask = []
                 for i in np.flatnonzero(n):
                     if int(whole[i]) not in seen:
                         seen.add(int(whole[i]))
-                        ask[i] = True
-                ask = np.flatnonzero(ask)
-                keys, count = block_keys(value, start[ask], n[ask], bands)
-                counts = np.zeros(rows, dtype=np.int64)
-                counts[ask] = count
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n), pa.array(whole), pa.array(check), lists(keys.view(np.int64), counts, pa.int64())], names=names)
+                        ask.append(i)
+                ask = np.array(ask, dtype=np.int64)
+                owner, key = block_keys(value, start[ask], n[ask], bands)
+                for cut in range(0, len(key), 1 << 16):
+                    part = slice(cut, cut + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(whole[ask[owner[part]]]), pa.array(key[part].view(np.int64))], names=["set", "key"])
 
     return run
 
@@ -233,10 +256,11 @@ def similarity_components(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links (linked documents, copies included)."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    sketched = written(rows.mapInArrow(sketch_rows(shingle, percent), SKETCHED), "sketches")
+    sketched = written(rows.mapInArrow(size_rows(shingle), SKETCHED), "sketches")
     classes = sketched.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
     # sets that share a block, each with the smallest set of the block
-    met = sketched.selectExpr("set", "explode(keys) as key").selectExpr("set", "first_value(set) over (partition by key order by set) as first")
+    keys = rows.mapInArrow(key_rows(shingle, percent), "set long, key long")
+    met = keys.selectExpr("set", "first_value(set) over (partition by key order by set) as first")
     near = written(met.filter("set <> first").selectExpr("set as a", "first as b").distinct(), "candidates")
     groups = components(near)
     known = written(groups.withColumnRenamed("node", "set").join(classes, "set"), "sets")
