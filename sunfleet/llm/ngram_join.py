@@ -7,7 +7,8 @@ Two documents link when ``100 * intersection >= percent * union`` of their shing
    members (with a single bit per shingle, blocks of few shingles would look alike in unrelated sets). In a
    band, linked sets differ in at most ``D`` shingles, and the band has m > D blocks: linked sets agree on
    m - D whole blocks (pigeonhole). A set that a larger partner may pull into the next band is sketched there as well.
-2. *Join.* Equal blocks meet in one shuffle of (block key, set). Each set links to the smallest set of its
+2. *Join.* Equal blocks meet by (block key, set). Linked sets agree on more than one block, so every set leaves out its most
+   crowded ones, as many as that allows (prefix filter). Each set links to the smallest set of its
    block: linear in the group, never all pairs. Empty blocks say nothing and are left out: m is chosen so that a set has
    fewer of them than m - D, and so one of the blocks it agrees on is not empty. A set with more empty blocks (a
    small one, as a rule) meets the other holders of each by a second sketch with other hashes.
@@ -96,8 +97,12 @@ class Bands:
         return np.repeat(np.arange(len(n)), count), ranges(band, count)
 
 
-def block_keys(value: np.ndarray, start: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, block key). Sets whose band allows no difference link with equal sets only and have no key."""
+def block_keys(value: np.ndarray, start: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the set, block key, tag). Sets whose band allows no difference link with equal sets only and have no key.
+
+    The tag is the band and, in its lower half, how many keys of the set and band may be left out: linked sets agree on
+    m - D blocks, of which at most the empty ones are not keys, so they share more keys than that.
+    """
     owner, band = bands.of(n)
     able = bands.difference[band] > 0
     owner, band = owner[able], band[able]
@@ -105,14 +110,17 @@ def block_keys(value: np.ndarray, start: np.ndarray, n: np.ndarray, bands: Bands
     of = np.repeat(np.arange(len(owner)), blocks)
     key = mix(sketch ^ mix((band[of] * 2**32 + ranges(np.zeros(len(blocks), dtype=np.int64), blocks)).astype(np.uint64), 11), 12)
     empty = sketch == 0
-    many = np.bincount(of[empty], minlength=len(owner)) >= blocks - bands.difference[band]
+    spare = blocks - bands.difference[band] - np.bincount(of[empty], minlength=len(owner)) - 1
+    many = spare < 0
+    tag = band * 2**32 + np.maximum(spare, 0)
     bare = np.flatnonzero(empty & many[of])
     again = of[bare]
     second, _, more = _sketch(value, start[owner[again]], n[owner[again]], blocks[again], 1)
     into = np.repeat(np.arange(len(again)), more)
     inner = ranges(np.zeros(len(more), dtype=np.int64), more).astype(np.uint64)
     second = mix(second ^ mix(key[bare[into]] + inner, 13), 14)
-    return np.concatenate([owner[of[~empty]], owner[again[into]]]), np.concatenate([key[~empty], second])
+    full = of[~empty]
+    return np.concatenate([owner[full], owner[again[into]]]), np.concatenate([key[~empty], second]), np.concatenate([tag[full], tag[again[into]]])
 
 
 def _sketch(value, start, n, blocks, seed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,7 +157,7 @@ def size_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def key_rows(size: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(set, key) of the rows (doc_id, text), once per set and task."""
+    """(set, key, tag) of the rows (doc_id, text), once per set and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -168,10 +176,10 @@ def key_rows(size: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
                         seen.add(int(whole[i]))
                         ask.append(i)
                 ask = np.array(ask, dtype=np.int64)
-                owner, key = block_keys(value, start[ask], n[ask], bands)
+                owner, key, tag = block_keys(value, start[ask], n[ask], bands)
                 for cut in range(0, len(key), 1 << 16):
                     part = slice(cut, cut + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([pa.array(whole[ask[owner[part]]]), pa.array(key[part].view(np.int64))], names=["set", "key"])
+                    yield pa.RecordBatch.from_arrays([pa.array(whole[ask[owner[part]]]), pa.array(key[part].view(np.int64)), pa.array(tag[part])], names=["set", "key", "tag"])
 
     return run
 
@@ -258,9 +266,13 @@ def similarity_components(
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     sketched = written(rows.mapInArrow(size_rows(shingle), SKETCHED), "sketches")
     classes = sketched.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    # every set leaves out its most crowded blocks, as many as it may: two sets that share k keys share one among all but
+    # the k - 1 that come first in a common order; what many documents have in common thus brings nobody together
+    keys = rows.mapInArrow(key_rows(shingle, percent), "set long, key long, tag long")
+    crowded = keys.selectExpr("*", "count(*) over (partition by key) as crowd").filter("crowd > 1")
+    ranked = crowded.selectExpr("set", "key", "tag & 4294967295L as spare", "dense_rank() over (partition by set, tag order by crowd desc, key) as place")
     # sets that share a block, each with the smallest set of the block
-    keys = rows.mapInArrow(key_rows(shingle, percent), "set long, key long")
-    met = keys.selectExpr("set", "first_value(set) over (partition by key order by set) as first")
+    met = ranked.filter("place > spare").selectExpr("set", "first_value(set) over (partition by key order by set) as first")
     near = written(met.filter("set <> first").selectExpr("set as a", "first as b").distinct(), "candidates")
     groups = components(near)
     known = written(groups.withColumnRenamed("node", "set").join(classes, "set"), "sets")
