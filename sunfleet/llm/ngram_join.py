@@ -85,7 +85,7 @@ class Bands:
         more = 1.05
         if percent < 100:
             fill = share / ratio * (1 + share) / (2 * (1 - share))
-            while more * math.exp(-fill / more) > 0.7 * (more - 1):
+            while more < 3 and more * math.exp(-fill / more) > 0.7 * (more - 1):
                 more += 0.05
         self.blocks = np.ceil(more * (self.difference + 1)).astype(np.int64) + 1
 
