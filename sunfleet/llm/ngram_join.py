@@ -262,7 +262,12 @@ def verify(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def similarity_components(
     docs: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links (linked documents, copies included)."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links (linked documents, copies included).
+
+    ``percent`` is 75 or more: below, a sketch would need more blocks than a set has shingles.
+    """
+    if percent < 75:
+        raise ValueError("percent must be 75 or more")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     sketched = written(rows.mapInArrow(size_rows(shingle), SKETCHED), "sketches")
     classes = sketched.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
