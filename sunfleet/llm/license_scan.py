@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words of which every licence sentence has one.
-KEYWORDS = ("licen", "copyright", "redistribut", "permission", "warrant", "public domain", "as is", "spdx", "copyleft", "liab", "creative commons", "trademark")
+KEYWORDS = ("licen", "copyright", "redistribut", "permission", "warrant", "public domain", "as is", "spdx", "copyleft", "liab", "creative commons", "trademark", "all rights reserved")
 
 _V = r"(?:v(?:ersion)?\s*)?(\d+(?:\.\d+)*)"
 #: Identifier and pattern of the normalised sentence; groups are appended to the identifier. The first that matches counts.
