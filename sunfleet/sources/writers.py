@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import posixpath
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +28,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
+def _parts(path: str) -> tuple[str, str, str]:
+    """Scheme, authority and path without ``.`` and ``..`` of a folder name; a plain path is a local file."""
+    uri = urlsplit(path)
+    if uri.scheme in ("", "file"):
+        return "file", "", os.path.abspath(uri.path)
+    return uri.scheme, uri.netloc, posixpath.normpath("/" + uri.path.lstrip("/"))
+
+
 def overwrite_output(df: DataFrame, root: str, path: str) -> str:
-    """Replace an output folder; paths outside ``root`` are refused."""
-    full_root, full = os.path.abspath(root), os.path.abspath(path)
-    if os.path.commonpath([full_root, full]) != full_root or full == full_root:
+    """Replace an output folder, written under the name as given; paths outside ``root`` are refused."""
+    (*store, base), (*other, full) = _parts(root), _parts(path)
+    if store != other or full == base or posixpath.commonpath([base, full]) != base:
         raise ValueError(f"{path} is not below {root}")
-    df.write.mode("overwrite").parquet(full)
-    return full
+    df.write.mode("overwrite").parquet(path)
+    return path
 
 
 def write_days(df: DataFrame, path: str, day: str = "ds") -> str:

@@ -118,3 +118,14 @@ def test_config(tmp_path):
 def test_schemas():
     assert len(CORE_COLUMNS) == 34 and len(set(CONFIGURED_COLUMNS)) == 82
     assert set(CONFIGURED_COLUMNS) <= set(RAW_SCHEMA.names)
+
+
+def test_output_paths_of_other_stores():
+    from sunfleet.sources.writers import _parts
+
+    assert _parts("hdfs://nn/out/../x") == ("hdfs", "nn", "/x")
+    assert _parts("file:///a/b/./c") == _parts("/a/b/c") == ("file", "", "/a/b/c")
+    with pytest.raises(ValueError):
+        writers.overwrite_output(None, "hdfs://nn/out", "hdfs://nn/out/../elsewhere")
+    with pytest.raises(ValueError):
+        writers.overwrite_output(None, "hdfs://nn/out", "s3a://nn/out/x")
