@@ -85,10 +85,13 @@ def scores(
     yes, no = counts.get(1.0, 0), sum(n for t, n in counts.items() if t != 1.0)
     pool = written(views(docs, id_column, text_column, lang_column, source_column, length_column), "views")
     prior = (yes + 1) / (yes + no + 2)
+    flat_scores = pool.selectExpr("doc_id", f"{held_out} as held_out", f"{prior!r}D as text_score", f"{prior!r}D as metadata_score", f"{prior!r}D as score", f"{prior!r}D >= 0.5 as kept")
     if not yes or not no:
-        return pool.selectExpr("doc_id", f"{held_out} as held_out", f"{prior!r}D as text_score", f"{prior!r}D as metadata_score", f"{prior!r}D as score", f"{prior!r}D >= 0.5 as kept")
+        return flat_scores
     base = pool.join(F.broadcast(known), "doc_id").withColumn("fold", F.expr("pmod(xxhash64(doc_id, 9L), 4)"))
     base = written(base.dropDuplicates(["doc_id"]).coalesce(4), "train")
+    if base.filter("fold <> 0").select("label").distinct().count() < 2:  # labels of documents that are not in the table
+        return flat_scores
     train = {v: base.filter("fold <> 0").select("doc_id", "a", "b", "label", F.lit(1.0).alias("weight")) for v in "ab"}
     taken = known.select("doc_id")
     limit = f"ln({confident!r}D / (1 - {confident!r}D))"

@@ -175,13 +175,16 @@ def scores(
     chosen = written(chosen, "labelled")
     counts = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     yes, no = counts.get(1, 0), sum(n for t, n in counts.items() if t != 1)
+    prior = (yes + 1) / (yes + no + 2)
+    flat_scores = rows.selectExpr("doc_id", f"{held_out} as held_out", f"{prior!r}D as score", f"cast({prior!r}D >= 0.5 as int) as predicted")
     if not yes or not no:
-        prior = (yes + 1) / (yes + no + 2)
-        return rows.selectExpr("doc_id", f"{held_out} as held_out", f"{prior!r}D as score", f"cast({prior!r}D >= 0.5 as int) as predicted")
+        return flat_scores
     lexicon = learn_lexicon(rows.join(F.broadcast(chosen), "doc_id"), yes, no)
     dense = written(rows.mapInArrow(add_features(lexicon), "doc_id long, x array<double>"), "features")
     train = dense.join(F.broadcast(chosen), "doc_id").selectExpr("x", "cast(toxic = 1 as double) as label", "pmod(xxhash64(doc_id, 3L), 5) as fold")
     train = written(train.coalesce(4), "train").withColumn("features", array_to_vector("x"))
+    if train.filter("fold <> 0").select("label").distinct().count() < 2:  # labels of documents that are not in the table
+        return flat_scores
     trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, minInstancesPerNode=5, seed=5, featuresCol="features", labelCol="label")
     fitted = trees.fit(train.filter("fold <> 0"))
     raw = F.try_element_at(vector_to_array("rawPrediction"), F.lit(2))
