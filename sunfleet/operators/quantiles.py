@@ -89,7 +89,10 @@ def group_quantiles(
     return out.select(
         *keys,
         *[
-            (F.col(f"{m}__lo") + (F.col(f"{m}__hi") - F.col(f"{m}__lo")) * F.col(f"{m}__w")).alias(m)
+            # equal neighbours need no interpolation; between infinities it would be NaN
+            F.when(F.col(f"{m}__lo") == F.col(f"{m}__hi"), F.col(f"{m}__lo"))
+            .otherwise(F.col(f"{m}__lo") + (F.col(f"{m}__hi") - F.col(f"{m}__lo")) * F.col(f"{m}__w"))
+            .alias(m)
             for m in quantiles
         ],
     )

@@ -15,6 +15,8 @@ SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # the threshold is compared with compressed files; this makes it bound their size in memory
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -49,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="sunfleet-")
     spark.conf.set("spark.checkpoint.dir", folder)

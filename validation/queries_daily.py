@@ -242,12 +242,12 @@ def matrix_part(prefixes, time_range=7, t=d.DEFAULTS, draft=False):
     return [c for c in columns if any(c[1].startswith(p) for p in prefixes)]
 
 
-_PIVOT = matrix_part(["error", "on_rate", "vac1_mean", "vac2_mean", "vac3_mean"])
+_PIVOT = plan.matrix_columns()
 
 
-@query("pivot_days", pivot_sql(["error", "switch", "vac"], _PIVOT))
+@query("pivot_days", pivot_sql(list(d.FAMILIES), _PIVOT))
 def pivot_days(spark, sf):
-    return plan.matrix_from_days(_days(spark, sf, ["error", "switch", "vac"]), _PIVOT)
+    return plan.matrix_from_days(_days(spark, sf, list(d.FAMILIES)), _PIVOT)
 
 
 @query("daily_features", pivot_sql(list(d.FAMILIES), plan.matrix_columns()))
@@ -258,12 +258,12 @@ def daily_features(spark, sf):
 
 @query(
     "daily_features_shifted",
-    pivot_sql(["error", "vac", "energy"], matrix_part(["error", "vac1_mean", "eday"], 5), out_days=3, time_range=5, visible="2024-01-28"),
+    pivot_sql(list(d.FAMILIES), plan.matrix_columns(5), out_days=3, time_range=5, visible="2024-01-28"),
 )
 def daily_features_shifted(spark, sf):
     """Other window: 5 days, 3 days back, nothing visible after a given day."""
-    days = _days(spark, sf, ["error", "vac", "energy"], out_days=3, time_range=5, visible_date=dt.date(2024, 1, 28))
-    return plan.matrix_from_days(days, matrix_part(["error", "vac1_mean", "eday"], 5))
+    days = _days(spark, sf, list(d.FAMILIES), out_days=3, time_range=5, visible_date=dt.date(2024, 1, 28))
+    return plan.matrix_from_days(days, plan.matrix_columns(5))
 
 
 _DRAFT_FAMILIES = [*d.FAMILIES, *d.DRAFT_FAMILIES]
@@ -279,23 +279,22 @@ def daily_features_ext(spark, sf):
     return plan.daily_features_ext(telemetry(spark, sf), ratios=ratio_columns())
 
 
-_T30 = matrix_part(["error", "on_rate", "vac1_mean"], 30)
+_T30 = plan.matrix_columns(30)
 TYPE_CODE = "case substring(sn,1,6) " + " ".join(
     f"when '{k}' then {v}" for k, v in fn.DEVICE_TYPE_CODES.items()
 ) + " end"
 TYPE_COLUMN = f", round(max(cast({TYPE_CODE} as double)), 9) + 0.0 as inverter_type_list"
 
 
-@query("score_single_file", pivot_sql(["error", "switch", "vac"], _T30, extra_select=TYPE_COLUMN, time_range=30))
+@query("score_single_file", pivot_sql(list(d.FAMILIES), _T30, extra_select=TYPE_COLUMN, time_range=30))
 def score_single_file(spark, sf):
     """30-day features of one file, with the model code."""
-    spec = d.DailySpec(("error", "switch", "vac"))
     names = [plan.safe_name(n) for n, _, _ in _T30]
-    return score_plan.score_features(telemetry(spark, sf), None, 30, spec, names)[0]
+    return score_plan.score_features(telemetry(spark, sf), None, 30, d.EVERYTHING, names)[0]
 
 
-_OFFSET_FAMILIES = ["error", "switch", "vac"]
-_OFFSET_COLUMNS = matrix_part(["error_rate", "on_rate", "vac1_mean"])
+_OFFSET_FAMILIES = list(d.FAMILIES)
+_OFFSET_COLUMNS = plan.matrix_columns()
 
 
 def offset_sql(final: str, columns=_OFFSET_COLUMNS, families=_OFFSET_FAMILIES) -> str:

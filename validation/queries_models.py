@@ -132,16 +132,12 @@ def score_fleet_by_rule(spark, sf):
 
 
 def matrix(spark, sf):
-    """Training matrix of a few families, written once."""
+    """Training matrix of all families."""
     t, labels = telemetry(spark, sf), fault_labels(spark, sf)
     ok, fault = t.join(labels, "sn", "left_anti"), t.join(labels, "sn", "left_semi")
     return train_plan.training_matrix(ok, fault, labels, 0.2, 42, spec=SPEC, features=_OFFSET_NAMES)
 
 
-def small_forest(seed=42):
-    return training.forest(seed, trees=10)
-
-
 def _split(rows):
     return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "test")
 
@@ -151,7 +147,7 @@ def train_multiclass(spark, sf):
     """Class probabilities of the test rows."""
     train, test = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train)
-    model = training.train_multiclass(train, features, small_forest())
+    model = training.train_multiclass(train, features)
     return scoring.predict_proba(model, test, features, ids=("sn", "out_days", "label"))
 
 
@@ -163,7 +159,7 @@ def binary_matrix(spark, sf):
 def train_binary(spark, sf):
     train, test = _split(binary_matrix(spark, sf))
     features = train_plan.feature_columns(train)
-    model = training.train_binary(train, features, rounds=3)
+    model = training.train_binary(train, features)
     return scoring.predict_proba(model, test, features, 2, ids=("sn", "out_days", "label"))
 
 
@@ -174,7 +170,7 @@ def cross_validate(spark, sf):
     features = train_plan.feature_columns(rows)
     per_fold = training.cross_validate(
         rows, features, ["sn", "out_days", "copy"],
-        lambda train: training.train_multiclass(train, features, training.forest(42, trees=3)),
+        lambda train: training.train_multiclass(train, features),
     )
     per_fold = written(per_fold, "folds")
     return per_fold.unionByName(training.mean_metrics(per_fold).withColumn("fold", F.lit(-1)))
@@ -192,7 +188,7 @@ def saved(spark, sf):
     rows = matrix(spark, sf)
     features = train_plan.feature_columns(rows)
     for stamp in ("2024_01_30", "2024_01_31"):
-        model = training.train_multiclass(_split(rows)[0], features, small_forest())
+        model = training.train_multiclass(_split(rows)[0], features)
         storage.save_model(spark, model, storage.model_path(root, "forest", 7, 7, stamp), features, stamp)
     return root, rows, features
 
@@ -225,7 +221,7 @@ def load_latest(spark, sf):
 def predict_proba(spark, sf):
     train_rows, _ = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_multiclass(train_rows, features, small_forest())
+    model = training.train_multiclass(train_rows, features)
     rows, _, _ = score_plan.score_features(telemetry(spark, sf), dt.date(2024, 1, 28), 7, SPEC, features)
     return scoring.predict_proba(model, rows, features)
 
@@ -235,7 +231,7 @@ def score_fleet(spark, sf):
     """Scores of the whole fleet for a day, with cut-offs."""
     train_rows, _ = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_multiclass(train_rows, features, small_forest())
+    model = training.train_multiclass(train_rows, features)
     scored, cutoffs, _ = score_plan.score_fleet(
         telemetry(spark, sf), model, features, dt.date(2024, 1, 28), 7, SPEC
     )
@@ -246,7 +242,7 @@ def score_fleet(spark, sf):
 def score_binary(spark, sf):
     train_rows, _ = _split(binary_matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_binary(train_rows, features, rounds=3)
+    model = training.train_binary(train_rows, features)
     scored, _, _ = score_plan.score_binary(
         telemetry(spark, sf), model, features, dt.date(2024, 1, 28), 7, SPEC
     )

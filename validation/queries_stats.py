@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from sunfleet.operators import lookback as lb
 from sunfleet.operators import quantiles, series, special
 from sunfleet.plans import statistics as plan
+from sunfleet.schema import CORE_NUMERIC
 
 from . import sql
 from .inputs import clean, telemetry
 from .registry import TIE_SHIFT, query
 
-KINDS = ["vac1", "vpv2", "eday"]
+KINDS = CORE_NUMERIC
 TIES = ("etotal",)
 
 # clean readings of the 20 days before the newest reading, in long form with positions
@@ -382,14 +383,14 @@ def _gated_sql(kinds, min_rows, min_days):
 
 def _long_features(spark, sf):
     return plan.window_statistics_long(
-        telemetry(spark, sf), KINDS[:2], 0, 20, min_rows=45, min_days=10, tie_breakers=TIES
+        telemetry(spark, sf), KINDS, 0, 20, min_rows=45, min_days=10, tie_breakers=TIES
     )
 
 
-@query("window_statistics_long", _gated_sql(KINDS[:2], 45, 10), DIGITS, TIE_SHIFT)
+@query("window_statistics_long", _gated_sql(KINDS, 45, 10), DIGITS, TIE_SHIFT)
 def window_statistics_long(spark, sf):
     """Long form for devices with enough readings and days; the check looks at one of every block."""
-    return _long_features(spark, sf).select("sn", *[f"{k}_{n}" for k in KINDS[:2] for n, _ in _WIDE])
+    return _long_features(spark, sf).select("sn", *[f"{k}_{n}" for k in KINDS for n, _ in _WIDE])
 
 
 @query("window_statistics_imputed", None, DIGITS)
