@@ -13,7 +13,8 @@ same document and an earlier start) is removed. Strings are judged on the input.
 3. *Suffix arrays.* The contexts of an anchor are trimmed to what any two of them can share and
    sorted as suffixes by linear grouping (``grouping_sort``). Neighbours that agree on ``length``
    bytes form runs; all windows of a run but the earliest are duplicates. Agreement is by 64-bit hash.
-   Anchors with more than ``most`` contexts are regrouped by whole windows, so no group outgrows a task.
+   Anchors with more than ``most`` contexts send no text: each of their windows is a row (hash, document, position), the earliest
+   of each hash is found by an aggregate that combines copies before the shuffle, and a join that skew handling can split marks the others.
 4. *Spans.* Duplicate windows are merged per document and cut from its bytes.
 
 Defined cases: a null text counts as empty, a null doc_id comes after all others. Rows that repeat a
@@ -141,30 +142,23 @@ def find_contexts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return run
 
 
-def fetch_contexts(length: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Bytes of the wanted contexts of the rows (id, part, text, wanted); single windows for crowded anchors."""
+def _wanted(piece: pa.RecordBatch, starts: np.ndarray, *names: str) -> tuple[np.ndarray, ...]:
+    """Row, first byte and ``names`` of the wanted contexts of the rows (id, part, text, wanted)."""
+    wanted = piece.column("wanted")
+    row = np.repeat(np.arange(piece.num_rows), np.diff(wanted.offsets.to_numpy()))
+    place, *rest = (wanted.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("place", *names))
+    return row, starts[row] + (place & 0xFFFFFFFF), place, *rest
+
+
+def fetch_contexts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Bytes of the wanted contexts of the rows (id, part, text, wanted)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 data, starts, _ = flat(piece.column("text"))
                 ids = piece.column("id").to_numpy(zero_copy_only=False)
-                part = piece.column("part").to_numpy(zero_copy_only=False)
-                wanted = piece.column("wanted")
-                row = np.repeat(np.arange(len(ids)), np.diff(wanted.offsets.to_numpy()))
-                anchor, place, windows, offset, crowd = (wanted.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("anchor", "place", "windows", "offset", "crowd"))
-                mine = place >> 32 == part[row]
-                anchor, place, windows, offset, crowd, row = (x[mine] for x in (anchor, place, windows, offset, crowd, row))
-                low = starts[row] + (place & 0xFFFFFFFF)
-                wide = crowd > most
-                n = np.where(wide, windows, 1)  # rows of each context
-                step = ranges(np.zeros(len(n), dtype=np.int64), n)
-                low, place = np.repeat(low, n) + step, np.repeat(place, n) + step
-                wide, anchor, row = np.repeat(wide, n), np.repeat(anchor, n), np.repeat(row, n)
-                windows, offset = np.where(wide, 1, np.repeat(windows, n)), np.repeat(offset, n) - step
-                if wide.any():
-                    whole = SpanHash(data)(low[wide], low[wide] + length).view(np.int64)
-                    anchor[wide] = mix((whole ^ anchor[wide]).view(np.uint64), 3).view(np.int64)
+                row, low, place, anchor, windows, offset = _wanted(piece, starts, "anchor", "windows", "offset")
                 size = windows - 1 + length
                 bounds = np.zeros(len(size) + 1, dtype=np.int64)
                 np.cumsum(size, out=bounds[1:])
@@ -179,6 +173,36 @@ def fetch_contexts(length: int, most: int) -> Callable[[Iterator[pa.RecordBatch]
     return run
 
 
+def fetch_windows(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Hash and place of each window of the wanted contexts of the rows (id, part, text, wanted); copies within a slice as duplicates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                data, starts, _ = flat(piece.column("text"))
+                ids = piece.column("id").to_numpy(zero_copy_only=False)
+                row, low, place, n = _wanted(piece, starts, "windows")
+                step = ranges(np.zeros(len(n), dtype=np.int64), n)
+                low, place, ids = np.repeat(low, n) + step, np.repeat(place, n) + step, np.repeat(ids[row], n)
+                window = mix(SpanHash(data)(low, low + length), 3).view(np.int64) if len(low) else low
+                by = np.lexsort((place, ids, window))
+                lead = _runs(window[by])
+                copy_id, copy_place, copy_windows = merged(ids[by[~lead]], place[by[~lead]], np.ones(len(by) - int(lead.sum()), dtype=np.int64))
+                by = by[lead]
+                window = pa.concat_arrays([pa.array(window[by], type=pa.int64()), pa.nulls(len(copy_id), pa.int64())])
+                rest = (np.concatenate([ids[by], copy_id]), np.concatenate([place[by], copy_place]), np.concatenate([np.ones(len(by), dtype=np.int64), copy_windows]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([window, *map(pa.array, rest)], names=["window", "id", "place", "windows"])
+
+    return run
+
+
+def merge_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Join runs of windows that touch, batch by batch."""
+    for batch in batches:
+        ids, place, windows = merged(*(c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns))
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(place), pa.array(windows.astype(np.int32))], names=["id", "place", "windows"])
+
+
 def _shared(group: np.ndarray, spans: SpanHash, at: np.ndarray, room: np.ndarray, ahead: bool) -> np.ndarray:
     """Upper bound of the bytes after (or before) ``at`` that a context shares with another of its group."""
     bound = room.copy()
@@ -327,16 +351,34 @@ def duplicate_spans(docs: DataFrame, length: int = 100, id_column: str = "doc_id
         "coalesce(offset >= 0 and last = struct(context, id, place), false) as same",
     ).filter("not same and (again or several)").selectExpr("anchor", "id", "place", "windows", "offset", "crowd", "again")
     found = written(found, "contexts")
-    wanted = found.filter("not again").groupBy("id").agg(F.collect_list(F.struct("anchor", "place", "windows", "offset", "crowd")).alias("wanted"))
-    texts = rows.join(written(wanted, "wanted"), "id").select("id", "part", "text", "wanted")
-    fetched = texts.mapInArrow(fetch_contexts(length, most), "anchor long, id long, place long, windows int, offset int, text binary")
+    fetched = _texts(rows, found.filter(f"not again and crowd <= {most}")).mapInArrow(fetch_contexts(length), "anchor long, id long, place long, windows int, offset int, text binary")
     compared = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare_contexts(length), MARKS)
     marks = found.filter("again").select("id", "place", "windows").unionByName(compared)
+    crowded = found.filter(f"not again and crowd > {most}")
+    if crowded.limit(1).count():
+        marks = marks.unionByName(_crowded_marks(_texts(rows, crowded), length))
     marks = marks.selectExpr("id", "shiftright(place, 32) as part", "place & 4294967295L as low", f"(place & 4294967295L) + windows - 1 + {length} as high")
     # spans per slice of a document first, so that no list is longer than the document is
     return written(marks.groupBy("id", "part").agg(F.expr("array_sort(collect_set(struct(low, high)))").alias("spans")), "spans")
 
 
+def _texts(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, part, text, wanted): the rows with their contexts in ``found``."""
+    wanted = found.groupBy("id", F.shiftright("place", 32).alias("part")).agg(F.collect_list(F.struct("anchor", "place", "windows", "offset")).alias("wanted"))
+    return rows.join(written(wanted, "wanted"), ["id", "part"]).select("id", "part", "text", "wanted")
+
+
+def _crowded_marks(texts: DataFrame, length: int) -> DataFrame:
+    """Duplicate windows among the wanted contexts of ``texts``, without their bytes."""
+    rows = written(texts.mapInArrow(fetch_windows(length), f"window long, {MARKS}"), "windows")
+    single = rows.filter("window is not null")
+    first = single.groupBy("window").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("window", "first")
+    # written, so that the join is of two plain shuffles, which skew handling splits
+    late = single.join(written(first, "windows"), "window").filter("struct(id, place) > first").select("id", "place", "windows")
+    late = late.repartition("id", F.shiftright("place", 32)).sortWithinPartitions("id", "place").mapInArrow(merge_marks, MARKS)
+    return rows.filter("window is null").select("id", "place", "windows").unionByName(late)
+
+
 def cut_spans(schema: pa.Schema, text: int, digest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Remove the spans in the last column from the text in column ``text`` (by position)."""
 
