@@ -327,20 +327,22 @@ def compare_contexts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
 
 def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, part, text): null ids last; ``part`` tells rows of one id apart, 0 if no id repeats."""
-    key, part = _keys(docs, id_column, text_column)
+    key, part, _ = _keys(docs, id_column, text_column)
     return docs.select(key.alias("id"), part.alias("part"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
 
-def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column]:
+def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column, bool]:
+    """Columns ``id`` and ``part``, and whether an id repeats."""
     key = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST))
     repeats = docs.groupBy(key.alias("id")).count().filter("count > 1").limit(1).count() > 0
-    return key, F.pmod(F.xxhash64(text_column), F.lit(2**30)) if repeats else F.lit(0).cast("long")
+    return key, F.pmod(F.xxhash64(text_column), F.lit(2**30)) if repeats else F.lit(0).cast("long"), repeats
 
 
 def duplicate_spans(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text", most: int = 20000) -> DataFrame:
     """Duplicate windows per document: (id, part, spans), spans sorted and apart, as array of (start, end) in bytes."""
-    rows = keyed(docs, id_column, text_column)
-    found = rows.filter(F.octet_length("text") >= length).mapInArrow(find_contexts(length), FOUND)
+    key, part, repeats = _keys(docs, id_column, text_column)
+    rows = docs.select(key.alias("id"), part.alias("part"), F.coalesce(F.col(text_column), F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
+    found = rows.mapInArrow(find_contexts(length), FOUND)
     found = found.selectExpr(
         "*",
         "lag(struct(context, id, place)) over (partition by anchor order by context, id, place) as last",
@@ -351,6 +353,8 @@ def duplicate_spans(docs: DataFrame, length: int = 100, id_column: str = "doc_id
         "coalesce(offset >= 0 and last = struct(context, id, place), false) as same",
     ).filter("not same and (again or several)").selectExpr("anchor", "id", "place", "windows", "offset", "crowd", "again")
     found = written(found, "contexts")
+    if repeats:  # equal rows are one document
+        rows = rows.dropDuplicates(["id", "part"])
     fetched = _texts(rows, found.filter(f"not again and crowd <= {most}")).mapInArrow(fetch_contexts(length), "anchor long, id long, place long, windows int, offset int, text binary")
     compared = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare_contexts(length), MARKS)
     marks = found.filter("again").select("id", "place", "windows").unionByName(compared)

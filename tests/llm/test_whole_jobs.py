@@ -36,3 +36,17 @@ def test_crowded_anchors_send_no_text(spark, monkeypatch):
         gone = {p for s in spans.get(key, ()) for p in range(s.low, s.high)}
         kept = bytes(b for p, b in enumerate(text.encode()) if p not in gone)
         assert (len(gone), hashlib.sha256(kept).hexdigest()) == (want[key][1], want[key][3]), key
+
+
+def test_repeated_rows_keep_first_occurrences(spark):
+    r = random.Random(6)
+    passage = [prose(r, 50) for _ in range(4)]
+    around = lambda k: f"{prose(r, 20)} {passage[k]} {prose(r, 20)}"
+    texts = [(k, around(k % 4)) for k in range(12)] + [(2, around(1)), (None, around(0)), (None, around(2)), (None, prose(r, 60))]
+    rows = texts + texts[:6] + texts[:3] + texts[-4:] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    parts = {(x.doc_id, x.text): x.part for x in docs.selectExpr("*", "pmod(xxhash64(text), 1073741824) as part").collect()}
+    order = sorted(parts, key=lambda k: (k[0] is None, k[0] or 0, parts[k]))
+    want = brute_spans([(k, k[1]) for k in order], 100)
+    got = sorted((str(x.doc_id), x.n_bytes, x.n_removed, x.kept_sha256) for x in suffix_dedup.digests(docs).collect())
+    assert got == sorted((str(k[0]), want[k][0], want[k][1], want[k][3]) for k in rows)
