@@ -1,6 +1,7 @@
 """Licence recognition by sentence rules.
 
-A text is cut into sentences, each sentence is normalised (lower case, one space, no punctuation but version points), and known licence
+Comment markers go, and a text is cut into sentences at marks and blank lines; a sentence may run over several lines, and a line of it may begin
+a sentence of its own (headings and references often have no mark). Each sentence is normalised (lower case, one space, no punctuation but version points), and known licence
 sentences are replaced by identifiers; numbers in a sentence (versions, clauses) become part of the identifier. The sequence
 of identifiers is then matched against ordered rules: at each place the first rule whose sequence begins there names the licence
 and consumes its sentences. A sentence that clearly speaks of a licence but is not known becomes ``UNKNOWN``.
@@ -22,9 +23,15 @@ from pyspark.sql import functions as F
 KEYWORDS = ("licen", "copyright", "redistribut", "permission", "warrant", "public domain", "as is", "spdx", "copyleft", "liab", "creative commons", "trademark", "all rights reserved")
 
 _V = r"(?:v(?:ersion)?\s*)?(\d+(?:\.\d+)*)"
+_GNU = (("GPL", "general public license|gpl"), ("LGPL", "(?:lesser|library) general public license|lgpl"), ("AGPL", "affero general public license|agpl"))
+_FSF = "as published by the free software foundation"
 #: Identifier and pattern of the normalised sentence; groups are appended to the identifier. The first that matches counts.
 SENTENCES: tuple[tuple[str, str], ...] = (
     ("SPDX", r"spdx license identifier ([a-z0-9.+ -]+)"),
+    *((f"{k}refPlus", rf".*(?:under the (?:terms of the )?)?gnu (?:{w}) (?:{_FSF} )?(?:either )?{_V}(?: of the license)?(?: {_FSF})? or (?:at your option )?any later version.*") for k, w in _GNU),
+    *((f"{k}ref", rf".*under the (?:terms of the )?gnu (?:{w}) (?:{_FSF} {_V}(?: of the license)?|{_V}(?: of the license)? {_FSF}).*") for k, w in _GNU),
+    ("GNUsee", r"see the gnu (?:lesser |library |affero )?general public license for more details"),
+    ("GNUcopy", r"you should have received a copy of the gnu (?:lesser |library |affero )?general public license.*"),
     ("GPLref", rf"(?:this \w+ is |it is |)(?:free software )?(?:licensed|released|distributed|available|published)? ?under the (?:terms of the )?gnu (?:general public license|gpl) {_V}(?: only)?"),
     ("GPLrefPlus", rf".*gnu (?:general public license|gpl) {_V} or (?:\(?at your option\)? )?any later version"),
     ("LGPLref", rf".*under the (?:terms of the )?gnu (?:lesser|library) general public license {_V}.*"),
@@ -46,13 +53,25 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("BSDendorse", r"(?:\d )?neither the name of .* may be used to endorse or promote products.*permission"),
     ("MPLref", rf".*subject to the terms of the mozilla public license {_V}.*"),
     ("CCref", rf"(?:this \w+ is |)(?:licensed|released|available|published) under (?:a |the )?(?:cc|creative commons) ?((?:by|by nc|by sa|by nd|by nc sa|by nc nd|zero|0)) ?{_V}(?: \w+)? ?(?:international|license)?"),
-    ("ISCgrant", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted.*"),
+    ("ISCgrant", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted.*"),
     ("PublicDomain", r".*(?:is|are|placed|released) (?:in|into|to) the public domain.*"),
     ("CopyrightLine", r"copyright(?: c)? .*\d{4}.*"),
     ("AllRights", r".*all rights reserved"),
 )
 COMPILED = tuple((name, re.compile(pattern)) for name, pattern in SENTENCES)
 
+
+def _in_lines(pattern: str) -> re.Pattern:
+    """The fixed part of a pattern within a sentence of several lines: it begins a line if the pattern has no open head, and ends one if it has no open tail."""
+    core = pattern.removeprefix(".*").removesuffix(".*")
+    core = re.sub(r"\[[^\]]*\]|\.\*| ", lambda m: {" ": r"[ \n]", ".*": ".*" if pattern.startswith("copyright") else r"[\s\S]*?"}.get(m[0], m[0]), core)
+    end = "" if pattern.endswith(".*") else r"(?=\Z|[ \n]see\b|\n(?!(?:or|and|as|only)\b))"
+    return re.compile((r"\b" if pattern.startswith(".*") else "^") + f"(?:{core}){end}", re.M)
+
+
+#: Identifier, pattern, whether the sentence may have more before it, and after it.
+WITHIN = tuple((name, _in_lines(pattern), pattern.startswith(".*"), pattern.endswith(".*")) for name, pattern in SENTENCES)
+
 #: Licence and the sentence identifiers that make it, in order; the first rule that fits counts. ``{}`` takes over what the identifier carries.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-{}", ("ApacheRef", "ApacheComply", "ApacheObtain", "ApacheAsIs", "ApacheSee")),
@@ -68,7 +87,9 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("ISC", ("ISCgrant",)),
     ("GPL-{}-or-later", ("GPLrefPlus",)),
     ("GPL-{}", ("GPLref",)),
+    ("LGPL-{}-or-later", ("LGPLrefPlus",)),
     ("LGPL-{}", ("LGPLref",)),
+    ("AGPL-{}-or-later", ("AGPLrefPlus",)),
     ("AGPL-{}", ("AGPLref",)),
     ("MPL-{}", ("MPLref",)),
     ("CC-{}", ("CCref",)),
@@ -78,22 +99,51 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 
 #: What an unknown sentence must have to be reported.
 CLEAR = re.compile(r"\b(?:licen[sc]e|copyright|redistribut|spdx|copyleft)")
-END = re.compile(r"[.!?;]+(?=\s|$)|\n+")
+#: Ends of sentences; "; either version 2 of the License" goes on.
+END = re.compile(r"[.!?]+(?=\s|$)|;+(?=\s|$)(?!\s+either\b)")
+#: What a commented line begins with.
+MARKER = re.compile(r"(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|>+|<!--+|\|+|dnl\b|rem\b)\s*)+")
+URL = re.compile(r"<?(?:https?://|www\.)\S+")
 PUNCTUATION = re.compile(r"[^\w.\s]|(?<!\d)\.|\.(?!\d)|_")
 
 
+def paragraphs(text: str) -> Iterator[str]:
+    """Runs of lines between blank ones, without comment markers. An address on a line of its own belongs to what is before it."""
+    held: list[str] = []
+    blank = False
+    for line in text.split("\n"):
+        line = line.strip()
+        line = line[MARKER.match(line).end():] if MARKER.match(line) else line
+        line = line.removesuffix("-->").rstrip("*/ \t") if line.endswith(("*/", "-->", "*")) else line
+        if not line:
+            blank = True
+            continue
+        if blank and held and not URL.fullmatch(line):
+            yield "\n".join(held)
+            held = []
+        blank = False
+        held.append(line)
+    if held:
+        yield "\n".join(held)
+
+
 def sentences(text: str) -> Iterator[str]:
-    """Sentences with a licence word. Line breaks end a sentence, and so do marks before white space."""
+    """Sentences with a licence word, with their line breaks. Blank lines and marks before white space end a sentence."""
     low = text.lower()
-    if not any(k in low for k in KEYWORDS):
+    if not any(k in low for k in KEYWORDS) and "\n" not in low:
         return
-    for sentence in END.split(low):
-        if any(k in sentence for k in KEYWORDS):
-            yield sentence
+    for paragraph in paragraphs(low):
+        flat = paragraph.replace("\n", " ")
+        if any(k in flat for k in KEYWORDS):
+            for sentence in END.split(paragraph):
+                flat = sentence.replace("\n", " ")
+                if any(k in flat for k in KEYWORDS):
+                    yield sentence
 
 
 def normalised(sentence: str) -> str:
-    return " ".join(PUNCTUATION.sub(" ", sentence).split())
+    """Words with one space between them; line breaks stay."""
+    return "\n".join(line for line in (" ".join(PUNCTUATION.sub(" ", x).split()) for x in sentence.split("\n")) if line)
 
 
 def identify(sentence: str) -> tuple[str, str]:
@@ -101,13 +151,49 @@ def identify(sentence: str) -> tuple[str, str]:
     for name, pattern in COMPILED:
         found = pattern.fullmatch(sentence)
         if found:
-            return name, "-".join(g.upper().replace(" ", "-") for g in found.groups() if g)
+            return name, carried(found)
     return ("UNKNOWN", "") if CLEAR.search(sentence) else ("", "")
 
 
+def carried(found: re.Match) -> str:
+    return "-".join(" ".join(g.split()).upper().replace(" ", "-") for g in found.groups() if g)
+
+
+def identify_lines(sentence: str) -> list[tuple[str, str]]:
+    """Identifiers in a normalised sentence that is not known as a whole: the longest known parts that do not overlap."""
+    parts = [(m.start(), m.end(), rank, m) for rank, (_, pattern, *_) in enumerate(WITHIN) for m in pattern.finditer(sentence)]
+    chosen: list[tuple[int, int, int, re.Match]] = []
+    for part in sorted(parts, key=lambda x: (x[0] - x[1], x[2])):
+        if all(part[1] <= x[0] or part[0] >= x[1] for x in chosen):
+            chosen.append(part)
+    ids: list[tuple[str, str]] = []
+    at, open_tail = 0, False
+    for start, end, rank, found in sorted(chosen):
+        name, _, head, tail = WITHIN[rank]
+        gap = sentence[at:start]
+        if at and "\n" not in gap and open_tail:  # the same line goes on
+            at = end
+            continue
+        if not (head or open_tail):
+            ids += _unknown(gap if not at else gap.partition("\n")[2])
+        ids.append((name, carried(found)))
+        at, open_tail = end, tail
+    rest = sentence[at:]
+    if not open_tail and not rest.lstrip().startswith("see "):
+        ids += _unknown(rest if not at else rest.partition("\n")[2])
+    return ids
+
+
+def _unknown(text: str) -> list[tuple[str, str]]:
+    return [("UNKNOWN", "")] if CLEAR.search(text) else []
+
+
 def recognise(text: str | None) -> tuple[list[str], list[str]]:
     """(sentence identifiers, licences in order of first mention)."""
-    ids = [i for i in (identify(normalised(s)) for s in sentences(text or "")) if i[0]]
+    ids = []
+    for sentence in map(normalised, sentences(text or "")):
+        known = identify(sentence) if "\n" not in sentence else ("", "")
+        ids += [known] if known[0] not in ("", "UNKNOWN") else identify_lines(sentence)
     licences: list[str] = []
     at = 0
     while at < len(ids):

@@ -3,7 +3,7 @@
 import hashlib
 import random
 
-from sunfleet.llm import suffix_dedup
+from sunfleet.llm import license_scan, suffix_dedup
 
 from .test_operators import brute_spans
 
@@ -50,3 +50,90 @@ def test_repeated_rows_keep_first_occurrences(spark):
     want = brute_spans([(k, k[1]) for k in order], 100)
     got = sorted((str(x.doc_id), x.n_bytes, x.n_removed, x.kept_sha256) for x in suffix_dedup.digests(docs).collect())
     assert got == sorted((str(k[0]), want[k][0], want[k][1], want[k][3]) for k in rows)
+
+
+BSD = """Copyright (c) 2015, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the documentation.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+HOLDER BE LIABLE FOR ANY DAMAGES."""
+ENDORSE = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES."""
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software, to deal in the Software without restriction, subject to the
+following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM."""
+GNU = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU {}General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY.  See the
+GNU {}General Public License for more details."""
+
+
+def test_wrapped_licences():
+    def ids(text):
+        found, names = license_scan.recognise(text)
+        return [x.split(":")[0] for x in found], names
+
+    bare = ["CopyrightLine", "AllRights", "BSDgrant", "BSDsource", "BSDbinary"]
+    texts = [
+        (BSD.format(""), [*bare, "AsIsProvided", "NoLiability"], "BSD-2-Clause"),
+        (BSD.format(ENDORSE), [*bare, "BSDendorse", "AsIsProvided", "NoLiability"], "BSD-3-Clause"),
+        (APACHE, ["CopyrightLine", "ApacheRef", "ApacheComply", "ApacheObtain", "ApacheAsIs", "ApacheSee"], "Apache-2.0"),
+        (ISC, ["ISCgrant", "AsIsProvided"], "ISC"),
+        (MIT, ["UNKNOWN", "CopyrightLine", "MITgrant", "MITnotice", "AsIsProvided", "NoLiability"], "MIT"),
+        (GNU.format(":", "", ",", 3, ""), ["GPLrefPlus", "GNUsee"], "GPL-3-or-later"),
+        (GNU.format(";", "", ";", 2, ""), ["GPLrefPlus", "GNUsee"], "GPL-2-or-later"),
+        (GNU.format(":", "Lesser ", ",", 2.1, "Lesser "), ["LGPLrefPlus", "GNUsee"], "LGPL-2.1-or-later"),
+        (GNU.format(":", "Affero ", ",", 3, "Affero "), ["AGPLrefPlus", "GNUsee"], "AGPL-3-or-later"),
+    ]
+    for text, want, name in texts:
+        assert ids(text) == (want, [name])
+        for mark in ("# ", "// ", " * ", "-- ", "; "):
+            assert ids("\n".join(f"{mark}{line}".rstrip() for line in text.split("\n"))) == (want, [name]), (mark, name)
+        assert ids("/*\n" + text + "\n*/")[1] == [name]
+    assert ids("This project is licensed under the MIT License - see the LICENSE file for details.") == (["MITref"], ["MIT"])
+    assert ids("This project is licensed under the MIT\nLicense - see the LICENSE file\nfor details.") == (["MITref"], ["MIT"])
+    assert ids("Licensed under the MIT License\nCopyright 2020 Foo\nReleased into the public domain")[1] == ["MIT", "Public-Domain"]
+    assert ids("The software is provided as is\nLicensed under the GNU GPL version 2\nor any later version")[1] == ["GPL-2-or-later"]
