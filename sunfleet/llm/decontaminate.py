@@ -10,8 +10,9 @@
 4. *Verification.* Weighted Jaccard similarity of the two multisets of shingles, in whole numbers.
 
 Defined cases: null and short texts have no shingle and match nothing; so do items of fewer words than a shingle. A document
-shorter than an item is compared as a whole. Repeated items and rows give the same matches; a null item_id or doc_id is a
-key like any other. Words are compared in lower case.
+shorter than an item is compared as a whole. Repeated items and rows give the same matches. Rows are compared one by one, also those
+that repeat a doc_id or have none: ``matches`` names the best window of all rows of a doc_id (null is one), ``clean`` removes the leaking rows alone.
+A null item_id is a key like any other. Words are compared in lower case.
 """
 
 from __future__ import annotations
@@ -19,14 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunfleet.llm.frames import joined, small
+from sunfleet.llm.frames import fresh, identified, joined, small
 from sunfleet.session import written
 
 SHINGLE, PERCENT = 5, 80
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 4, 16, 3
 #: Every pair of fingerprints up to this distance is compared.
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
-NO_ID = -(2**63)
 
 WORDS = "filter(split(lower({text}), '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
 
@@ -72,12 +72,12 @@ def windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     return met.selectExpr("id", "length", "cast(greatest(0, least(pos - at, n - length)) as int) as start").distinct()
 
 
-def matches(
-    docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
-    id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text",
+def hits(
+    docs: DataFrame, number: str, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+    text_column: str = "text", item_column: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """(doc_id, item_id, similarity, start, n_words): the best window of each document and item, ``percent`` similar or more."""
-    texts = docs.selectExpr(f"coalesce(cast(`{id_column}` as bigint), {NO_ID}L) as id", f"{WORDS.format(text=f'`{text_column}`')} as words")
+    """(id, start, length, item_id, similarity): windows ``percent`` similar to an item or more; ``number`` is the column of unique row ids."""
+    texts = docs.selectExpr(f"`{number}` as id", f"{WORDS.format(text=f'`{text_column}`')} as words")
     listed = items.selectExpr(f"`{item_column}` as item_id", f"{WORDS.format(text=f'`{item_text}`')} as words").filter(f"size(words) >= {shingle}")
     listed = listed.selectExpr("item_id", "words", "size(words) as length")
     found = written(windows(texts.filter(f"size(words) >= {shingle}"), listed, shingle), "windows")
@@ -100,14 +100,23 @@ def matches(
     both = both.alias("p").join(known.alias("k"), F.expr("p.item_id <=> k.item_id and p.length = k.length"))
     weighed = both.selectExpr("p.length", "p.content", "p.item_id", f"{shared_weight('t', 's')} as common", f"{total_weight('s')} + {total_weight('t')} as total")
     good = weighed.filter(f"100 * common >= {percent} * (total - common)").selectExpr("length", "content", "item_id", "common / cast(total - common as double) as similarity")
-    hits = joined(laid.select("id", "start", "length", "content"), written(good, "matches"), ["length", "content"])
-    best = hits.groupBy("id", "item_id").agg(F.max(F.struct("similarity", F.expr("-start as start"), "length")).alias("m"))
-    return best.selectExpr(f"nullif(id, {NO_ID}L) as doc_id", "item_id", "m.similarity as similarity", "-m.start as start", "m.length as n_words")
+    return joined(laid.select("id", "start", "length", "content"), written(good, "matches"), ["length", "content"])
+
+
+def matches(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_column: str = "doc_id", **columns) -> DataFrame:
+    """(doc_id, item_id, similarity, start, n_words): the best window of each document and item, ``percent`` similar or more."""
+    rows, number = identified(docs, id_column)
+    found = written(hits(rows, number, items, shingle, percent, **columns).groupBy("id", "item_id").agg(F.max(F.struct("similarity", F.expr("-start as start"), "length")).alias("m")), "hits")
+    # the rows of one id are one document
+    leaks = rows.select(F.col(number).alias("id"), F.col(f"`{id_column}`").cast("long").alias("doc_id"))
+    best = joined(leaks, found, "id").groupBy("doc_id", "item_id").agg(F.max("m").alias("m"))
+    return best.selectExpr("doc_id", "item_id", "m.similarity as similarity", "-m.start as start", "m.length as n_words")
 
 
 def clean(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The documents without a match, with their columns."""
-    leaks = matches(docs, items, id_column=id_column, **options).select("doc_id").distinct()
-    leaks = written(leaks.selectExpr("doc_id as leak"), "leaks")
+    """The rows without a match, with their columns."""
+    rows, number = identified(docs, id_column)
+    leak = fresh(rows, "leak")
+    leaks = written(hits(rows, number, items, **options).select(F.col("id").alias(leak)).distinct(), "leaks")
     side = F.broadcast(leaks) if small(leaks) else leaks
-    return docs.join(side, docs[id_column].cast("long").eqNullSafe(side["leak"]), "left_anti")
+    return rows.join(side, rows[number] == side[leak], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

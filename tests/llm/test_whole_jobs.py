@@ -3,7 +3,7 @@
 import hashlib
 import random
 
-from sunfleet.llm import license_scan, suffix_dedup
+from sunfleet.llm import decontaminate, license_scan, suffix_dedup
 
 from .test_operators import brute_spans
 
@@ -137,3 +137,16 @@ def test_wrapped_licences():
     assert ids("This project is licensed under the MIT\nLicense - see the LICENSE file\nfor details.") == (["MITref"], ["MIT"])
     assert ids("Licensed under the MIT License\nCopyright 2020 Foo\nReleased into the public domain")[1] == ["MIT", "Public-Domain"]
     assert ids("The software is provided as is\nLicensed under the GNU GPL version 2\nor any later version")[1] == ["GPL-2-or-later"]
+
+
+def test_leaks_among_null_and_repeated_ids(spark):
+    r = random.Random(7)
+    item = prose(r, 30)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    leak = lambda: f"{prose(r, 20)} {item} {prose(r, 9)}"
+    clean = [(None, prose(r, 60)), (None, prose(r, 70)), (None, None), (4, prose(r, 60)), (5, prose(r, 50))]
+    leaks = [(None, leak()), (4, leak()), (6, leak()), (6, leak())]
+    docs = spark.createDataFrame(clean + leaks + clean[3:4] + leaks[:1], "doc_id long, text string").repartition(5)
+    assert sorted(map(str, decontaminate.clean(docs, items).collect())) == sorted(map(str, spark.createDataFrame(clean + clean[3:4], docs.schema).collect()))
+    found = decontaminate.matches(docs, items).collect()
+    assert sorted((str(x.doc_id), x.similarity, x.start) for x in found) == [("4", 1.0, 20), ("6", 1.0, 20), ("None", 1.0, 20)]
