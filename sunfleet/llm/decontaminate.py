@@ -4,8 +4,8 @@
    shingle, so the shingles of all documents are held against those of the items, and a common shingle lays a window of the
    item's size along it. Windows of equal content are one from here on.
 2. *Fingerprints.* 64-bit SimHash of the weighted shingles (weight: characters of the shingle's words).
-3. *Candidates.* Fingerprints are cut into four blocks of 16 bits. Within Hamming distance 15, one block is within 3 (pigeonhole), so
-   the items are listed under every value within 3 flips of their blocks and windows of the same size look theirs up.
+3. *Candidates.* Fingerprints are cut into four blocks of 16 bits. Within Hamming distance 19, one block is within 4 (pigeonhole), so
+   the items are listed under every value within 4 flips of their blocks and windows of the same size look theirs up.
    Every pair within the radius is found.
 4. *Verification.* Weighted Jaccard similarity of the two multisets of shingles, in whole numbers.
 
@@ -24,7 +24,7 @@ from sunfleet.llm.frames import fresh, identified, joined, small
 from sunfleet.session import written
 
 SHINGLE, PERCENT = 5, 80
-BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 4, 16, 3
+BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 4, 16, 4
 #: Every pair of fingerprints up to this distance is compared.
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 
@@ -91,7 +91,7 @@ def hits(
     known = listed.selectExpr("item_id", "length", f"{weighted('words', '1', f'length - {shingle - 1}', shingle)} as t").distinct()
     known = written(known.selectExpr("item_id", "length", "t", f"{simhash('t')} as g"), "items")
     near = f"filter(sequence(0, {2**BLOCK_BITS - 1}), x -> bit_count(x) <= {BLOCK_RADIUS})"
-    flips = known.sparkSession.range(1).selectExpr(f"{near} as flips")  # 697 values
+    flips = known.sparkSession.range(1).selectExpr(f"{near} as flips")  # 2517 values
     index = known.select("item_id", "length", "g", blocks("g").alias("b")).join(F.broadcast(flips))
     index = index.selectExpr("item_id", "length", "g", "b.block as block", "explode(transform(flips, x -> x ^ b.value)) as value")
     look = contents.select("length", "content", "f", blocks("f").alias("b")).selectExpr("length", "content", "f", "b.block as block", "b.value as value")

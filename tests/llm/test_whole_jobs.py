@@ -150,3 +150,18 @@ def test_leaks_among_null_and_repeated_ids(spark):
     assert sorted(map(str, decontaminate.clean(docs, items).collect())) == sorted(map(str, spark.createDataFrame(clean + clean[3:4], docs.schema).collect()))
     found = decontaminate.matches(docs, items).collect()
     assert sorted((str(x.doc_id), x.similarity, x.start) for x in found) == [("4", 1.0, 20), ("6", 1.0, 20), ("None", 1.0, 20)]
+
+
+def test_similar_pairs_beyond_fifteen_bits(spark):
+    r = random.Random(8)
+    item = prose(r, 50).split(" ")
+    altered = [" ".join([*item[:p], w, *item[p + 1:]]) for p in range(4, 46) for w in ("other", "words", "here", "stand")]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(altered)), "doc_id long, text string")
+    pairs = docs.selectExpr("doc_id", f"{decontaminate.WORDS.format(text='text')} as v", f"{decontaminate.WORDS.format(text=repr(' '.join(item)))} as w")
+    for a, b in (("s", "v"), ("t", "w")):
+        pairs = pairs.selectExpr("*", f"{decontaminate.weighted(b, '1', '46', 5)} as {a}")
+    pairs = pairs.selectExpr("doc_id", f"bit_count({decontaminate.simhash('s')} ^ {decontaminate.simhash('t')}) as h", f"{decontaminate.shared_weight('s', 't')} as c", f"{decontaminate.total_weight('s')} + {decontaminate.total_weight('t')} as n")
+    similar = {x.doc_id: x.h for x in pairs.filter("100 * c >= 80 * (n - c)").collect()}
+    found = {x.doc_id for x in decontaminate.matches(docs, items).collect()}
+    assert any(15 < h <= 19 for h in similar.values()) and {k for k, h in similar.items() if h <= 19} <= found <= set(similar)
