@@ -8,6 +8,10 @@ Labelled pages are (a) the pages of ``page_labels`` and (b) pages of the table i
 article (``article``, ``main``, ``itemprop=articleBody``): their blocks inside are main unless a menu, notice, form or the like
 lies between. At most ``sample`` pages of the table (the first by hash of page_id) are used for training; every page is decoded.
 
+Elements without text of the page (scripts, forms' options, drawings) are skipped up to their own end tag. Where that is left out, or lies beyond the end
+of the element around them, what they hide ends at the next block or at the end of the element around them; only script, style, textarea and title go on to
+the end of the page. A head has no extent of its own: what it may hold has no text.
+
 Defined cases: null or empty html gives an empty text. Markup that is cut off ends where the page ends. Repeated pages are decoded one by one
 and get equal texts. An empty table is an empty result; the model then rests on the labelled pages alone.
 """
@@ -34,10 +38,15 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not text of the page.
-RAW = frozenset("script style noscript template textarea title svg math iframe object select option button head canvas audio video".split())
+RAW = frozenset("script style noscript template textarea title svg iframe object select option button canvas audio video annotation annotation-xml".split())
+#: Those that only their own end tag ends.
+ENDLESS = frozenset("script style textarea title".split())
+#: Those whose markup does not end an element around them.
+CLOSED = ENDLESS | frozenset("noscript template iframe object".split())
 #: Elements inside a line of text; all others begin and end a block.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mo mn ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mtable mtr mtd mstyle mspace mpadded mphantom menclose mfenced mmultiscripts mprescripts semantics".split()
 )
 #: Start tags that end an open element of the same kind.
 CLOSES = {
@@ -71,6 +80,7 @@ class _Open:
     words: tuple[str, ...] = ()
     label: int | None = None
     hidden: bool = False
+    at: int = -1
 
 
 @dataclass
@@ -98,6 +108,19 @@ def _opened(tag: str, attributes: str) -> _Open:
     return _Open(tag, tuple(words), label, hidden)
 
 
+def _ends(page: str, tag: str) -> dict[int, tuple[int, int]]:
+    """Where each element of a kind ends: start of its start tag to the extent of its own end tag."""
+    ends: dict[int, tuple[int, int]] = {}
+    opened: list[int] = []
+    for found in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", page, re.I):
+        if not found.group(1):
+            if not found.group().endswith("/>"):
+                opened.append(found.start())
+        elif opened:
+            ends[opened.pop()] = found.span()
+    return ends
+
+
 def leaf_blocks(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order; blank ones are left out."""
     page = page or ""
@@ -106,6 +129,12 @@ def leaf_blocks(page: str | None) -> list[Block]:
     run = _Run()
     links = 0
     at = 0
+    ends: dict[str, dict[int, tuple[int, int]]] = {}
+
+    def end_of(tag: str, start: int) -> tuple[int, int] | None:
+        if tag not in ends:
+            ends[tag] = _ends(page, tag)
+        return ends[tag].get(start)
 
     def flush() -> None:
         nonlocal run
@@ -118,8 +147,10 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 blocks.append(Block(text, tags, words, run.linked, frozenset(run.inline), label))
             run = _Run()
 
+    concealed: int | None = None  # open elements around a skipped one that has no end of its own
+
     def add(piece: str) -> None:
-        if piece:
+        if piece and concealed is None:
             run.pieces.append(piece)
             if links:
                 run.linked += len(piece.strip())
@@ -142,8 +173,12 @@ def leaf_blocks(page: str | None) -> list[Block]:
             if tag == "br" or tag == "p" and not any(e.tag == "p" for e in stack):
                 flush()
                 continue
+            if tag in RAW:
+                concealed = None
+                continue
             if any(e.tag == tag for e in stack):
                 if tag not in INLINE:
+                    concealed = None
                     flush()
                     while stack[-1].tag != tag:
                         stack.pop()
@@ -151,22 +186,33 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 else:  # an inline end never closes a block
                     for k in range(len(stack) - 1, -1, -1):
                         if stack[k].tag == tag:
+                            concealed = None if concealed is not None and k < concealed else concealed
                             del stack[k]
                             break
                         if stack[k].tag not in INLINE:
                             break
                 links = sum(e.tag == "a" for e in stack)
             continue
+        if tag == "head":
+            continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at) if not found.group(3).rstrip().endswith("/") else found
-            if tag == "head":  # its end may be left out
-                body = re.compile(r"<body\b", re.I).search(page, at)
-                end = min((x for x in (end, body) if x), key=lambda x: x.start(), default=None)
-                at = size if end is None else end.start()
-            elif end is not found:
+            if found.group(3).rstrip().endswith("/"):
+                continue
+            if tag in ENDLESS:
+                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = size if end is None else end.end()
+                continue
+            own = end_of(tag, found.start())
+            around = next((end_of(e.tag, e.at) for e in reversed(stack) if e.tag not in INLINE), None)
+            # an option begins the next one
+            nested = tag in ("option", "button") and own and re.compile(rf"<{tag}\b", re.I).search(page, at, own[0])
+            if own and not nested and (tag in CLOSED or around is None or own[0] < around[0]):
+                at = own[1]
+            else:
+                concealed = len(stack)
             continue
         if tag not in INLINE:
+            concealed = None
             flush()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k].tag in CLOSES.get(tag, ()) or stack[k].tag == "p":
@@ -177,6 +223,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
                     break
         if tag not in VOID and not found.group(3).rstrip().endswith("/"):
             stack.append(_opened(tag, found.group(3)))
+            stack[-1].at = found.start()
             links += tag == "a"
     flush()
     return blocks

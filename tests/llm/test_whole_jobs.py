@@ -3,7 +3,7 @@
 import hashlib
 import random
 
-from sunfleet.llm import decontaminate, license_scan, suffix_dedup
+from sunfleet.llm import decontaminate, html_extract, license_scan, suffix_dedup
 
 from .test_operators import brute_spans
 
@@ -165,3 +165,17 @@ def test_similar_pairs_beyond_fifteen_bits(spark):
     similar = {x.doc_id: x.h for x in pairs.filter("100 * c >= 80 * (n - c)").collect()}
     found = {x.doc_id for x in decontaminate.matches(docs, items).collect()}
     assert any(15 < h <= 19 for h in similar.values()) and {k for k, h in similar.items() if h <= 19} <= found <= set(similar)
+
+
+def test_elements_without_an_end_hide_no_more_than_themselves():
+    texts = lambda page: [b.text for b in html_extract.leaf_blocks(page)]
+    for form in (
+        "<datalist><option value=a><option value=b></datalist>", "<select><option>a<option>b</select>", "<button>Go", "<select><option>a<option>b",
+        "<svg><path d=x>", "<iframe src=x>", "<datalist><option>a<option>b</datalist><select><option>c</option></select>", "<button>Go<button>Stop</button>",
+    ):
+        assert texts(f"<body><form>{form}</form><article><p>One text.</p></article><select><option>z</option></select><button>x</button>") == ["One text."], form
+    assert texts("<body><canvas><article><p>One text.</p></article>") == ["One text."]
+    assert texts("<html><head><title>No</title><meta charset=x><p>One text.<div>Two</div>") == ["One text.", "Two"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be <svg><text>no</text></svg>so.") == ["Let x=2 be so."]
+    assert texts("<p>A <span><button>Go <b>on</b> now</span> text") == ["A text"]
+    assert texts("<p>One</p><script>var t = '<p>'") == ["One"]
