@@ -62,6 +62,7 @@ OTHER_WORDS = frozenset(
     "ad ads advert advertisement sponsored promo banner cookie consent notice alert newsletter subscribe signup login search menu nav navbar navigation "
     "breadcrumb breadcrumbs sidebar widget related share sharing social footer header masthead comment comments reply replies respond disqus pagination pager tags copyright".split()
 )
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())
 
 
 @dataclass
@@ -72,6 +73,9 @@ class Block:
     linked: int
     inline: frozenset[str]
     label: int | None = None
+    #: Whether an article is around it, and whether a menu, notice or the like lies between.
+    inside: bool = False
+    between: bool = False
 
 
 @dataclass
@@ -108,6 +112,15 @@ def _opened(tag: str, attributes: str) -> _Open:
     return _Open(tag, tuple(words), label, hidden)
 
 
+def _place(stack: list[_Open]) -> tuple[bool, bool]:
+    """Whether an article is open, and whether one of the elements in it names something else. An article in an article is a comment if it or what is between says so."""
+    named = [k for k, e in enumerate(stack) if e.tag in MAIN_TAGS or "articlebody" in "".join(e.words)]
+    if not named:
+        return False, False
+    below = any(e.tag in OTHER_TAGS or any(w in OTHER_WORDS for w in e.words) for e in stack[named[-1] + 1:])
+    return True, below or any(w in COMMENT_WORDS for e in stack[named[0] + 1: named[-1] + 1] for w in e.words)
+
+
 def _ends(page: str, tag: str) -> dict[int, tuple[int, int]]:
     """Where each element of a kind ends: start of its start tag to the extent of its own end tag."""
     ends: dict[int, tuple[int, int]] = {}
@@ -144,7 +157,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 label = next((e.label for e in reversed(stack) if e.label is not None), None)
                 tags = tuple(e.tag for e in stack if e.tag not in INLINE)
                 words = tuple(w for e in stack for w in e.words)
-                blocks.append(Block(text, tags, words, run.linked, frozenset(run.inline), label))
+                blocks.append(Block(text, tags, words, run.linked, frozenset(run.inline), label, *_place(stack)))
             run = _Run()
 
     concealed: int | None = None  # open elements around a skipped one that has no end of its own
@@ -255,14 +268,8 @@ def features(blocks: list[Block]) -> list[list[str]]:
 
 def markup_labels(blocks: list[Block]) -> list[int] | None:
     """Labels from markup that names the article, or None if the page has none."""
-    labels, named = [], False
-    for block in blocks:
-        depth = max((k for k, t in enumerate(block.tags) if t in MAIN_TAGS), default=-1)
-        body = "articlebody" in "".join(block.words)
-        inside = depth >= 0 or body
-        named |= inside
-        between = any(t in OTHER_TAGS for t in block.tags[depth + 1:]) or any(w in OTHER_WORDS for w in block.words)
-        labels.append(int(inside and not between))
+    labels = [int(b.inside and not b.between) for b in blocks]
+    named = any(b.inside for b in blocks)
     return labels if named else None
 
 

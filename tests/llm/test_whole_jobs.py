@@ -179,3 +179,11 @@ def test_elements_without_an_end_hide_no_more_than_themselves():
     assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be <svg><text>no</text></svg>so.") == ["Let x=2 be so."]
     assert texts("<p>A <span><button>Go <b>on</b> now</span> text") == ["A text"]
     assert texts("<p>One</p><script>var t = '<p>'") == ["One"]
+
+
+def test_words_around_an_article_say_nothing_about_it():
+    labels = lambda page: html_extract.markup_labels(html_extract.leaf_blocks(page))
+    page = "<body class='has-sidebar'><div id=header-search><article class=post><p>One</p><div class=share>x</div><section><article class=comment><p>c</p></article></section></article></div><p>out</p>"
+    assert labels(page) == [1, 0, 0, 0]
+    assert labels("<body class=menu><div itemprop=articleBody><p>One</p><nav>x</nav></div>") == [1, 0]
+    assert labels("<body><p>One</p>") is None
