@@ -112,3 +112,76 @@ degree as (select a as doc_id, count(*) as n_links from links group by a)
 select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(low.low, w.doc_id)) as component_id, coalesce(n_links, 0) as n_links
 from w left join n using (doc_id) left join low using (doc_id) left join degree using (doc_id)
 """
+
+OP11 = r"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as ws from documents),
+g as (select lang, source, term, count(*) as n, count(distinct id) as d from (select lang, source, id, unnest(ws) as term from d) group by all),
+kept as (select lang, term, sum(n) as total from g group by all having sum(d) >= 3),
+whole as (select lang, count(*) as v, sum(total) as t from kept group by lang),
+own as (select g.lang, source, term, n from g join kept using (lang, term)),
+groups as (select lang, source, coalesce(sum(n), 0) as t from (select distinct lang, source from d) left join own using (lang, source) group by all),
+p as (select x.lang, x.source, k.term, coalesce(o.n, 0) as n, 1 + 1000000000::hugeint * (coalesce(o.n, 0) + 1) // (x.t + w.v) as p, 1 + 1000000000::hugeint * (k.total + 1) // (w.t + w.v) as q
+  from groups x join whole w using (lang) join kept k using (lang) left join own o on o.lang = x.lang and o.source = x.source and o.term = k.term),
+far as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source left join far f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // q)::bigint as value from p where n > 0 and p > q)
+select * from (select *, (row_number() over (partition by lang, source, part order by value desc, encode(item)))::int as rank from (select * from pairs union all select * from terms))
+where part = 'pair' or rank <= 200
+"""
+
+OP12 = r"""
+with recursive crc as (select list(c order by i) as tab from (
+  select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: case when c & 1 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end) as c from (select unnest(range(256)) as i))),
+keyed as (select conv_id, coalesce('=' || conv_id, '') as conv, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k
+  from conversations),
+hit as (select *, xor(4294967295::bigint, list_reduce(list_concat([4294967295::bigint], list_transform(string_split(k, ''), lambda x: ord(x)::bigint)),
+  lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % 20 as hit from keyed, crc),
+damaged as (select conv, turn, case when hit = 4 then 'user' else role end as role, case hit when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from (select *, unnest(case when hit = 3 then [0, 1] else [0] end) as copy from hit where hit <> 0)),
+placed as (select *, row_number() over (partition by conv order by turn nulls first, role, sha256(length(role) || ':' || role || text)) as pos,
+  count(*) over (partition by conv) as n, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as t from damaged),
+judged as (select *, left(role, 1) as x, case when t = '' then 'blank' when row_number() over (partition by conv, role, text order by pos) > 1 then 'duplicate' when right(t, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault
+  from placed),
+costed as (select *, fault in ('', 'truncated') as can, case when fault = 'truncated' then 3 else 0 end as more from judged),
+back as (
+  select conv, max(n) + 1 as pos, 0 as d0, 6 as d1, 3 as d2, 0 as d3 from costed group by conv
+  union all
+  select conv, pos, least(b0, 3 + b2, 6 + b3), least(b1, 3 + b2, 6 + b3), least(b2, 3 + b3), least(b3, 3 + b2) from (
+    select r.conv, r.pos,
+      least(4 + d0, case when can and x = 's' then more + d1 when can and x = 'u' then more + d2 end, case when can then more + 3 + d2 end) as b0,
+      least(4 + d1, case when can and x = 'u' then more + d2 end, case when can then more + 3 + d2 end) as b1,
+      least(4 + d2, case when can and x = 'a' then more + d3 end, case when can then more + 3 + d3 end) as b2,
+      least(4 + d3, case when can and x = 'u' then more + d2 end, case when can then more + 3 + d2 end) as b3
+    from back b join costed r on r.conv = b.conv and r.pos = b.pos - 1)
+),
+vec as (select conv, pos, [d0, d1, d2, d3] as v from back),
+walk as (
+  select conv, 1::bigint as pos, 0 as q, '' as audit, []::varchar[] as lines from costed where pos = 1
+  union all
+  select conv, pos + case when e = 'I' then 0 else 1 end,
+    case when e = 'D' then q when e = 'K' and x = 's' then 1 when q = 2 then 3 else 2 end,
+    audit || e,
+    case e when 'D' then lines when 'K' then list_append(lines, role || ':' || text)
+      else list_append(lines, case when q = 2 then 'assistant:' else 'user:' end || case when e = 'R' then text else '' end) end
+  from (
+    select w.*, r.x, r.role, r.text, case
+      when r.pos is null then 'I'
+      when 4 + n.v[q + 1] = c.v[q + 1] then 'D'
+      when 3 + c.v[case when q = 2 then 3 else 2 end + 1] = c.v[q + 1] then 'I'
+      when can and x = 's' and q = 0 and more + n.v[2] = c.v[q + 1] then 'K'
+      when can and x = 'u' and q <> 2 and more + n.v[3] = c.v[q + 1] then 'K'
+      when can and x = 'a' and q = 2 and more + n.v[4] = c.v[q + 1] then 'K'
+      else 'R' end as e
+    from walk w join vec c on c.conv = w.conv and c.pos = w.pos left join vec n on n.conv = w.conv and n.pos = w.pos + 1 left join costed r on r.conv = w.conv and r.pos = w.pos
+    where r.pos is not null or q in (1, 2))
+),
+ends as (select w.conv, audit, sha256(array_to_string(lines, chr(10))) as sha from walk w join (select conv, max(n) + 1 as pos from costed group by conv) using (conv, pos) where q in (0, 3)),
+counts as (select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(fault = 'blank') as blank, count_if(fault = 'duplicate') as duplicate, count_if(fault = 'truncated') as truncated,
+  count_if(pos > 1 and before || x not in ('su', 'ua', 'au')) as illegal from (select *, coalesce(lag(x) over (partition by conv order by pos), '') as before from costed) group by conv),
+ids as (select conv, any_value(conv_id) as conv_id from keyed group by conv)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal,
+  coalesce(v[1], 0)::bigint as cost, coalesce(audit, '') as audit, coalesce(sha, 'e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855') as repaired_sha256
+from ids left join counts using (conv) left join ends using (conv) left join (select conv, v from vec where pos = 1) using (conv)
+"""

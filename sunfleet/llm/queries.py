@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sunfleet.llm import cotraining, decontaminate, html_extract, license_scan, mixing, ngram_join, oracles, quality_divergence, suffix_dedup, token_counts, toxicity
+from sunfleet.llm import (
+    conversation_repair, cotraining, decontaminate, html_extract, language_id, license_scan, mixing, ngram_join, oracles, quality_divergence, source_audit, suffix_dedup,
+    token_counts, toxicity,
+)
 from sunfleet.llm.frames import bounded_batches
 
 #: Vocabulary of a public tokenizer; read by Spark.
@@ -77,12 +80,29 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms a source overuses."""
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    given = _table(spark, sf_dir, "conversations")
+    return conversation_repair.report(given, conversation_repair.damaged(given))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language_id.predictions(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_distribution_divergence, op3_suffix_array_dedup, op4_benchmark_decontamination, op5_cotraining_quality,
     op6_section_token_counts, op7_systematic_mix, op8_toxicity, op9_ngram_jaccard_join, op10_html_main_text,
+    op11_source_divergence, op12_conversation_repair, op13_language_id,
 )}
 
 ORACLES = {
     "op2_distribution_divergence": oracles.OP2, "op3_suffix_array_dedup": oracles.OP3, "op4_benchmark_decontamination": oracles.OP4,
-    "op7_systematic_mix": oracles.OP7, "op9_ngram_jaccard_join": oracles.OP9,
+    "op7_systematic_mix": oracles.OP7, "op9_ngram_jaccard_join": oracles.OP9, "op11_source_divergence": oracles.OP11, "op12_conversation_repair": oracles.OP12,
 }
