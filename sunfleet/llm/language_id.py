@@ -29,8 +29,8 @@ from sunfleet.session import written
 
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS, LENGTHS = 1 << 15, 16, (2, 3, 4)
-#: Bounds of the training sample.
-PER_LANGUAGE, ROWS, SUBWORDS = 2000, 8000, 512
+#: Bounds of the training sample. Up to 1,000 rows of a group Spark picks before it shuffles, so a frequent language sends few.
+PER_LANGUAGE, ROWS, SUBWORDS = 1000, 8000, 512
 #: Training: steps, rows of a step, learning rates of embeddings and layer, smallest stretch of subwords, seed; precision the rejection bound keeps.
 STEPS, STEP, RATE, LAYER_RATE, SHORTEST, SEED, PRECISION = 1000, 64, 50.0, 2.0, 6, 11, 0.995
 #: Bytes of a text that are hashed at once.
