@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import exact, text
 from .quantiles import group_quantiles, quantile_name
 
 KEYS = ["sn", "kind"]
@@ -77,41 +77,58 @@ def median_feature(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def indexed_rows(
     df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
-    """Rows with their position ``idx`` in the device's series, its length ``n``, and per metric
-    the device's mean, smallest and largest value."""
+    """Rows with their position ``idx`` in the device's series, its length ``n``, and ``stats``: per metric, in
+    the order of ``columns``, the device's mean (see ``functions.exact``), smallest and largest value."""
     way = "desc" if descending else "asc"
     order = ", ".join(f"{c} {way}" for c in ("createtime", *tie_breakers))
     needed = dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])
     rows = df.selectExpr(*needed, "date_trunc('hour', createtime) as _hour")
-    totals = {
-        f"{c}__{name}": f"{call}({c})"
-        for c in columns
-        for name, call in (("sum", "sum"), ("cnt", "count"), ("lo", "min"), ("hi", "max"))
-    }
+    totals = {}
+    for c in columns:
+        x = f"cast({c} as double)"
+        totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("sum", "sum"), ("cnt", "count"), ("lo", "min"), ("hi", "max"))}
+        totals |= {f"{c}__{name}": f"sum({part})" for name, part in exact.parts(x).items()}
     hours = rows.groupBy("sn", "_hour").agg(
         F.expr("count(1) as _n"), *[F.expr(a) for a in text.named(totals)]
     )
     # one row per device-hour: bounded by the calendar, not by the number of readings
-    device = "over (partition by sn)"
     before = f"over (partition by sn order by _hour {way} rows between unbounded preceding and 1 preceding)"
-    offsets = {"_before": f"coalesce(sum(_n) {before}, 0)", "n": f"sum(_n) {device}"}
-    for c in columns:
-        offsets[f"{c}__mean"] = f"try_divide(sum({c}__sum) {device}, sum({c}__cnt) {device})"
-        offsets[f"{c}__min"] = f"min({c}__lo) {device}"
-        offsets[f"{c}__max"] = f"max({c}__hi) {device}"
-    placed = hours.selectExpr("sn", "_hour", *text.named(offsets))
+    placed = hours.selectExpr("sn", "_hour", f"coalesce(sum(_n) {before}, 0) as _before")
     numbered = rows.selectExpr(
         "*", f"row_number() over (partition by sn, _hour order by {order}) - 1 as _local"
     )
-    return numbered.join(placed, ["sn", "_hour"]).selectExpr("*", "_before + _local as idx")
+    offsets = placed.join(_device_stats(hours, columns), "sn")
+    return numbered.join(offsets, ["sn", "_hour"]).selectExpr("*", "_before + _local as idx")
+
+
+def _device_stats(hours: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(sn, n, stats) from the totals of the hours; the sums behind the means are whole numbers, equal in any order."""
+    calls = {"sum": "sum({})", "cnt": "sum({})", "lo": "min({})", "hi": "max({})"}
+    calls |= {part: f"sum(cast({{}} as {exact.WIDE}))" for part in exact.PARTS}
+    totals = {f"{c}__{name}": call.format(f"{c}__{name}") for c in columns for name, call in calls.items()}
+    device = hours.groupBy("sn").agg(F.expr("sum(_n) as n"), *[F.expr(a) for a in text.named(totals)])
+    fields = lambda c: ", ".join(f"{c}__{name} as {name}" for name in calls)
+    structs = ", ".join(f"struct({i} as place, {fields(c)})" for i, c in enumerate(columns))
+    sums = (*exact.PARTS, "cnt")
+    known = f"{exact.inside('lo')} and {exact.inside('hi')}"
+    long = (
+        device.selectExpr("sn", "n", f"inline(array({structs}))")
+        .selectExpr("*", f"if({known}, {exact.first_mean(*sums)}, try_divide(sum, cnt)) as first", f"{known} as known")
+        .selectExpr("*", f"if(known, {exact.excess('first', *sums)}, null) as excess")
+        .selectExpr("*", f"if(known, {exact.nearer_mean('first', 'excess', 'cnt')}, first) as mean")
+        .selectExpr("*", f"if(known, cast(sign({exact.excess('mean', *sums)}) as int), 0) as side")
+    )
+    return long.groupBy("sn").agg(
+        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("place", "mean", "side", "lo", "hi"))).alias("stats")
+    )
 
 
 def _metrics(columns: Sequence[str]) -> str:
     """One output row per metric: kind, value, and the device's mean and range of the metric."""
     structs = ", ".join(
-        f"struct('{c}' as kind, cast({c} as double) as x, {c}__mean as mean, "
-        f"cast({c}__min as double) as lo, cast({c}__max as double) as hi)"
-        for c in columns
+        f"struct('{c}' as kind, cast({c} as double) as x, stats[{i}].mean as mean, stats[{i}].side as side, "
+        f"stats[{i}].lo as lo, stats[{i}].hi as hi)"
+        for i, c in enumerate(columns)
     )
     return f"inline(array({structs}))"
 
@@ -119,7 +136,7 @@ def _metrics(columns: Sequence[str]) -> str:
 def indexed_long(
     df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
-    """(sn, idx, n, kind, x, mean, lo, hi) per reading and metric."""
+    """(sn, idx, n, kind, x, mean, side, lo, hi) per reading and metric."""
     wide = indexed_rows(df, columns, tie_breakers, descending)
     return wide.selectExpr("sn", "idx", "n", _metrics(columns))
 
@@ -174,8 +191,8 @@ POSITION = {
         "first_location_of_minimum": "min(if(x = lo, idx, null)) / cast(max(n) as double)",
     },
     "mean_counts": {
-        "count_above_mean": "count_if(x > mean)",
-        "count_below_mean": "count_if(x < mean)",
+        "count_above_mean": "count_if(x > mean or x = mean and side > 0)",
+        "count_below_mean": "count_if(x < mean or x = mean and side < 0)",
     },
     "fft": {
         name: call
