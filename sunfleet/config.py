@@ -30,6 +30,7 @@ class TrainConfig:
     fault_offsets: Sequence[int] = tuple(range(8))
     time_range: int = 7
     seed: int = 42
+    rounds: int = 100
 
     @classmethod
     def from_dict(cls, values: dict) -> "TrainConfig":

@@ -68,3 +68,8 @@ def split_counts(spark: SparkSession, forest_path: str, names: Sequence[str]) ->
     )
     listed = spark.createDataFrame(list(enumerate(names)), "position int, feature string")
     return counts.join(listed, "position").select("feature", "score")
+
+
+def tree_split_counts(trees: DataFrame) -> DataFrame:
+    """(feature, score) of a table of boosted trees."""
+    return trees.filter(F.col("feature").isNotNull()).groupBy("feature").agg(F.count(F.lit(1)).alias("score"))

@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reshape import fill_scores_zero
+from . import boosting
 
 
 def predict_proba(
-    model: PipelineModel, df: DataFrame, features: Sequence[str], classes: int = 3, ids: Sequence[str] = ("sn",)
+    model: PipelineModel | boosting.TreeModel | boosting.StoredTrees, df: DataFrame, features: Sequence[str], classes: int = 3, ids: Sequence[str] = ("sn",)
 ) -> DataFrame:
     """(ids, proba_label_0 ...); features are taken by manifest, so their order is the model's."""
     filled = fill_scores_zero(df.select(*ids, *features), features)
-    proba = vector_to_array("probability")
+    proba = vector_to_array("probability") if isinstance(model, PipelineModel) else F.col("probability")
     return model.transform(filled).select(
         *ids, *[proba[i].alias(f"proba_label_{i}") for i in range(classes)]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..models import scoring, storage
+from ..models import boosting, scoring, storage
 from ..operators import daily as d
 from ..operators import reshape
 from ..sources.readers import read_columns
@@ -32,7 +32,7 @@ def score_features(
 
 
 def score_fleet(
-    df: DataFrame, model: PipelineModel, features: Sequence[str], visible_date: dt.date | None,
+    df: DataFrame, model: PipelineModel | boosting.TreeModel | boosting.StoredTrees, features: Sequence[str], visible_date: dt.date | None,
     time_range: int = 7, spec: d.DailySpec = d.EVERYTHING, label: Column | None = None, classes: int = 3,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(scores, cut-offs, dropped devices); production thresholds unless ``label`` is given."""
@@ -43,16 +43,17 @@ def score_fleet(
 
 
 def score_latest(
-    spark: SparkSession, df: DataFrame, root: str, visible_date: dt.date, time_range: int = 7,
+    spark: SparkSession, df: DataFrame, root: str, visible_date: dt.date, time_range: int = 7, thresholds: tuple[float, float] = (0.80, 0.80),
 ) -> tuple[list[DataFrame], DataFrame, DataFrame]:
     """Scores by the newest saved model: ([label 0, label 1, label 2], cut-offs, dropped)."""
     model, features, _ = storage.load_latest(spark, root)
-    scores, cutoffs, dropped = score_fleet(df, model, features, visible_date, time_range)
+    label = scoring.multi_threshold_label(*thresholds)
+    scores, cutoffs, dropped = score_fleet(df, model, features, visible_date, time_range, label=label)
     return scoring.split_by_label(scores), cutoffs, dropped
 
 
 def score_binary(
-    df: DataFrame, model: PipelineModel, features: Sequence[str], visible_date: dt.date | None,
+    df: DataFrame, model: PipelineModel | boosting.TreeModel | boosting.StoredTrees, features: Sequence[str], visible_date: dt.date | None,
     time_range: int = 7, spec: d.DailySpec = d.EVERYTHING, threshold: float = 0.5,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Binary form: label 1 from the threshold on."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..models import evaluation, storage, training
+from ..models import boosting, evaluation, storage, training
 from ..operators import cleaning as cl
 from ..operators import daily as d
 from ..operators import fleet
@@ -80,7 +80,7 @@ def offset_matrix(
 def offset_augmentation(
     ok: DataFrame, fault: DataFrame, labels: DataFrame, fault_offsets: Sequence[int] = FAULT_OFFSETS,
     ok_out_days: int = 0, time_range: int = 7, spec: d.DailySpec = d.EVERYTHING,
-    features: Sequence[str] | None = None, duplicate_ok: bool = False,
+    features: Sequence[str] | None = None, duplicate_ok: bool = False, ok_label: int = 0,
 ) -> DataFrame:
     """Labelled rows (sn, out_days, copy, features, label).
 
@@ -92,7 +92,7 @@ def offset_augmentation(
     ).withColumn("copy", F.lit(0))
     ok_rows = offset_matrix(ok, [ok_out_days], time_range, spec, features=features)
     copies = F.array(F.lit(0), F.lit(1)) if duplicate_ok else F.array(F.lit(0))
-    ok_rows = ok_rows.withColumn("error_type", F.lit(0)).withColumn("copy", F.explode(copies))
+    ok_rows = ok_rows.withColumn("error_type", F.lit(ok_label)).withColumn("copy", F.explode(copies))
     return fleet.error_type_as_label(fault_rows.unionByName(ok_rows))
 
 
@@ -100,14 +100,14 @@ def training_matrix(
     ok: DataFrame, fault: DataFrame, labels: DataFrame, test_size: float = 0.01, seed: int = 42,
     time_range: int = 7, fault_offsets: Sequence[int] = FAULT_OFFSETS, spec: d.DailySpec = d.EVERYTHING,
     features: Sequence[str] | None = None, duplicate_ok: bool = False, materialize: bool = True,
+    ok_label: int = 0, ok_out_days: int = 0,
 ) -> DataFrame:
     """Augmented rows with the model code and a stratified ``split`` column.
 
     The matrix is written once to the shared folder: split, fit and evaluation all reread it.
     """
     rows = offset_augmentation(
-        ok, fault, labels, fault_offsets, time_range=time_range, spec=spec, features=features,
-        duplicate_ok=duplicate_ok,
+        ok, fault, labels, fault_offsets, ok_out_days, time_range, spec, features, duplicate_ok, ok_label,
     ).withColumn("inverter_type_list", fn.device_type_code())
     if materialize:
         rows = written(rows, "training-matrix")
@@ -120,14 +120,14 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 
 def train(
-    spark: SparkSession, matrix: DataFrame, root: str, stamp: str, name: str = "forest",
-    out_days: int = 7, time_range: int = 7, classes: Sequence[int] = (0, 1, 2), seed: int = 42,
+    spark: SparkSession, matrix: DataFrame, root: str, stamp: str, name: str = training.BOOSTED,
+    out_days: int = 7, time_range: int = 7, classes: Sequence[int] = (0, 1, 2), seed: int = 42, rounds: int = boosting.MULTICLASS.rounds,
 ) -> tuple[str, DataFrame]:
     """Fit on the train rows, save the version, return (path, confusion matrix of the test rows)."""
     features = feature_columns(matrix)
     model, predicted = training.evaluate_model(
         name, matrix.filter(F.col("split") == "train"), matrix.filter(F.col("split") == "test"),
-        features, seed,
+        features, seed, rounds,
     )
     path = storage.model_path(root, name, out_days, time_range, stamp)
     storage.save_model(spark, model, path, features, stamp)
