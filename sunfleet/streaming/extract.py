@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.cleaning import DEVICE_PREFIX
+from ..plans import incremental
 
 
 def new_rows(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet") -> DataFrame:
@@ -33,3 +34,16 @@ def extract_days(
         .start()
     )
     query.awaitTermination()
+
+
+def keep_daily_state(rows: DataFrame, root: str, checkpoint: str) -> None:
+    """Bring the daily state below ``root`` up to date with all available files, one batch of them after the other.
+
+    A batch that was interrupted comes again under the same number and replaces itself.
+    """
+
+    def absorb(batch: DataFrame, number: int) -> None:
+        incremental.absorb(batch.sparkSession, root, batch, f"stream-{number:09d}")
+
+    query = rows.writeStream.foreachBatch(absorb).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
