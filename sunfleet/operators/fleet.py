@@ -57,6 +57,24 @@ def interval_fetch(df: DataFrame, fetch_list: DataFrame, days: int = 60, date: s
     return df.join(wanted, "sn").filter(F.col("createtime").between(start, end))
 
 
+def interval_fetch_all(df: DataFrame, fetch_list: DataFrame, days: int = 60, date: str = "return_date") -> DataFrame:
+    """Readings of the ``days`` before every listed date of a device, both ends included; overlapping intervals each get the reading.
+
+    Intervals are cut at months, and readings meet them by (device, month) and only then by time: the history of one
+    device spreads over its months, and a reading is compared with the intervals of its own month alone.
+    """
+    listed = fetch_list.select("sn", F.col(date).alias("_date"))
+    if dict(listed.dtypes)["_date"] == "string":
+        listed = listed.withColumn("_date", F.to_date("_date", "yyyyMMdd"))
+    wanted = listed.dropDuplicates().selectExpr(
+        "sn as _sn", "_date", "cast(date_sub(_date, {0}) as timestamp) as _start".format(int(days)), "cast(_date as timestamp) as _end"
+    ).selectExpr("*", "explode(sequence(trunc(_start, 'MM'), trunc(_end, 'MM'), interval 1 month)) as _month")
+    rows = df.withColumn("_own_month", F.trunc("createtime", "MM"))
+    met = rows.join(wanted, (F.col("sn") == F.col("_sn")) & (F.col("_own_month") == F.col("_month")))
+    inside = met.filter(F.col("createtime").between(F.col("_start"), F.col("_end")))
+    return inside.withColumn(date, F.col("_date")).drop("_sn", "_date", "_start", "_end", "_month", "_own_month")
+
+
 def newest_first(df: DataFrame) -> DataFrame:
     return df.orderBy(F.desc("createtime"), "sn")
 

@@ -134,6 +134,43 @@ def impute_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return joined.selectExpr(*[f"{filled.get(c, c)} as {c}" for c in df.columns])
 
 
+def feature_vectors(long: DataFrame, features: Sequence[str], keys: Sequence[str] = ("sn", "kind"), name: str = "values") -> DataFrame:
+    """The features of every row of a long form as one array of doubles."""
+    return long.selectExpr(*keys, f"array({', '.join(f'cast({c} as double)' for c in features)}) as {name}")
+
+
+def impute_vectors(vectors: DataFrame, kind: str = "kind", name: str = "values") -> DataFrame:
+    """``impute_features`` for arrays: every place of the array is a column of its own for each ``kind``.
+
+    One aggregate over (kind, place, value) finds ends and medians, so no plan has as many columns as there are features. The
+    statistics are one row per kind with as many entries as the array has: bounded by the schema, not by the rows.
+    """
+    from .quantiles import group_quantiles
+
+    cells = vectors.selectExpr(kind, f"posexplode({name}) as (_place, _x)").selectExpr(kind, "_place", f"if({text.finite('_x')}, _x, null) as value")
+    ends = cells.groupBy(kind, "_place").agg(F.max("value").alias("hi"), F.min("value").alias("lo"))
+    medians = group_quantiles(cells, [kind, "_place"], {"median": 0.5})
+    stats = ends.join(medians, [kind, "_place"], "left").groupBy(kind).agg(F.array_sort(F.collect_list(F.struct("_place", "hi", "lo", "median"))).alias("_stats"))
+    inf = "double('infinity')"
+    filled = (
+        f"transform({name}, (x, i) -> coalesce(case when x = {inf} then _stats[i].hi when x = -{inf} then _stats[i].lo "
+        "when x is null or isnan(x) then _stats[i].median else x end, 0.0D))"
+    )
+    joined = vectors.join(F.broadcast(stats), kind)
+    return joined.selectExpr(*[f"{filled} as {c}" if c == name else c for c in vectors.columns])
+
+
+def widen_vectors(
+    vectors: DataFrame, kinds: Sequence[str], features: Sequence[str], key: str = "sn", kind: str = "kind", name: str = "values"
+) -> DataFrame:
+    """One row per ``key`` with ``<kind>_<feature>`` columns, gathered as one array of arrays."""
+    order = ", ".join(f"'{k}'" for k in kinds)
+    placed = vectors.selectExpr(key, f"array_position(array({order}), {kind}) as _kind", name).filter("_kind > 0")
+    rows = placed.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_kind", name))).alias("_by_kind"))
+    cells = [f"try_element_at(_by_kind, {i + 1}L)[{j}] as `{k}_{f}`" for i, k in enumerate(kinds) for j, f in enumerate(features)]
+    return rows.selectExpr(key, *cells)
+
+
 def find_infinite(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """(ids, column_name, value) of every infinite cell."""
     return df.unpivot(list(ids), list(columns), "column_name", "value").filter(fn.is_infinite("value"))
@@ -143,7 +180,7 @@ def fill_scores_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing features (NULL or NaN) are 0 before scoring."""
     wanted = set(columns)
     return df.selectExpr(
-        *[f"coalesce(nanvl({c}, 0.0D), 0.0D) as {c}" if c in wanted else c for c in df.columns]
+        *[f"coalesce(nanvl(`{c}`, 0.0D), 0.0D) as `{c}`" if c in wanted else f"`{c}`" for c in df.columns]
     )
 
 

@@ -1,7 +1,4 @@
-"""Two statistics without a Spark expression: the trend's p-value and wavelet peaks.
-
-Both are small numpy helpers behind Arrow-batched functions; Spark cuts and shuffles the work.
-"""
+"""The trend's p-value, and wavelet peaks: small numpy helpers behind Arrow batches, where Spark cuts and shuffles the work."""
 
 from __future__ import annotations
 
@@ -14,7 +11,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import series
 
@@ -24,61 +20,30 @@ KEYS = series.KEYS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
-    """Continued fraction of the incomplete beta function, evaluated for all rows at once."""
-    tiny = 1e-300
-    c = np.ones_like(x)
-    d = 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
-    h = d.copy()
-    for m in range(1, 300):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        for term in (even, odd):
-            d = 1.0 + term * d
-            d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
-            c = 1.0 + term / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
-            step = d * c
-            h = h * step
-        if np.all(np.abs(step - 1.0) < 1e-15):
-            break
-    return h
-
-
-def regularized_beta(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
-    """I_x(a, b) for positive ``a`` (array) and ``b``; ``x`` in [0, 1]."""
-    lgamma = np.vectorize(math.lgamma, otypes=[float])
-    with np.errstate(divide="ignore"):
-        front = np.exp(
-            lgamma(a + b) - lgamma(a) - math.lgamma(b) + a * np.log(x) + b * np.log1p(-x)
-        )
-    direct = x < (a + 1.0) / (a + b + 2.0)
-    out = np.where(direct, front * _beta_fraction(a, b, np.where(direct, x, 0.0)) / a, 0.0)
-    # symmetric form for the other half, with the roles of a and b exchanged
-    if np.any(~direct):
-        swapped = _beta_fraction_swapped(a, b, np.where(direct, 0.0, 1.0 - x))
-        out = np.where(direct, out, 1.0 - front * swapped / b)
-    return np.clip(out, 0.0, 1.0)
-
-
-def _beta_fraction_swapped(a: np.ndarray, b: float, y: np.ndarray) -> np.ndarray:
-    return _beta_fraction(np.full_like(y, b), a, y)
-
-
-@F.pandas_udf(T.DoubleType())
-def _trend_p(r: pd.Series, n: pd.Series) -> pd.Series:
-    r, n = r.to_numpy(dtype=float), n.to_numpy(dtype=float)
-    ok = (n > 2) & ~np.isnan(r)
-    df = np.where(ok, n - 2, 1.0)
-    share = np.where(ok, np.clip(1.0 - r * r, 0.0, 1.0), 1.0)
-    p = regularized_beta(df / 2.0, 0.5, share)  # two-sided Student test of r
-    return pd.Series(np.where(ok, p, np.nan)).where(ok)
-
-
 def trend_p_value(r: Column, n: Column) -> Column:
-    """Two-sided p-value of a zero slope, from the correlation and the series length."""
-    return _trend_p(r, n)
+    """Two-sided p-value of a zero slope, from the correlation and the series length (NULL below three readings).
+
+    Student's distribution with whole degrees of freedom is a finite series in cos(a), where sin(a) = abs(r): every term is the one before times
+    cos(a)^2 and a ratio of neighbouring whole numbers. It has half as many terms as the series has readings.
+    """
+    n = n.cast("long")
+    degrees = n - 2
+    even = degrees % 2 == 0
+    sine = F.least(F.abs(r), F.lit(1.0))
+    square = F.greatest(F.lit(0.0), 1.0 - r * r)
+    terms = F.when(even, (degrees - 2) / 2).otherwise((degrees - 3) / 2).cast("int")
+    steps = F.when(terms >= 1, F.sequence(F.lit(1), F.greatest(terms, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+
+    def add(held: Column, k: Column) -> Column:
+        twice = 2.0 * k
+        term = held["term"] * square * F.when(even, (twice - 1) / twice).otherwise(twice / (twice + 1))
+        return F.struct(term.alias("term"), (held["total"] + term).alias("total"))
+
+    series_sum = F.aggregate(steps, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")), add, lambda held: held["total"])
+    odd = F.asin(sine) + F.when(degrees > 1, sine * F.sqrt(square) * series_sum).otherwise(0.0)
+    inside = F.when(even, sine * series_sum).otherwise(odd * (2 / math.pi))
+    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1.0 - inside))
+    return F.when((n > 2) & r.isNotNull() & ~F.isnan(r), p)
 
 
 def with_trend_p_value(df: DataFrame) -> DataFrame:

@@ -64,14 +64,9 @@ def all_features(
 
 
 def widen(long: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per device with ``<metric>_<statistic>`` columns."""
+    """One row per device with ``<metric>_<statistic>`` columns, all of them doubles."""
     features = [c for c in long.columns if c not in KEYS]
-    pivoted = long.groupBy("sn").pivot("kind", list(columns)).agg(
-        *[F.first(f).alias(f) for f in features]
-    )
-    if len(features) == 1:
-        return pivoted.toDF("sn", *[f"{c}_{features[0]}" for c in columns])
-    return pivoted
+    return reshape.widen_vectors(reshape.feature_vectors(long, features), columns, features)
 
 
 def window_statistics(
@@ -94,6 +89,5 @@ def window_statistics_long(
     rows = window_rows(df, days, out_days, newest_visible, min_rows, min_days)
     long = all_features(rows, columns, tie_breakers, wavelet_peaks=wavelet_peaks)
     features = [c for c in long.columns if c not in KEYS]
-    doubles = long.select(*KEYS, *[F.col(c).cast("double").alias(c) for c in features])
-    wide = written(widen(doubles, columns), "window-statistics")
-    return reshape.impute_features(wide, [c for c in wide.columns if c != "sn"])
+    vectors = written(reshape.feature_vectors(long, features), "window-statistics")
+    return reshape.widen_vectors(reshape.impute_vectors(vectors), columns, features)

@@ -9,14 +9,6 @@ from pyspark.sql import functions as F
 from sunfleet.operators import special
 
 
-@pytest.mark.parametrize(
-    "a, b, x, expected",
-    [(0.5, 0.5, 0.5, 0.5), (1.0, 1.0, 0.3, 0.3), (2.0, 0.5, 0.75, 1 - math.sqrt(0.25) * (1 + 0.75 / 2)), (4.0, 0.5, 0.0, 0.0), (4.0, 0.5, 1.0, 1.0)],
-)
-def test_regularized_beta(a, b, x, expected):
-    assert special.regularized_beta(np.array([a]), b, np.array([x]))[0] == pytest.approx(expected, abs=1e-12)
-
-
 def test_p_value_matches_numerical_integration(spark):
     def student_tail(t, df):
         grid = np.linspace(-t, t, 400001)

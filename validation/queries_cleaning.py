@@ -22,25 +22,19 @@ def q(body, **extra):
     return sql.chain(body, **extra)
 
 
-@query(
-    "cast_numeric",
-    q(
-        f"select sn, errorcode, {sql.time()}, {sql.rnd('vac1')}, {sql.rnd('etotal')}, "
-        f"round(try_cast(case when k%10=0 then 'n/a' else vpv1::varchar end as double), 9) + 0.0 as vpv1 from telemetry"
-    ),
+_TEXT_CAST = ", ".join(
+    f"round(try_cast(case when (k + {i}) % 10 = 0 then 'n/a' else {c}::varchar end as double), 9) + 0.0 as {c}" for i, c in enumerate(CORE_NUMERIC)
 )
+
+
+@query("cast_numeric", q(f"select sn, errorcode, {sql.time()}, {_TEXT_CAST} from telemetry"))
 def cast_numeric(spark, sf):
-    """Metrics arrive as text here, some of it no number."""
+    """All metrics arrive as text here, some of it no number."""
     from sunfleet.sources.event_log import telemetry_from_events
 
     t = telemetry_from_events(events(spark, sf))
-    text = t.select(
-        "sn", "errorcode", "createtime",
-        F.when(F.col("k") % 10 == 0, "n/a").otherwise(F.col("vpv1").cast("string")).alias("vpv1"),
-        F.col("vac1").cast("string").alias("vac1"),
-        F.col("etotal").cast("string").alias("etotal"),
-    )
-    return cl.cast_numeric(text)
+    text = [f"if((k + {i}) % 10 = 0, 'n/a', cast({c} as string)) as {c}" for i, c in enumerate(CORE_NUMERIC)]
+    return cl.cast_numeric(t.selectExpr("sn", "errorcode", "createtime", *text))
 
 
 @query("select_core", q(f"select {sql.core_out()} from telemetry"))
@@ -55,17 +49,21 @@ def device_prefix_filter(spark, sf):
     return cl.device_prefix_filter(telemetry(spark, sf)).select(*ID)
 
 
-@query(
-    "fill_zero",
-    q(f"select {ID_SQL}, errorcode, round(coalesce(temperature,0), 9) + 0.0 as temperature from telemetry"),
-)
+_FILLED = ", ".join(f"round(coalesce({c}, 0), 9) + 0.0 as {c}" for c in CORE_NUMERIC)
+
+
+@query("fill_zero", q(f"select sn, errorcode, {sql.time()}, {_FILLED} from telemetry"))
 def fill_zero(spark, sf):
-    return cl.fill_zero(telemetry(spark, sf).select(*ID, "errorcode", "temperature"))
+    return cl.fill_zero(telemetry(spark, sf))
 
 
-@query("dedupe_rows", q("select distinct sn, errorcode, switchstatus + 0.0 as switchstatus from telemetry"))
+@query("dedupe_rows", q(f"select distinct {sql.core_out()} from (select * from telemetry union all select * from telemetry where k % 3 = 0)"))
 def dedupe_rows(spark, sf):
-    return cl.dedupe_rows(telemetry(spark, sf).select("sn", "errorcode", "switchstatus"))
+    """A third of the rows is delivered twice."""
+    from sunfleet.sources.event_log import telemetry_from_events
+
+    t = telemetry_from_events(events(spark, sf))
+    return cl.dedupe_rows(cl.select_core(t.unionByName(t.filter("k % 3 = 0"))))
 
 
 def _clamped(cols):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,12 +14,16 @@ from sunfleet.operators import daily as d
 from sunfleet.operators import lookback as lb
 from sunfleet.operators import reshape
 from sunfleet.plans import daily as plan
+from sunfleet.plans import incremental
 from sunfleet.plans import scoring as score_plan
 from sunfleet.plans import training as train_plan
 from sunfleet.schema import IPV, PHASES, STRINGS, VAC, VPV
+from sunfleet.session import new_path
+from sunfleet.sources import layout
+from sunfleet.sources.event_log import telemetry_from_events
 
 from . import sql
-from .inputs import clean, fault_labels, telemetry
+from .inputs import clean, events, fault_labels, telemetry
 from .registry import query
 
 
@@ -256,6 +261,24 @@ def daily_features(spark, sf):
     return plan.daily_features(telemetry(spark, sf))
 
 
+@query("daily_features_incremental", pivot_sql(list(d.FAMILIES), plan.matrix_columns()))
+def daily_features_incremental(spark, sf):
+    """The same matrix from a stored state: three interleaved deliveries, one of them again with others' rows, all days touched late."""
+    t, root = telemetry_from_events(events(spark, sf)), new_path(spark, "daily-state")
+    for name, rule in (("b0", "k % 3 = 0"), ("b1", "k % 3 = 1"), ("b2", "k % 3 = 2 and day(createtime) % 2 = 0"), ("b1", "k % 3 = 1"), ("b3", "k % 3 = 2 or k % 9 = 0")):
+        incremental.absorb(spark, root, t.filter(rule), name)
+    return incremental.features(spark, root)
+
+
+@query("daily_features_of_table", pivot_sql(list(d.FAMILIES), plan.matrix_columns()))
+def daily_features_of_table(spark, sf):
+    """The same matrix from a table partitioned by day and bucketed by device."""
+    table = layout.write_device_table(telemetry(spark, sf), f"readings_{uuid.uuid4().hex}", 8)
+    devices = layout.profile(spark, table).filter("size(reasons) = 0").select("sn", "last_seen")
+    daily, windows = layout.daily_aggregates(spark, table, devices)
+    return plan.matrix_from_days(plan.complete_days(ch.spine_join(lb.date_spine(windows), daily)), plan.matrix_columns())
+
+
 @query(
     "daily_features_shifted",
     pivot_sql(list(d.FAMILIES), plan.matrix_columns(5), out_days=3, time_range=5, visible="2024-01-28"),

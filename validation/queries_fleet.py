@@ -121,6 +121,24 @@ def interval_fetch_60(spark, sf):
     return fleet.interval_fetch(telemetry(spark, sf), fetch_list(spark, sf), 60).select(*ID, "return_date")
 
 
+_MANY = "select distinct sn, createtime::date as return_date from telemetry where day(createtime) % 5 = 0"
+
+
+@query(
+    "interval_fetch_all",
+    q(
+        f"select sn, {sql.time()}, {sql.rnd('etotal')}, strftime(return_date, '%Y-%m-%d') as return_date from telemetry join many using (sn) "
+        "where createtime between return_date - interval 20 day and return_date",
+        many=_MANY,
+    ),
+)
+def interval_fetch_all(spark, sf):
+    """Several overlapping intervals per device."""
+    t = telemetry(spark, sf)
+    many = t.filter("day(createtime) % 5 = 0").selectExpr("sn", "to_date(createtime) as return_date").distinct()
+    return fleet.interval_fetch_all(t, many, 20).select(*ID, "return_date")
+
+
 _BATCH = (
     f"select sn, cast(floor((row_number() over (order by {sql.md5_key('sn', 0)}) - 1)/20) as bigint) as batch_id "
     "from (select distinct sn from telemetry)"

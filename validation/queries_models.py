@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from sunfleet.models import evaluation, scoring, storage, training
+from sunfleet.models import boosting, evaluation, scoring, storage, training
 from sunfleet.operators import daily as d
 from sunfleet.operators import fleet
 from sunfleet.plans import scoring as score_plan
@@ -128,8 +129,59 @@ def score_fleet_by_rule(spark, sf):
     return fleet.attach_cutoff_time(matrix.select("sn", label.alias("label")), cutoffs)
 
 
+# ---- a stored table of trees, scored in both engines ----
+
+
+def stored_trees() -> list[tuple]:
+    """Rows of a table of trees, by a rule: three rounds, three classes, two cuts each."""
+    rows = []
+    for turn in range(3):
+        for k in range(3):
+            error, on = f"error_rate_day_{(2 * turn + k) % 7}", f"on_rate_day_{(turn + 3 * k) % 7}"
+            rows += [
+                (turn, k, 0, error, 0.04 * (turn + 1), 0.0), (turn, k, 1, on, 0.5 + 0.15 * k, 0.0), (turn, k, 2, None, None, 0.3 * (k + 1) - 0.2 * turn),
+                (turn, k, 3, None, None, 0.25 * turn - 0.1 * k), (turn, k, 4, None, None, 0.15 * k - 0.35),
+            ]
+    return rows
+
+
+def _stored_sql() -> str:
+    text = lambda v: "null" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}::double" if isinstance(v, float) else str(v)
+    values = ", ".join(f"({', '.join(text(v) for v in row)})" for row in stored_trees())
+    blocks = {
+        **sql.daily_blocks(["error", "switch"], visible="2024-01-28")[0],
+        "trees": f"select * from (values {values}) t(round, output, node, feature, threshold, value)",
+        "x": "select sn, 'error_rate_day_' || day_idx as feature, coalesce(error_rate, 0) as x from days union all "
+        "select sn, 'on_rate_day_' || day_idx, coalesce(on_rate, 0) from days",
+    }
+    step = (
+        "select {n}.sn, {n}.round, {n}.output, case when t.feature is null then {n}.node when x.x < t.threshold then 2 * {n}.node + 1 else 2 * {n}.node + 2 end as node "
+        "from {n} join trees t using (round, output, node) left join x on x.sn = {n}.sn and x.feature = t.feature"
+    )
+    blocks |= {
+        "n0": "select distinct sn, round, output, 0 as node from days, trees", "n1": step.format(n="n0"), "n2": step.format(n="n1"),
+        "m": "select sn, output, sum(value) as m from n2 join trees using (round, output, node) group by 1, 2",
+        "p": "select sn, output, exp(m) / sum(exp(m)) over (partition by sn) as p from m",
+    }
+    cells = ", ".join(sql.rnd(f"max(case when output = {k} then p end)", f"proba_label_{k}") for k in range(3))
+    return q(f"select sn, {cells} from p group by sn", **blocks)
+
+
+@query("score_stored_trees", _stored_sql())
+def score_stored_trees(spark, sf):
+    """Class probabilities of the fleet by a table of trees."""
+    spec = d.DailySpec(("error", "switch"))
+    names = [f"{n}_day_{j}" for n in ("error_rate", "on_rate") for j in range(7)]
+    rows, _, _ = score_plan.score_features(telemetry(spark, sf), dt.date(2024, 1, 28), 7, spec, names)
+    trees = spark.createDataFrame([(*row, 0.0, 1.0) for row in stored_trees()], boosting.TREES)
+    return scoring.predict_proba(boosting.StoredTrees(trees, names, 3), rows, names)
+
+
 # ---- models: rows-only checks -----------------------------------------------------------------
 
+#: Rounds of the queries; the defaults of the library are 100 and 300.
+ROUNDS = 10
+
 
 def matrix(spark, sf):
     """Training matrix of all families."""
@@ -147,7 +199,7 @@ def train_multiclass(spark, sf):
     """Class probabilities of the test rows."""
     train, test = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train)
-    model = training.train_multiclass(train, features)
+    model = training.train_multiclass(train, features, rounds=ROUNDS)
     return scoring.predict_proba(model, test, features, ids=("sn", "out_days", "label"))
 
 
@@ -159,19 +211,16 @@ def binary_matrix(spark, sf):
 def train_binary(spark, sf):
     train, test = _split(binary_matrix(spark, sf))
     features = train_plan.feature_columns(train)
-    model = training.train_binary(train, features)
+    model = training.train_binary(train, features, rounds=ROUNDS)
     return scoring.predict_proba(model, test, features, 2, ids=("sn", "out_days", "label"))
 
 
 @query("cross_validate", digits=6)
 def cross_validate(spark, sf):
-    """Metrics of five folds and their mean (fold -1)."""
+    """Metrics of five folds, grown together, and their mean (fold -1)."""
     rows = written(binary_matrix(spark, sf).drop("split"), "matrix")
     features = train_plan.feature_columns(rows)
-    per_fold = training.cross_validate(
-        rows, features, ["sn", "out_days", "copy"],
-        lambda train: training.train_multiclass(train, features),
-    )
+    per_fold = training.cross_validate(rows, features, ["sn", "out_days", "copy"], params=replace(boosting.BINARY, rounds=ROUNDS))
     per_fold = written(per_fold, "folds")
     return per_fold.unionByName(training.mean_metrics(per_fold).withColumn("fold", F.lit(-1)))
 
@@ -179,7 +228,7 @@ def cross_validate(spark, sf):
 @query("train")
 def train(spark, sf):
     """Fit, save, and the confusion matrix of the test rows."""
-    _, confusion = train_plan.train(spark, matrix(spark, sf), new_path(spark, "models"), "2024_01_31")
+    _, confusion = train_plan.train(spark, matrix(spark, sf), new_path(spark, "models"), "2024_01_31", rounds=ROUNDS)
     return confusion
 
 
@@ -187,26 +236,25 @@ def saved(spark, sf):
     root = new_path(spark, "models")
     rows = matrix(spark, sf)
     features = train_plan.feature_columns(rows)
+    model = training.train_multiclass(_split(rows)[0], features, rounds=ROUNDS)
     for stamp in ("2024_01_30", "2024_01_31"):
-        model = training.train_multiclass(_split(rows)[0], features)
-        storage.save_model(spark, model, storage.model_path(root, "forest", 7, 7, stamp), features, stamp)
+        storage.save_model(spark, model, storage.model_path(root, "boosted", 7, 7, stamp), features, stamp)
     return root, rows, features
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    """Top 20 features by number of splits in the saved forest, in percent."""
-    root, _, features = saved(spark, sf)
-    _, _, path = storage.load_latest(spark, root)
-    forest_path = storage.stage_path(spark, path, "RandomForestClassificationModel")
-    return fleet.top_n_importance(evaluation.split_counts(spark, forest_path, features), 20)
+    """Top 20 features by number of splits in the saved trees, in percent."""
+    root, _, _ = saved(spark, sf)
+    model, _, _ = storage.load_latest(spark, root)
+    return fleet.top_n_importance(evaluation.tree_split_counts(model.trees), 20)
 
 
-@query("save_model")
+@query("save_model", "select * from (values (1::bigint, '2024_01_30', 'trees'), (2::bigint, '2024_01_31', 'trees')) t(version, modified, kind)")
 def save_model(spark, sf):
-    """Registry after two versions were saved."""
+    """The log after two versions were saved."""
     root, _, _ = saved(spark, sf)
-    return storage.registry(spark, root).select(F.col("modified"))
+    return storage.registry(spark, root).select("version", "modified", "kind")
 
 
 @query("load_latest")
@@ -221,7 +269,7 @@ def load_latest(spark, sf):
 def predict_proba(spark, sf):
     train_rows, _ = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_multiclass(train_rows, features)
+    model = training.train_multiclass(train_rows, features, rounds=ROUNDS)
     rows, _, _ = score_plan.score_features(telemetry(spark, sf), dt.date(2024, 1, 28), 7, SPEC, features)
     return scoring.predict_proba(model, rows, features)
 
@@ -231,7 +279,7 @@ def score_fleet(spark, sf):
     """Scores of the whole fleet for a day, with cut-offs."""
     train_rows, _ = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_multiclass(train_rows, features)
+    model = training.train_multiclass(train_rows, features, rounds=ROUNDS)
     scored, cutoffs, _ = score_plan.score_fleet(
         telemetry(spark, sf), model, features, dt.date(2024, 1, 28), 7, SPEC
     )
@@ -242,7 +290,7 @@ def score_fleet(spark, sf):
 def score_binary(spark, sf):
     train_rows, _ = _split(binary_matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_binary(train_rows, features)
+    model = training.train_binary(train_rows, features, rounds=ROUNDS)
     scored, _, _ = score_plan.score_binary(
         telemetry(spark, sf), model, features, dt.date(2024, 1, 28), 7, SPEC
     )

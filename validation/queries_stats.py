@@ -16,8 +16,6 @@ from .inputs import clean, telemetry
 from .registry import TIE_SHIFT, query
 
 KINDS = CORE_NUMERIC
-#: The imputed long form takes too long on all metrics here (README), so its queries take two.
-LONG_KINDS = ["vac1", "vpv2"]
 TIES = ("etotal",)
 
 def _long_sql(kinds):
@@ -32,6 +30,16 @@ WINDOW = {
     "pos": "select *, row_number() over (partition by sn, kind order by createtime, tie) - 1 as idx, "
     "count(*) over (partition by sn, kind) as n, avg(x) over (partition by sn, kind) as mean from long",
 }
+#: The sum in whole units of 2^-80, so that "above the mean" does not depend on the order of a sum.
+_FINE = "(abs(x)-floor(abs(x)))*1099511627776.0"
+_UNITS = (
+    "case when x < 0 then -1 else 1 end * (floor(abs(x))::hugeint * 1208925819614629174706176::hugeint "
+    f"+ floor({_FINE})::hugeint * 1099511627776::hugeint + floor(({_FINE}-floor({_FINE}))*1099511627776.0)::hugeint)"
+)
+EXACT = {
+    "exact": "select *, k * count(*) over (partition by sn, kind) as scaled, sum(k) over (partition by sn, kind)::hugeint as total "
+    f"from (select *, {_UNITS} as k from pos)",
+}
 DIGITS = 6
 
 
@@ -151,7 +159,8 @@ def ts_first_location_min(spark, sf):
 @query(
     "ts_count_above_below_mean",
     stats_sql(
-        "cast(count_if(x > mean) as bigint) as count_above_mean, cast(count_if(x < mean) as bigint) as count_below_mean"
+        "cast(count_if(scaled > total) as bigint) as count_above_mean, cast(count_if(scaled < total) as bigint) as count_below_mean",
+        "exact", **EXACT,
     ),
     DIGITS, TIE_SHIFT,
 )
@@ -196,7 +205,26 @@ def ts_linear_trend(spark, sf):
     return _position(spark, sf, "trend").drop("trend_n")
 
 
-@query("ts_linear_trend_pvalue", None, DIGITS)
+# the series of Student's distribution, its terms in closed form
+_PVALUE = {
+    "trend": _TREND,
+    "corr": "select *, (n - 2)::bigint as f, least(1, abs(coalesce(sxy/nullif(sqrt(sxx*syy), 0), 0))) as s from trend",
+    "terms": "select sn, kind, sum(case when c2 <= 0 then (k = 0)::int::double when f % 2 = 0 then exp(k*ln(c2) + lgamma(k+0.5) - lgamma(k+1) - lgamma(0.5)) "
+    "else exp(k*ln(c2) + lgamma(k+1) + lgamma(1.5) - lgamma(k+1.5)) end) as total from "
+    "(select *, 1 - s*s as c2, unnest(range(0, greatest(1, (f - f % 2) // 2))) as k from (select sn, kind, f, s from corr where f > 0)) group by sn, kind",
+}
+
+
+@query(
+    "ts_linear_trend_pvalue",
+    stats_sql(
+        f"{r('slope', 'trend_slope')}, {r('intercept', 'trend_intercept')}, {r('coalesce(sxy/nullif(sqrt(sxx*syy), 0), 0)', 'trend_rvalue')}, "
+        f"{r('sqrt((1-coalesce(sxy/nullif(sqrt(sxx*syy), 0), 0)**2)*syy/sxx/(n-2))', 'trend_stderr')}, "
+        + r("case when f % 2 = 0 then 1 - s*total when f = 1 then 1 - 2/pi()*asin(s) else 1 - 2/pi()*(asin(s) + s*sqrt(greatest(0, 1-s*s))*total) end", "trend_pvalue"),
+        "corr join terms using (sn, kind)", "", **_PVALUE,
+    ),
+    DIGITS, TIE_SHIFT,
+)
 def ts_linear_trend_pvalue(spark, sf):
     """With the p-value of the slope."""
     return special.linear_trend(window(spark, sf), KINDS, TIES)
@@ -214,6 +242,7 @@ _NEAR = {
     + ", ".join(f"lag(x,{i}) {_W} as b{i}" for i in (1, 2, 3))
     + " from pos"
 }
+_NEAR_EXACT = {**EXACT, "near": _NEAR["near"].removesuffix("pos") + "exact"}
 
 
 @query("ts_abs_sum_changes", stats_sql(r("sum(abs(a1-x))", "absolute_sum_of_changes"), "near", **_NEAR), DIGITS, TIE_SHIFT)
@@ -343,12 +372,21 @@ def ts_range_count(spark, sf):
     return series.moment_features(window(spark, sf), KINDS).select("sn", "kind", "range_count")
 
 
+# statistics of the wide tables, at least one of every block
 _WIDE = [
-    ("mean", "avg(x)"), ("median", "median(x)"), ("variance", "var_samp(x)"),
-    ("absolute_sum_of_changes", "sum(abs(a1-x))"), ("count_above_mean", "count_if(x>mean)"),
-    ("first_location_of_maximum", "arg_min(idx, (-x, idx))::double/any_value(n)"),
-    ("trend_slope", "regr_slope(x, idx::double)"),
+    ("length", "count(x)"), ("mean", "avg(x)"), ("min", "min(x)"), ("max", "max(x)"), ("median", "median(x)"), ("variance", "var_samp(x)"), ("std_pop", "stddev_pop(x)"),
+    ("range_count", "count_if(x >= -1 and x < 1)"),
+    ("absolute_sum_of_changes", "sum(abs(a1-x))"), ("count_above_mean", "count_if(scaled>total)"), ("count_below_mean", "count_if(scaled<total)"),
+    ("first_location_of_maximum", "arg_min(idx, (-x, idx))::double/any_value(n)"), ("first_location_of_minimum", "arg_min(idx, (x, idx))::double/any_value(n)"),
+    ("trend_slope", "regr_slope(x, idx::double)"), ("trend_intercept", "regr_intercept(x, idx::double)"),
+    ("number_peaks_1", "count_if(x>a1 and x>b1)"), ("number_peaks_3", "count_if(x>a1 and x>b1 and x>a2 and x>b2 and x>a3 and x>b3)"),
+    *[(quantiles.quantile_name(v), f"quantile_cont(x, {v})") for v in series.QUANTILES],
+    *[(f"autocorrelation_{k}", f"sum((x-mean)*(a{k}-mean))/(any_value(n)-{k})/nullif(avg((x-mean)**2), 0)") for k in (1, 2, 3)],
+    ("skew", "avg((x-mean)**3)/nullif(avg((x-mean)**2), 0)**1.5"), ("kurtosis", "avg((x-mean)**4)/nullif(avg((x-mean)**2), 0)**2-3"),
+    *[(f"fft_{part}_{k}", f"{sign}sum(x*{call}({k}*({_ANGLE})))") for k in (1, 2) for part, sign, call in (("real", "", "cos"), ("imag", "-", "sin"))],
 ]
+#: What the long form fills with the median where a series is constant.
+_GAPS = ("autocorrelation_1", "autocorrelation_2", "autocorrelation_3", "skew", "kurtosis")
 
 
 def _wide_sql(kinds):
@@ -359,7 +397,7 @@ def _wide_sql(kinds):
     per = ", ".join(f"({e})::double as {n}" for n, e in _WIDE)
     return sql.chain(
         f"select sn, {', '.join(cells)} from per group by sn",
-        **WINDOW, **_NEAR, per=f"select sn, kind, {per} from near group by sn, kind",
+        **WINDOW, **_NEAR_EXACT, per=f"select sn, kind, {per} from near group by sn, kind",
     )
 
 
@@ -370,34 +408,34 @@ def window_statistics(spark, sf):
     return wide.select("sn", *[F.col(f"{k}_{n}").cast("double").alias(f"{k}_{n}") for k in KINDS for n, _ in _WIDE])
 
 
-def _gated_sql(kinds, min_rows, min_days):
+def _gated_sql(kinds, min_rows, min_days, wide):
     covered = (
         f"select sn from rows group by sn having count(*) >= {min_rows} and count(distinct createtime::date) >= {min_days}"
     )
     blocks = {**WINDOW, "long": f"select * from ({_long_sql(kinds)}) where sn in ({covered})"}
-    cells = [
-        r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}") for k in kinds for name, _ in _WIDE
-    ]
-    per = ", ".join(f"({e})::double as {n}" for n, e in _WIDE)
+    filled = lambda n: f"coalesce({n}, median({n}) over (partition by kind), 0) as {n}" if n in _GAPS else n
+    cells = [r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}") for k in kinds for name, _ in wide]
+    per = ", ".join(f"({e})::double as {n}" for n, e in wide)
     return sql.chain(
-        f"select sn, {', '.join(cells)} from per group by sn",
-        **blocks, **_NEAR, per=f"select sn, kind, {per} from near group by sn, kind",
+        f"select sn, {', '.join(cells)} from imputed group by sn",
+        **blocks, **_NEAR_EXACT, per=f"select sn, kind, {per} from near group by sn, kind",
+        imputed=f"select sn, kind, {', '.join(filled(n) for n, _ in wide)} from per",
     )
 
 
-def _long_features(spark, sf):
+def _long_features(spark, sf, wavelet_peaks):
     return plan.window_statistics_long(
-        telemetry(spark, sf), LONG_KINDS, 0, 20, min_rows=45, min_days=10, tie_breakers=TIES
+        telemetry(spark, sf), KINDS, 0, 20, min_rows=45, min_days=10, tie_breakers=TIES, wavelet_peaks=wavelet_peaks
     )
 
 
-@query("window_statistics_long", _gated_sql(LONG_KINDS, 45, 10), DIGITS, TIE_SHIFT)
+@query("window_statistics_long", _gated_sql(KINDS, 45, 10, [x for x in _WIDE if x[0] not in _GAPS]), DIGITS, TIE_SHIFT)
 def window_statistics_long(spark, sf):
-    """Long form for devices with enough readings and days; the check looks at one of every block."""
-    return _long_features(spark, sf).select("sn", *[f"{k}_{n}" for k in LONG_KINDS for n, _ in _WIDE])
+    """Long form for devices with enough readings and days: statistics every series has."""
+    return _long_features(spark, sf, True).select("sn", *[f"{k}_{n}" for k in KINDS for n, _ in _WIDE if n not in _GAPS])
 
 
-@query("window_statistics_imputed", None, DIGITS)
+@query("window_statistics_imputed", _gated_sql(KINDS, 45, 10, _WIDE), DIGITS, TIE_SHIFT)
 def window_statistics_imputed(spark, sf):
-    """Every statistic of the long form, imputed."""
-    return _long_features(spark, sf)
+    """The long form with those a constant series lacks, imputed."""
+    return _long_features(spark, sf, False).select("sn", *[f"{k}_{n}" for k in KINDS for n, _ in _WIDE])
