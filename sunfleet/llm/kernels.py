@@ -1,8 +1,9 @@
 """Array kernels over the texts of one Arrow batch, without a Python loop over words or bytes.
 
 A column of texts is taken as one flat array of UTF-8 bytes with start and end per row (null: empty).
-Strings are hashed to 64 bits as polynomials over the bytes, from prefix sums, so the hash of any
-span is two look-ups. The hashes do not depend on the process, the batch or the position.
+Strings are hashed to 64 bits from two polynomials over the bytes, by prefix sums, so the hash of any
+span is a few look-ups. One polynomial is modulo 2^64; alone it would be equal for certain strings of 2^10 bytes and more whatever its base
+(those of Thue and Morse), so another one modulo the prime 2^31 - 1 goes with it. The hashes do not depend on the process, the batch or the position.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import pyarrow.compute as pc
 
 # Base of the polynomial hash and odd multipliers of the mixers: any odd 64-bit numbers do.
 BASE = 0x9E3779B97F4A7C15
+PRIME = 2**31 - 1
+PRIME_BASE = 1_583_458_089
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 TOP = np.iinfo(np.uint64).max
@@ -61,6 +64,27 @@ def _powers(name: str, base: int, n: int) -> np.ndarray:
     return table[:n]
 
 
+def _prime_powers(name: str, base: int, n: int) -> np.ndarray:
+    """Powers modulo the prime, by doubling."""
+    table = _TABLES.get(name)
+    if table is None or len(table) < n:
+        table, step = np.ones(1, dtype=np.uint64), base
+        while len(table) < max(n, SLICE_BYTES + 1):
+            table = np.concatenate([table, _modulo(table * np.uint64(step))])
+            step = step * step % PRIME
+        _TABLES[name] = table
+    return table[:n]
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """Remainders by 2^31 - 1."""
+    p, bits = np.uint64(PRIME), np.uint64(31)
+    for _ in range(2):
+        x = (x & p) + (x >> bits)
+    x = (x & p) + (x >> bits)
+    return np.where(x == p, np.uint64(0), x)
+
+
 def _inverse(base: int) -> int:
     x = base
     for _ in range(6):
@@ -84,12 +108,21 @@ class SpanHash:
 
     def __init__(self, data: np.ndarray):
         n = len(data)
+        symbols = data.astype(np.uint64) + np.uint64(1)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", BASE, n), out=self.sums[1:])
+        np.cumsum(symbols * _powers("up", BASE, n), out=self.sums[1:])
         self.down = _powers("down", _inverse(BASE), n + 1)
+        terms = symbols * _prime_powers("prime-up", PRIME_BASE, n)
+        # below 2^32 each, so the sum of 2^32 of them fits
+        terms = (terms & np.uint64(PRIME)) + (terms >> np.uint64(31))
+        self.prime_sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(terms, out=self.prime_sums[1:])
+        self.prime_down = _prime_powers("prime-down", pow(PRIME_BASE, -1, PRIME), n + 1)
 
     def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * self.down[start]
+        whole = (self.sums[end] - self.sums[start]) * self.down[start]
+        rest = _modulo(_modulo(self.prime_sums[end] - self.prime_sums[start]) * self.prime_down[start])
+        return whole ^ mix(rest, 5)
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix(self.raw(start, end))
