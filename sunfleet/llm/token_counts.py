@@ -9,16 +9,19 @@ binary search. A token that crosses a border is allocated by rule:
 
 Sections are (name, start, end) in bytes, sorted and apart; tokens outside all sections count as ``(none)``.
 
-Defined cases: null and empty texts have no tokens and no sections. Whole texts are encoded, whatever their length. Repeated rows are counted one by one.
+Defined cases: null and empty texts have no tokens and no sections. Whole texts are encoded, whatever their length; white space in runs that would
+exhaust the tokenizer's pattern matcher is cut out the way the pattern cuts it and merged as the one piece it is. Repeated rows are counted one by one.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,9 @@ from pyspark.sql import functions as F
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OUTSIDE = "(none)"
 
+#: White space of the pattern (fixed value: the Unicode property), in runs that are split off before matching.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{20001,}")
+
 
 def read_ranks(spark, path: str) -> dict[bytes, int]:
     """Vocabulary of ``path`` (one file, lines of base64 token and rank), read by Spark."""
@@ -77,14 +83,29 @@ def allocate(sizes: np.ndarray, sections: list[tuple[str, int, int]], rule: str)
     return out, crossing
 
 
+def encode(encoding, text: str) -> list[int]:
+    """Tokens of a whole text.
+
+    The pattern takes a run of white space at the end of a text whole, and any other without its last character; nothing in front of a run depends on it.
+    """
+    ids, at = [], 0
+    for run in LONG_SPACE.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoding.encode_ordinary(text[at:run.start()])
+        ids += encoding._encode_single_piece(text[run.start():stop])
+        at = stop
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def count_rows(
-    ranks: dict[bytes, int], pattern: str, rule: str, sections: Callable[[bytes], list[tuple[str, int, int]]]
+    vocabulary: Broadcast, pattern: str, rule: str, sections: Callable[[bytes], list[tuple[str, int, int]]]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("n_tokens", pa.int64()), ("n_crossing", pa.int64()), ("sections", pa.map_(pa.string(), pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
+        ranks = vocabulary.value
         encoding = tiktoken.Encoding("sections", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         width = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, rank in ranks.items():
@@ -93,7 +114,7 @@ def count_rows(
             totals, crossings, maps = [], [], []
             for value in batch.column("text"):
                 text = value.as_py() or ""
-                ids = np.array(encoding.encode_ordinary(text), dtype=np.int64)
+                ids = np.array(encode(encoding, text), dtype=np.int64)
                 found, crossing = allocate(width[ids], sections(text.encode()), rule)
                 totals.append(len(ids))
                 crossings.append(crossing)
@@ -111,6 +132,6 @@ def section_tokens(
     """doc_id, n_tokens, n_crossing, sections (map of name to tokens) per row of ``docs``."""
     if rule not in ("first", "last", "share"):
         raise ValueError(f"unknown rule: {rule}")
-    ranks = read_ranks(docs.sparkSession, vocabulary)
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, vocabulary))
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return rows.mapInArrow(count_rows(ranks, pattern, rule, sections), f"doc_id {rows.dtypes[0][1]}, n_tokens long, n_crossing long, sections map<string,double>")
