@@ -17,8 +17,8 @@ same document and an earlier start) is removed. Strings are judged on the input.
    of each hash is found by an aggregate that combines copies before the shuffle, and a join that skew handling can split marks the others.
 4. *Spans.* Duplicate windows are merged per document and cut from its bytes.
 
-Defined cases: a null text counts as empty, a null doc_id comes after all others. Rows that repeat a
-doc_id come in the order of a hash of their text; equal rows are one document and get equal results.
+Defined cases: a null text counts as empty, a null doc_id comes after all others. Where ids repeat or are missing the documents are numbered, in
+the order of id and SHA-256 of the text; rows with equal id and text are one document and get equal results.
 A document shorter than ``length`` keeps all its bytes. An empty table gives an empty result.
 """
 
@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -325,23 +325,31 @@ def compare_contexts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return run
 
 
-def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, part, text): null ids last; ``part`` tells rows of one id apart, 0 if no id repeats."""
-    key, part, _ = _keys(docs, id_column, text_column)
-    return docs.select(key.alias("id"), part.alias("part"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+def _numbered(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, str, bool]:
+    """``docs``, a column of numbers in the order of the ids (null last), and whether an id repeats.
 
-
-def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column, bool]:
-    """Columns ``id`` and ``part``, and whether an id repeats."""
-    key = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST))
-    repeats = docs.groupBy(key.alias("id")).count().filter("count > 1").limit(1).count() > 0
-    return key, F.pmod(F.xxhash64(text_column), F.lit(2**30)) if repeats else F.lit(0).cast("long"), repeats
+    If no id repeats the number is the id. Otherwise rows with equal id and equal text share a number, being one document, and all others differ.
+    """
+    number, same = fresh(docs, "number"), fresh(docs, "same")
+    key = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(LAST))
+    numbered = docs.withColumn(number, key)
+    if not numbered.groupBy(number).count().filter("count > 1").limit(1).count():
+        return numbered, number, False
+    hashed = numbered.withColumn(same, F.unhex(F.sha2(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), 256)))
+    distinct = hashed.select(F.col(number).alias("of"), F.col(same).alias("text_hash")).distinct()
+    placed = distinct.repartitionByRange("of", "text_hash").sortWithinPartitions("of", "text_hash").withColumn("place", F.monotonically_increasing_id())
+    placed = written(placed, "document-numbers")
+    joined_rows = hashed.join(placed, (hashed[number] == placed["of"]) & (hashed[same] == placed["text_hash"]))
+    return joined_rows.select(*[hashed[f"`{c}`"] for c in docs.columns], F.col("place").alias(number)), number, True
 
 
 def duplicate_spans(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text", most: int = 20000) -> DataFrame:
-    """Duplicate windows per document: (id, part, spans), spans sorted and apart, as array of (start, end) in bytes."""
-    key, part, repeats = _keys(docs, id_column, text_column)
-    rows = docs.select(key.alias("id"), part.alias("part"), F.coalesce(F.col(text_column), F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
+    """Duplicate windows per document: (id, part, spans), spans sorted and apart, as array of (start, end) in bytes; ``id`` as numbered."""
+    return _spans(*_numbered(docs, id_column, text_column), text_column, length, most)
+
+
+def _spans(docs: DataFrame, number: str, repeats: bool, text_column: str, length: int, most: int = 20000) -> DataFrame:
+    rows = docs.select(F.col(number).alias("id"), F.lit(0).cast("long").alias("part"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
     found = rows.mapInArrow(find_contexts(length), FOUND)
     found = found.selectExpr(
         "*",
@@ -354,7 +362,7 @@ def duplicate_spans(docs: DataFrame, length: int = 100, id_column: str = "doc_id
     ).filter("not same and (again or several)").selectExpr("anchor", "id", "place", "windows", "offset", "crowd", "again")
     found = written(found, "contexts")
     if repeats:  # equal rows are one document
-        rows = rows.dropDuplicates(["id", "part"])
+        rows = rows.dropDuplicates(["id"])
     fetched = _texts(rows, found.filter(f"not again and crowd <= {most}")).mapInArrow(fetch_contexts(length), "anchor long, id long, place long, windows int, offset int, text binary")
     compared = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare_contexts(length), MARKS)
     marks = found.filter("again").select("id", "place", "windows").unionByName(compared)
@@ -423,10 +431,12 @@ def cut_spans(schema: pa.Schema, text: int, digest: bool) -> Callable[[Iterator[
 
 def digests(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes."""
-    spans = duplicate_spans(docs, length, id_column, text_column)
-    rows = keyed(docs, id_column, text_column).join(spans, ["id", "part"], "left").select("id", "text", "spans")
-    cut = rows.mapInArrow(cut_spans(pa.schema([]), 1, True), "id long, kept_sha256 string, n_bytes long, n_removed long, n_spans long")
-    return cut.selectExpr(f"nullif(id, {LAST}) as doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    named = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
+    numbered, number, repeats = _numbered(named, "doc_id", "text")
+    spans = _spans(numbered, number, repeats, "text", length)
+    rows = numbered.join(spans, numbered[number] == spans["id"], "left").select("doc_id", "text", "spans")
+    cut = rows.mapInArrow(cut_spans(pa.schema([]), 1, True), "doc_id long, kept_sha256 string, n_bytes long, n_removed long, n_spans long")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def remove_duplicates(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -434,12 +444,10 @@ def remove_duplicates(docs: DataFrame, length: int = 100, id_column: str = "doc_
 
     A character of which only some bytes are removed goes as a whole. Columns other than the text stay as they are.
     """
-    spans = duplicate_spans(docs, length, id_column, text_column)
-    key, part, cuts = fresh(docs, "id"), fresh(docs, "part"), fresh(docs, "spans")
-    keys = _keys(docs, id_column, text_column)
-    with_key = docs.withColumns({key: keys[0], part: keys[1]})
-    spans = spans.select(F.col("id").alias(key), F.col("part").alias(part), F.col("spans").alias(cuts))
-    rows = with_key.join(spans, [key, part], "left").select(*[F.col(f"`{c}`") for c in docs.columns], cuts)
+    numbered, number, repeats = _numbered(docs, id_column, text_column)
+    cuts = fresh(docs, "spans")
+    spans = _spans(numbered, number, repeats, text_column, length).select(F.col("id").alias(number), F.col("spans").alias(cuts))
+    rows = numbered.join(spans, number, "left").select(*[F.col(f"`{c}`") for c in docs.columns], cuts)
     at = docs.columns.index(text_column)
     sizes = [fresh(docs, n) for n in ("n_bytes", "n_removed", "n_spans")]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in sizes]])
