@@ -31,15 +31,13 @@ class_sums as (select lang, bin, sum(x) as s, count(*) as n from classes where l
 word_sums as (select lang, bin, sum(x) as s, count(*) as n from words where long_enough group by all),
 class_means as (select lang, bin, s / n as y from class_sums where lang is not null and n >= 20),
 word_means as (select lang, bin, s / n as y from word_sums where lang is not null and n >= 20),
-class_all as (select bin, sum(s) / sum(n) as y from class_sums group by bin),
-word_all as (select bin, sum(s) / sum(n) as y from word_sums group by bin),
 class_distances as (
   select doc_id, sqrt(greatest(0, sum(case when x > 0 then x * log2(2 * x / (x + y)) else 0 end + case when y > 0 then y * log2(2 * y / (x + y)) else 0 end) / 2)) as class_distance
-  from (select doc_id, x, coalesce(m.y, a.y) as y from classes c join class_all a using (bin) left join class_means m on m.lang = c.lang and m.bin = c.bin) group by doc_id
+  from classes c join class_means m using (lang, bin) group by doc_id
 ),
 word_distances as (
   select doc_id, sqrt(greatest(0, sum(case when x > 0 then x * log2(2 * x / (x + y)) else 0 end + case when y > 0 then y * log2(2 * y / (x + y)) else 0 end) / 2)) as word_distance
-  from (select doc_id, x, coalesce(m.y, a.y) as y from words c join word_all a using (bin) left join word_means m on m.lang = c.lang and m.bin = c.bin) group by doc_id
+  from words c join word_means m using (lang, bin) group by doc_id
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not (

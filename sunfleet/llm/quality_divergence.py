@@ -5,9 +5,9 @@ those of the document's language by Jensen-Shannon distance (base 2, 0 to 1). Th
 of the normalised histograms of all its documents that pass the base rules and are long enough, so every document
 weighs the same. A document too short for a histogram to mean anything is not judged by it.
 
-Defined cases: null text is empty text: no words, base failed. A null lang, and a lang without a reference (fewer than
-``min_documents`` long documents), are held against the mean of all languages; without any reference the
-distances are null and the base rules decide. Rows are judged one by one: repeated rows get equal results.
+Defined cases: null text is empty text: no words, base failed. With a null lang, or a lang without a reference of its own (fewer than
+``min_documents`` long documents: a mean of less says nothing), the distances are null and the base rules decide. Rows are judged one by one:
+repeated rows get equal results.
 """
 
 from __future__ import annotations
@@ -162,18 +162,13 @@ def distance(p: str, q: str) -> str:
 
 
 def references(measured: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """Mean histograms per language; the row with a null lang is the mean of all."""
+    """Mean histograms of the languages that have at least ``min_documents`` long documents."""
     long_enough = measured.filter(
-        f"not {base_failed()} and n_words >= {MIN_WORDS_COMMON} and word_chars >= {MIN_CHARS_CLASS}"
+        f"not {base_failed()} and n_words >= {MIN_WORDS_COMMON} and word_chars >= {MIN_CHARS_CLASS} and lang is not null"
     ).selectExpr("lang", f"{_shares('classes')} as p", f"{_shares('common')} as q")
     n = CLASSES, len(COMMON_WORDS) + 1
     sums = [f"sum(p[{i}]) as p{i}" for i in range(n[0])] + [f"sum(q[{i}]) as q{i}" for i in range(n[1])]
-    # one row per language: the sums of all languages are taken from these few rows
-    per_lang = long_enough.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *[F.expr(s) for s in sums])
-    per_lang = written(per_lang, "languages")
-    names = [s.rsplit(" ", 1)[1] for s in sums]
-    whole = per_lang.agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).selectExpr("cast(null as string) as lang", "n", *names)
-    means = per_lang.filter(f"lang is not null and n >= {min_documents}").unionByName(whole.filter("n > 0"))
+    means = long_enough.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *[F.expr(s) for s in sums]).filter(f"n >= {min_documents}")
     p, q = (f"array({', '.join(f'{k}{i} / n' for i in range(m))})" for k, m in zip("pq", n))
     return written(means.selectExpr("lang", f"{p} as class_reference", f"{q} as word_reference"), "references")
 
@@ -181,18 +176,18 @@ def references(measured: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataF
 def judged(
     measured: DataFrame, means: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_words: float = MAX_WORD_DISTANCE, max_both: tuple[float, float] = MAX_BOTH,
 ) -> DataFrame:
-    """``measured`` (with lang) plus class_distance, word_distance, base_failed, kept."""
-    # languages without a reference take the mean of all, which is one row
-    names = {n: fresh(measured, n) for n in ("class_reference", "word_reference", "c", "w")}
-    named = means.selectExpr("lang as of", f"class_reference as {names['class_reference']}", f"word_reference as {names['word_reference']}")
-    own = named.filter("of is not null")
-    whole = named.filter("of is null").agg(F.first(names["class_reference"]).alias(names["c"]), F.first(names["word_reference"]).alias(names["w"]))
+    """``measured`` (with lang) plus class_distance, word_distance, base_failed, kept.
+
+    Where a language has no reference (or a document no language) the distances are null and the base rules decide.
+    """
+    names = {n: fresh(measured, n) for n in ("class_reference", "word_reference")}
+    own = means.selectExpr("lang as of", f"class_reference as {names['class_reference']}", f"word_reference as {names['word_reference']}")
     side = F.broadcast(own) if small(own) else own
-    rows = measured.join(side, measured["lang"] == side["of"], "left").drop("of").join(F.broadcast(whole))
-    references_of = f"coalesce({names['class_reference']}, {names['c']})", f"coalesce({names['word_reference']}, {names['w']})"
+    rows = measured.join(side, measured["lang"] == side["of"], "left").drop("of")
+    references_of = names["class_reference"], names["word_reference"]
     compared = rows.withColumns({
-        "class_distance": F.expr(f"if(n_words > 0, {distance(_shares('classes'), references_of[0])}, null)"),
-        "word_distance": F.expr(f"if(n_words > 0, {distance(_shares('common'), references_of[1])}, null)"),
+        "class_distance": F.expr(f"if(n_words > 0 and {references_of[0]} is not null, {distance(_shares('classes'), references_of[0])}, null)"),
+        "word_distance": F.expr(f"if(n_words > 0 and {references_of[1]} is not null, {distance(_shares('common'), references_of[1])}, null)"),
         "base_failed": F.expr(base_failed()),
     }).drop(*names.values())
     by_class, by_words = f"word_chars >= {MIN_CHARS_CLASS}", f"n_words >= {MIN_WORDS_COMMON}"
