@@ -92,7 +92,9 @@ def copies(
     plan = written(bins.join(shares, F.expr("of <=> source")).select("of", "in_bin", "bits", "ahead", "source_size", "target"), "mix")
     layout = salted.join(F.broadcast(plan) if small(plan) else plan, F.expr("source <=> of and bin = in_bin"))
     layout = layout.withColumn("part", F.expr("shiftright(slot, 12 - bits)"))
-    placed = layout.withColumn("place", F.expr("element_at(ahead, part) + row_number() over (partition by source, bin, part order by size, salt, doc_id)"))
+    # rows that are equal so far are told apart by all their columns where these are given back
+    last = ", xxhash64(row)" if carry else ""
+    placed = layout.withColumn("place", F.expr(f"element_at(ahead, part) + row_number() over (partition by source, bin, part order by size, salt, doc_id{last})"))
     offset = f"cast(conv(substr(md5(concat(coalesce(source, ''), ':{seed}')), 1, 5), 16, 10) as bigint) / 1048576D"
     step = "if(source_size > 0, target / source_size, 0D)"
     taken = f"least({most}L, cast(floor({offset} + {step} * place) - floor({offset} + {step} * (place - 1)) as bigint))"
