@@ -91,8 +91,8 @@ def brute_spans(rows, length):
 @pytest.mark.parametrize("most", [20000, 3])
 def test_suffix_dedup(docs, rows, most, monkeypatch):
     if most == 3:  # crowded anchors by whole windows
-        whole = suffix_dedup.duplicate_spans
-        monkeypatch.setattr(suffix_dedup, "duplicate_spans", lambda *a: whole(*a, most=3))
+        whole = suffix_dedup._spans
+        monkeypatch.setattr(suffix_dedup, "_spans", lambda *a: whole(*a, most=3))
     want = brute_spans([(r[0], r[1]) for r in rows[0]], 100)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(docs).collect()}
     assert got == want
