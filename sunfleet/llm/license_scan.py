@@ -13,6 +13,7 @@ known sentence has one. Repeated rows are judged one by one.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +26,17 @@ KEYWORDS = ("licen", "copyright", "redistribut", "permission", "warrant", "publi
 _V = r"(?:v(?:ersion)?\s*)?(\d+(?:\.\d+)*)"
 _GNU = (("GPL", "general public license|gpl"), ("LGPL", "(?:lesser|library) general public license|lgpl"), ("AGPL", "affero general public license|agpl"))
 _FSF = "as published by the free software foundation"
+#: Licences that are told by their name: label, and the name as it stands before "license" in a normalised sentence (fixed values).
+NAMED: tuple[tuple[str, str], ...] = (
+    ("Zlib", "zlib(?: libpng)?"), ("BSL", "boost software"), ("EPL", "eclipse public"), ("CPL", "common public"), ("IPL", "ibm public"),
+    ("CDDL", "common development and distribution"), ("Artistic", "artistic"), ("Unlicense", "(?:the )?un"), ("WTFPL", "do what the fuck you want to public"),
+    ("PostgreSQL", "postgresql"), ("PSF", "python software foundation|psf"), ("OFL", "sil open font|open font"), ("NCSA", "university of illinois(?: ncsa)?(?: open source)?|ncsa(?: open source)?"),
+    ("EUPL", "european union public"), ("MS-PL", "microsoft public"), ("MS-RL", "microsoft reciprocal"), ("PHP", "php"), ("Vim", "vim"), ("Ruby", "ruby"), ("OpenSSL", "openssl"),
+    ("X11", "x11"), ("AFL", "academic free"), ("OSL", "open software"), ("CeCILL", "cecill(?: [abc])?(?: free software)?"), ("LPPL", "latex project public"), ("QPL", "q public"),
+    ("NPL", "netscape public"), ("SPL", "sun public"), ("APSL", "apple public source"), ("ECL", "educational community"), ("UPL", "universal permissive"), ("MulanPSL", "mulan permissive software"),
+    ("ODbL", "open database"), ("OGL", "open government"), ("SSPL", "server side public"), ("BUSL", "business source"), ("Elastic", "elastic"), ("JSON", "json"), ("Beerware", "beerware"),
+)
+_UNDER = "(?:licensed|released|distributed|available|published|provided|covered|governed) (?:under|by) (?:the )?(?:terms (?:and conditions )?of )?(?:the |a |an )?"
 #: Identifier and pattern of the normalised sentence; groups are appended to the identifier. The first that matches counts.
 SENTENCES: tuple[tuple[str, str], ...] = (
     ("SPDX", r"spdx license identifier ([a-z0-9.+ -]+)"),
@@ -57,20 +69,41 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("PublicDomain", r".*(?:is|are|placed|released) (?:in|into|to) the public domain.*"),
     ("CopyrightLine", r"copyright(?: c)? .*\d{4}.*"),
     ("AllRights", r".*all rights reserved"),
+    ("CCnamed", rf".*creative commons (attribution(?: (?:non ?commercial|share ?alike|no ?deriv(?:ative)?s))*) {_V}.*"),
+    ("BSDstyle", rf".*{_UNDER}bsd style licen[sc]e.*"),
+    ("MITtitle", r"(?:the )?mit licen[sc]e(?: mit)?"),
+    ("BSDtitle", r"(?:the )?(?:new |simplified |modified )?bsd (\d) clause(?: \w+)? licen[sc]e"),
+    ("ApacheTitle", rf"apache license {_V}(?: \w+ \d+)?"),
+    ("GPLtitle", rf"gnu general public license {_V}(?: \d+)?(?: \w+ \d+)?"),
+    ("LGPLtitle", rf"gnu lesser general public license {_V}(?: \d+)?(?: \w+ \d+)?"),
+    ("AGPLtitle", rf"gnu affero general public license {_V}(?: \d+)?(?: \w+ \d+)?"),
+    ("MPLtitle", rf"mozilla public license {_V}"),
+    *((f"{label}named", rf".*{_UNDER}(?:{name}) ?licen[sc]e(?: agreement)?(?: {_V})?.*") for label, name in NAMED),
+    *((f"{label}title", rf"(?:the )?(?:{name}) ?licen[sc]e(?: agreement)?(?: {_V})?") for label, name in NAMED),
 )
 COMPILED = tuple((name, re.compile(pattern)) for name, pattern in SENTENCES)
 
 
-def _in_lines(pattern: str) -> re.Pattern:
+#: Beginnings of the sentences that have an open middle: the middle does not run past the next beginning, so a text is passed over once.
+BEGINNINGS = {"AsIsProvided": "software is provided", "NoLiability": "in no event shall", "BSDendorse": "neither the name of"}
+
+
+def _in_lines(name: str, pattern: str) -> re.Pattern:
     """The fixed part of a pattern within a sentence of several lines: it begins a line if the pattern has no open head, and ends one if it has no open tail."""
     core = pattern.removeprefix(".*").removesuffix(".*")
-    core = re.sub(r"\[[^\]]*\]|\.\*| ", lambda m: {" ": r"[ \n]", ".*": ".*" if pattern.startswith("copyright") else r"[\s\S]*?"}.get(m[0], m[0]), core)
+    middle = f"(?:(?!{BEGINNINGS[name]})[\\s\\S])*?".replace(" ", r"[ \n]") if name in BEGINNINGS else ".*"
+    core = re.sub(r"\[[^\]]*\]|\.\*| ", lambda m: {" ": r"[ \n]", ".*": middle}.get(m[0], m[0]), core)
     end = "" if pattern.endswith(".*") else r"(?=\Z|[ \n]see\b|\n(?!(?:or|and|as|only)\b))"
     return re.compile((r"\b" if pattern.startswith(".*") else "^") + f"(?:{core}){end}", re.M)
 
 
+#: The names of ``NAMED`` in front of "license", as one pattern: most texts have none.
+ANY_NAMED = re.compile("(?:" + "|".join(name.replace(" ", r"[ \n]") for _, name in NAMED) + r")[ \n]?licen[sc]e")
+OF_NAME = frozenset(f"{label}{form}" for label, _ in NAMED for form in ("named", "title"))
+
+
 #: Identifier, pattern, whether the sentence may have more before it, and after it.
-WITHIN = tuple((name, _in_lines(pattern), pattern.startswith(".*"), pattern.endswith(".*")) for name, pattern in SENTENCES)
+WITHIN = tuple((name, _in_lines(name, pattern), pattern.startswith(".*"), pattern.endswith(".*")) for name, pattern in SENTENCES)
 
 #: Licence and the sentence identifiers that make it, in order; the first rule that fits counts. ``{}`` takes over what the identifier carries.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
@@ -95,7 +128,23 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-{}", ("CCref",)),
     ("SPDX:{}", ("SPDX",)),
     ("Public-Domain", ("PublicDomain",)),
+    ("CC-{}", ("CCnamed",)),
+    ("BSD-style", ("BSDstyle",)),
+    ("MIT", ("MITtitle", "MITgrant", "MITnotice", "AsIsProvided", "NoLiability")),
+    ("MIT", ("MITtitle",)),
+    ("BSD-{}-Clause", ("BSDtitle",)),
+    ("Apache-{}", ("ApacheTitle",)),
+    ("GPL-{}", ("GPLtitle",)),
+    ("LGPL-{}", ("LGPLtitle",)),
+    ("AGPL-{}", ("AGPLtitle",)),
+    ("MPL-{}", ("MPLtitle",)),
+    *((f"{label}-{{}}", (f"{label}{form}",)) for label, _ in NAMED for form in ("named", "title")),
 )
+LABELS = frozenset(label for label, _ in NAMED)
+#: The rules by the identifier they begin with, in their order.
+STARTING = {first: tuple(rule for rule in RULES if rule[1][0] == first) for first in {sequence[0] for _, sequence in RULES}}
+#: Terms of the names of Creative Commons licences (fixed values).
+TERMS = {"ATTRIBUTION": "BY", "NONCOMMERCIAL": "NC", "SHAREALIKE": "SA", "NODERIVS": "ND", "NODERIVATIVES": "ND"}
 
 #: What an unknown sentence must have to be reported.
 CLEAR = re.compile(r"\b(?:licen[sc]e|copyright|redistribut|spdx|copyleft)")
@@ -148,27 +197,33 @@ def normalised(sentence: str) -> str:
 
 def identify(sentence: str) -> tuple[str, str]:
     """(identifier, what it carries) of a normalised sentence."""
+    named = ANY_NAMED.search(sentence)
     for name, pattern in COMPILED:
-        found = pattern.fullmatch(sentence)
+        found = pattern.fullmatch(sentence) if named or name not in OF_NAME else None
         if found:
             return name, carried(found)
     return ("UNKNOWN", "") if CLEAR.search(sentence) else ("", "")
 
 
 def carried(found: re.Match) -> str:
-    return "-".join(" ".join(g.split()).upper().replace(" ", "-") for g in found.groups() if g)
+    groups = [" ".join(g.split()).upper() for g in found.groups() if g]
+    groups = [re.sub("NON COMMERCIAL|SHARE ALIKE|NO DERIV", lambda m: m[0].replace(" ", ""), g) for g in groups]
+    return "-".join("-".join(TERMS.get(w, w) for w in g.split()) for g in groups)
 
 
 def identify_lines(sentence: str) -> list[tuple[str, str]]:
     """Identifiers in a normalised sentence that is not known as a whole: the longest known parts that do not overlap."""
-    parts = [(m.start(), m.end(), rank, m) for rank, (_, pattern, *_) in enumerate(WITHIN) for m in pattern.finditer(sentence)]
+    named = ANY_NAMED.search(sentence)
+    parts = [(m.start(), m.end(), rank, m) for rank, (name, pattern, *_) in enumerate(WITHIN) if named or name not in OF_NAME for m in pattern.finditer(sentence)]
     chosen: list[tuple[int, int, int, re.Match]] = []
+    # the chosen parts lie apart: only the neighbours in order can overlap a new one
     for part in sorted(parts, key=lambda x: (x[0] - x[1], x[2])):
-        if all(part[1] <= x[0] or part[0] >= x[1] for x in chosen):
-            chosen.append(part)
+        k = bisect_left(chosen, part[0], key=lambda x: x[0])
+        if (k == 0 or chosen[k - 1][1] <= part[0]) and (k == len(chosen) or part[1] <= chosen[k][0]):
+            chosen.insert(k, part)
     ids: list[tuple[str, str]] = []
     at, open_tail = 0, False
-    for start, end, rank, found in sorted(chosen):
+    for start, end, rank, found in chosen:
         name, _, head, tail = WITHIN[rank]
         gap = sentence[at:start]
         if at and "\n" not in gap and open_tail:  # the same line goes on
@@ -198,9 +253,10 @@ def recognise(text: str | None) -> tuple[list[str], list[str]]:
     at = 0
     while at < len(ids):
         step = 1
-        for name, sequence in RULES:
+        for name, sequence in STARTING.get(ids[at][0], ()):
             if tuple(i for i, _ in ids[at: at + len(sequence)]) == sequence:
-                licence = name.format(ids[at][1] or "unversioned")
+                label = sequence[0].removesuffix("named").removesuffix("title")
+                licence = label if label in LABELS and not ids[at][1] else name.format(ids[at][1] or "unversioned")
                 if licence not in licences:
                     licences.append(licence)
                 step = len(sequence)
