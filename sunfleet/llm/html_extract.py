@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -68,8 +69,11 @@ COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split(
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
-    words: tuple[str, ...]
+    #: Kinds of the block-level elements around it, and the innermost one.
+    tags: frozenset[str]
+    parent: str
+    #: Words in the attributes of all elements around it.
+    words: frozenset[str]
     linked: int
     inline: frozenset[str]
     label: int | None = None
@@ -112,13 +116,74 @@ def _opened(tag: str, attributes: str) -> _Open:
     return _Open(tag, tuple(words), label, hidden)
 
 
-def _place(stack: list[_Open]) -> tuple[bool, bool]:
-    """Whether an article is open, and whether one of the elements in it names something else. An article in an article is a comment if it or what is between says so."""
-    named = [k for k, e in enumerate(stack) if e.tag in MAIN_TAGS or "articlebody" in "".join(e.words)]
-    if not named:
-        return False, False
-    below = any(e.tag in OTHER_TAGS or any(w in OTHER_WORDS for w in e.words) for e in stack[named[-1] + 1:])
-    return True, below or any(w in COMMENT_WORDS for e in stack[named[0] + 1: named[-1] + 1] for w in e.words)
+class _Stack:
+    """Open elements, with what blocks ask of all of them kept up to date, so that deep nesting costs no more than shallow."""
+
+    def __init__(self) -> None:
+        self.elements: list[_Open] = []
+        # per element: innermost block-level kind, label in force, and what _place needs of the elements up to it
+        self.states: list[tuple] = [("", None, False, False, False, False)]
+        self.kinds: Counter[str] = Counter()
+        self.words: Counter[str] = Counter()
+        self.hidden = 0
+        self._inline: frozenset[str] | None = frozenset()
+        self._blocks: tuple[frozenset[str], frozenset[str]] | None = None
+
+    def _state(self, element: _Open) -> tuple:
+        parent, label, inside, below, commented, settled = self.states[-1]
+        parent = parent if element.tag in INLINE else element.tag
+        label = label if element.label is None else element.label
+        comment = any(w in COMMENT_WORDS for w in element.words)
+        if element.tag in MAIN_TAGS or "articlebody" in "".join(element.words):
+            # an article in an article is a comment if it or what is between says so
+            commented = inside and (commented or comment)
+            inside, below, settled = True, False, commented
+        elif inside:
+            below = below or element.tag in OTHER_TAGS or any(w in OTHER_WORDS for w in element.words)
+            commented = commented or comment
+        return parent, label, inside, below, commented, settled
+
+    def push(self, element: _Open) -> None:
+        self.states.append(self._state(element))
+        self.elements.append(element)
+        self._count(element, 1)
+
+    def pop(self) -> None:
+        self.states.pop()
+        self._count(self.elements.pop(), -1)
+
+    def remove(self, place: int) -> None:
+        """Take out one element; those above it stay."""
+        above = self.elements[place + 1:]
+        while len(self.elements) > place:
+            self.pop()
+        for element in above:
+            self.push(element)
+
+    def cut(self, place: int) -> None:
+        while len(self.elements) > place:
+            self.pop()
+
+    def _count(self, element: _Open, n: int) -> None:
+        for counts, names in ((self.kinds, (element.tag,)), (self.words, element.words)):
+            for name in names:
+                counts[name] += n
+                if not counts[name]:
+                    del counts[name]
+        self.hidden += n * element.hidden
+        self._blocks = self._inline = None
+
+    def inline(self) -> frozenset[str]:
+        """Kinds of the open elements inside a line."""
+        if self._inline is None:
+            self._inline = frozenset(k for k in self.kinds if k in INLINE)
+        return self._inline
+
+    def around(self) -> tuple[frozenset[str], frozenset[str]]:
+        """Kinds of the block-level elements and words of all."""
+        if self._blocks is None:
+            self._blocks = frozenset(k for k in self.kinds if k not in INLINE), frozenset(self.words)
+        return self._blocks
 
 
 def _ends(page: str, tag: str) -> dict[int, tuple[int, int]]:
@@ -137,10 +202,9 @@ def _ends(page: str, tag: str) -> dict[int, tuple[int, int]]:
 def leaf_blocks(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order; blank ones are left out."""
     page = page or ""
-    stack: list[_Open] = []
+    stack = _Stack()
     blocks: list[Block] = []
     run = _Run()
-    links = 0
     at = 0
     ends: dict[str, dict[int, tuple[int, int]]] = {}
 
@@ -153,11 +217,10 @@ def leaf_blocks(page: str | None) -> list[Block]:
         nonlocal run
         if run.pieces:
             text = " ".join(html.unescape("".join(run.pieces)).split())
-            if text and not any(e.hidden for e in stack):
-                label = next((e.label for e in reversed(stack) if e.label is not None), None)
-                tags = tuple(e.tag for e in stack if e.tag not in INLINE)
-                words = tuple(w for e in stack for w in e.words)
-                blocks.append(Block(text, tags, words, run.linked, frozenset(run.inline), label, *_place(stack)))
+            if text and not stack.hidden:
+                parent, label, inside, below, _, settled = stack.states[-1]
+                tags, words = stack.around()
+                blocks.append(Block(text, tags, parent, words, run.linked, frozenset(run.inline), label, inside, below or settled))
             run = _Run()
 
     concealed: int | None = None  # open elements around a skipped one that has no end of its own
@@ -165,10 +228,10 @@ def leaf_blocks(page: str | None) -> list[Block]:
     def add(piece: str) -> None:
         if piece and concealed is None:
             run.pieces.append(piece)
-            if links:
+            if stack.kinds["a"]:
                 run.linked += len(piece.strip())
             if piece.strip():
-                run.inline.update(e.tag for e in stack if e.tag in INLINE)
+                run.inline |= stack.inline()
 
     size = len(page)
     while at < size:
@@ -183,28 +246,28 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         tag = tag.lower()
         if found.group(1):
-            if tag == "br" or tag == "p" and not any(e.tag == "p" for e in stack):
+            if tag == "br" or tag == "p" and "p" not in stack.kinds:
                 flush()
                 continue
             if tag in RAW:
                 concealed = None
                 continue
-            if any(e.tag == tag for e in stack):
+            if tag in stack.kinds:
+                opened = stack.elements
                 if tag not in INLINE:
                     concealed = None
                     flush()
-                    while stack[-1].tag != tag:
+                    while opened[-1].tag != tag:
                         stack.pop()
                     stack.pop()
                 else:  # an inline end never closes a block
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k].tag == tag:
+                    for k in range(len(opened) - 1, -1, -1):
+                        if opened[k].tag == tag:
                             concealed = None if concealed is not None and k < concealed else concealed
-                            del stack[k]
+                            stack.remove(k)
                             break
-                        if stack[k].tag not in INLINE:
+                        if opened[k].tag not in INLINE:
                             break
-                links = sum(e.tag == "a" for e in stack)
             continue
         if tag == "head":
             continue
@@ -216,28 +279,29 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 at = size if end is None else end.end()
                 continue
             own = end_of(tag, found.start())
-            around = next((end_of(e.tag, e.at) for e in reversed(stack) if e.tag not in INLINE), None)
+            around = next((end_of(e.tag, e.at) for e in reversed(stack.elements) if e.tag not in INLINE), None)
             # an option begins the next one
             nested = tag in ("option", "button") and own and re.compile(rf"<{tag}\b", re.I).search(page, at, own[0])
             if own and not nested and (tag in CLOSED or around is None or own[0] < around[0]):
                 at = own[1]
             else:
-                concealed = len(stack)
+                concealed = len(stack.elements)
             continue
         if tag not in INLINE:
             concealed = None
             flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in CLOSES.get(tag, ()) or stack[k].tag == "p":
-                    del stack[k:]
-                    links = sum(e.tag == "a" for e in stack)
+            ended = CLOSES.get(tag, frozenset()) | {"p"}
+            # nothing to look for, most times
+            for k in range(len(stack.elements) - 1, -1, -1) if any(t in stack.kinds for t in ended) else ():
+                if stack.elements[k].tag in ended:
+                    stack.cut(k)
                     break
-                if stack[k].tag in SCOPES:
+                if stack.elements[k].tag in SCOPES:
                     break
         if tag not in VOID and not found.group(3).rstrip().endswith("/"):
-            stack.append(_opened(tag, found.group(3)))
-            stack[-1].at = found.start()
-            links += tag == "a"
+            element = _opened(tag, found.group(3))
+            element.at = found.start()
+            stack.push(element)
     flush()
     return blocks
 
@@ -249,10 +313,10 @@ def features(blocks: list[Block]) -> list[list[str]]:
         text, size = block.text, len(block.text)
         n_words = text.count(" ") + 1
         marks = text.count(".") + text.count(",") + text.count("!") + text.count("?")
-        names = ["bias", f"parent={block.tags[-1] if block.tags else ''}", f"words={min(7, n_words.bit_length())}"]
-        names += [f"in={t}" for t in set(block.tags)]
-        names += [f"name={w}" for w in set(block.words)]
-        names += [f"named={w in OTHER_WORDS}" for w in set(block.words) if w in OTHER_WORDS][:1]
+        names = ["bias", f"parent={block.parent}", f"words={min(7, n_words.bit_length())}"]
+        names += [f"in={t}" for t in sorted(block.tags)]
+        names += [f"name={w}" for w in sorted(block.words)]
+        names += [f"named={w in OTHER_WORDS}" for w in block.words if w in OTHER_WORDS][:1]
         names.append(f"links={min(4, int(4 * block.linked / max(size, 1) + 0.5))}")
         names.append(f"marks={min(4, int(20 * marks / n_words))}")
         if text[-1] in ".!?\"”»…":
@@ -261,7 +325,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
             names.append("copyright")
         if text.isupper():
             names.append("upper")
-        names += [f"inline={t}" for t in block.inline]
+        names += [f"inline={t}" for t in sorted(block.inline)]
         out.append(names)
     return out
 
