@@ -74,20 +74,27 @@ def median_feature(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return group_quantiles(long_form(df, columns), KEYS, {"median": 0.5})
 
 
+STATS = "array<struct<place:int,mean:double,side:int,lo:double,hi:double>>"
+#: What a statistic may need of a device's series besides positions.
+MEAN, RANGE = "mean", "range"
+
+
 def indexed_rows(
-    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False
+    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False, need: Sequence[str] = (MEAN, RANGE)
 ) -> DataFrame:
     """Rows with their position ``idx`` in the device's series, its length ``n``, and ``stats``: per metric, in
-    the order of ``columns``, the device's mean (see ``functions.exact``), smallest and largest value."""
+    the order of ``columns``, the device's mean (see ``functions.exact``), smallest and largest value, as far as ``need`` asks for them."""
     way = "desc" if descending else "asc"
     order = ", ".join(f"{c} {way}" for c in ("createtime", *tie_breakers))
     needed = dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])
     rows = df.selectExpr(*needed, "date_trunc('hour', createtime) as _hour")
     totals = {}
-    for c in columns:
+    for c in columns if need else ():
         x = f"cast({c} as double)"
-        totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("sum", "sum"), ("cnt", "count"), ("lo", "min"), ("hi", "max"))}
-        totals |= {f"{c}__{name}": f"sum({part})" for name, part in exact.parts(x).items()}
+        totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("lo", "min"), ("hi", "max"))}
+        if MEAN in need:
+            totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("sum", "sum"), ("cnt", "count"))}
+            totals |= {f"{c}__{name}": f"sum({part})" for name, part in exact.parts(x).items()}
     hours = rows.groupBy("sn", "_hour").agg(
         F.expr("count(1) as _n"), *[F.expr(a) for a in text.named(totals)]
     )
@@ -97,27 +104,33 @@ def indexed_rows(
     numbered = rows.selectExpr(
         "*", f"row_number() over (partition by sn, _hour order by {order}) - 1 as _local"
     )
-    offsets = placed.join(_device_stats(hours, columns), "sn")
+    offsets = placed.join(_device_stats(hours, columns, need), "sn")
     return numbered.join(offsets, ["sn", "_hour"]).selectExpr("*", "_before + _local as idx")
 
 
-def _device_stats(hours: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _device_stats(hours: DataFrame, columns: Sequence[str], need: Sequence[str]) -> DataFrame:
     """(sn, n, stats) from the totals of the hours; the sums behind the means are whole numbers, equal in any order."""
-    calls = {"sum": "sum({})", "cnt": "sum({})", "lo": "min({})", "hi": "max({})"}
-    calls |= {part: f"sum(cast({{}} as {exact.WIDE}))" for part in exact.PARTS}
+    if not need:
+        return hours.groupBy("sn").agg(F.expr("sum(_n) as n"), F.lit(None).cast(STATS).alias("stats"))
+    calls = {"lo": "min({})", "hi": "max({})"}
+    if MEAN in need:
+        calls |= {"sum": "sum({})", "cnt": "sum({})", **{part: f"sum(cast({{}} as {exact.WIDE}))" for part in exact.PARTS}}
     totals = {f"{c}__{name}": call.format(f"{c}__{name}") for c in columns for name, call in calls.items()}
     device = hours.groupBy("sn").agg(F.expr("sum(_n) as n"), *[F.expr(a) for a in text.named(totals)])
     fields = lambda c: ", ".join(f"{c}__{name} as {name}" for name in calls)
     structs = ", ".join(f"struct({i} as place, {fields(c)})" for i, c in enumerate(columns))
-    sums = (*exact.PARTS, "cnt")
-    known = f"{exact.inside('lo')} and {exact.inside('hi')}"
-    long = (
-        device.selectExpr("sn", "n", f"inline(array({structs}))")
-        .selectExpr("*", f"if({known}, {exact.first_mean(*sums)}, try_divide(sum, cnt)) as first", f"{known} as known")
-        .selectExpr("*", f"if(known, {exact.excess('first', *sums)}, null) as excess")
-        .selectExpr("*", f"if(known, {exact.nearer_mean('first', 'excess', 'cnt')}, first) as mean")
-        .selectExpr("*", f"if(known, cast(sign({exact.excess('mean', *sums)}) as int), 0) as side")
-    )
+    long = device.selectExpr("sn", "n", f"inline(array({structs}))")
+    if MEAN in need:
+        sums = (*exact.PARTS, "cnt")
+        known = f"{exact.inside('lo')} and {exact.inside('hi')}"
+        long = (
+            long.selectExpr("*", f"if({known}, {exact.first_mean(*sums)}, try_divide(sum, cnt)) as first", f"{known} as known")
+            .selectExpr("*", f"if(known, {exact.excess('first', *sums)}, null) as excess")
+            .selectExpr("*", f"if(known, {exact.nearer_mean('first', 'excess', 'cnt')}, first) as mean")
+            .selectExpr("*", f"if(known, cast(sign({exact.excess('mean', *sums)}) as int), 0) as side")
+        )
+    else:
+        long = long.selectExpr("*", "cast(null as double) as mean", "0 as side")
     return long.groupBy("sn").agg(
         F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("place", "mean", "side", "lo", "hi"))).alias("stats")
     )
@@ -134,10 +147,10 @@ def _metrics(columns: Sequence[str]) -> str:
 
 
 def indexed_long(
-    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False
+    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False, need: Sequence[str] = (MEAN, RANGE)
 ) -> DataFrame:
     """(sn, idx, n, kind, x, mean, side, lo, hi) per reading and metric."""
-    wide = indexed_rows(df, columns, tie_breakers, descending)
+    wide = indexed_rows(df, columns, tie_breakers, descending, need)
     return wide.selectExpr("sn", "idx", "n", _metrics(columns))
 
 
@@ -156,10 +169,10 @@ def chunked(df: DataFrame, chunk: int = CHUNK, halo: int = HALO) -> DataFrame:
 
 def with_neighbours(
     df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False,
-    chunk: int = CHUNK, before: int = 3, after: int = 4,
+    chunk: int = CHUNK, before: int = 3, after: int = 4, need: Sequence[str] = (MEAN, RANGE),
 ) -> DataFrame:
     """Long rows with ``b1..`` (values before) and ``a1..`` (values after); NULL past the ends."""
-    rows = chunked(indexed_rows(df, columns, tie_breakers, descending), chunk, max(before, after, 1))
+    rows = chunked(indexed_rows(df, columns, tie_breakers, descending, need), chunk, max(before, after, 1))
     packed = rows.repartition("sn", "chunk").selectExpr(
         "sn", "chunk", "core", "idx", "n", _metrics(columns)
     )
@@ -227,6 +240,7 @@ NEIGHBOUR = {
     "peaks": {f"number_peaks_{s}": _peak(s) for s in (1, 3)},
 }
 NEIGHBOURS = tuple(NEIGHBOUR)
+NEEDS = {"first_location": (RANGE,), "entropy": (RANGE,), "mean_counts": (MEAN,), "autocorrelation": (MEAN,)}
 
 
 def _finish_trend(df: DataFrame) -> DataFrame:
@@ -288,10 +302,11 @@ def series_features(
     descending: bool = False, chunk: int = CHUNK,
 ) -> DataFrame:
     """The chosen statistics per (sn, kind) in one pass; neighbours are computed only if needed."""
+    need = sorted({n for w in which for n in NEEDS.get(w, ())})
     if any(w in NEIGHBOUR for w in which):
-        rows = with_neighbours(df, columns, tie_breakers, descending, chunk)
+        rows = with_neighbours(df, columns, tie_breakers, descending, chunk, need=need)
     else:
-        rows = indexed_long(df, columns, tie_breakers, descending)
+        rows = indexed_long(df, columns, tie_breakers, descending, need)
     known = {**POSITION, **NEIGHBOUR}
     aggregates = []
     for w in which:

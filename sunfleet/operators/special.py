@@ -152,7 +152,7 @@ def number_cwt_peaks(
     noise window and the wavelet support, so a chunk's count equals that of the whole series.
     """
     reach = 5 * max(widths) + max(widths)
-    rows = series.indexed_rows(df, columns, tie_breakers)
+    rows = series.indexed_rows(df, columns, tie_breakers, need=())
     size = F.greatest(F.lit(chunk), F.ceil(F.col("n") / 20))
     halo = F.ceil(F.col("n") / 40) + F.lit(reach + 1)
     last = F.floor((F.col("n") - 1) / size)

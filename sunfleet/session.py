@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,6 +25,10 @@ SESSION_SETTINGS = {
 }
 
 
+#: Setting that names the current run.
+RUN = "sunfleet.run"
+
+
 def build_session(app_name: str = "sunfleet", master: str | None = None, **extra: str) -> SparkSession:
     """Create (or reuse) a session with the settings above; on a cluster leave ``master`` unset."""
     builder = SparkSession.builder.appName(app_name)
@@ -58,9 +63,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def start_run(spark: SparkSession, name: str | None = None) -> str:
+    """From now on intermediates of this session go to a folder of their own, which ``cleanup`` removes; returns the run's name."""
+    name = name or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", name):
+        raise ValueError(f"a run's name has letters, digits, - and _ only: {name!r}")
+    spark.conf.set(RUN, name)
+    return name
+
+
+def cleanup(spark: SparkSession, run: str) -> None:
+    """Remove the intermediates of a run, once nothing that reads them is needed any more."""
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", run):
+        raise ValueError(f"no run: {run!r}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_folder(spark), f"run-{run}"))
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    if spark.conf.get(RUN, None) == run:
+        spark.conf.unset(RUN)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, inside the folder of the current run if there is one."""
+    run = spark.conf.get(RUN, None)
+    return os.path.join(shared_folder(spark), *([f"run-{run}"] if run else []), f"{label}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

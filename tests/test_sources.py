@@ -129,3 +129,23 @@ def test_output_paths_of_other_stores():
         writers.overwrite_output(None, "hdfs://nn/out", "hdfs://nn/out/../elsewhere")
     with pytest.raises(ValueError):
         writers.overwrite_output(None, "hdfs://nn/out", "s3a://nn/out/x")
+
+
+def test_intermediates_of_a_run_can_be_removed(spark):
+    import os
+
+    from sunfleet import session
+
+    before = session.written(spark.range(3), "kept")
+    run = session.start_run(spark)
+    inside = session.new_path(spark, "x")
+    assert f"run-{run}" in inside
+    assert session.written(spark.range(5), "gone").count() == 5
+    folder = os.path.dirname(inside)
+    assert os.listdir(folder)
+    session.cleanup(spark, run)
+    assert not os.path.exists(folder) and before.count() == 3
+    assert "run-" not in session.new_path(spark, "x")
+    for name in ("", "..", "a/b"):
+        with pytest.raises(ValueError):
+            session.cleanup(spark, name)

@@ -302,19 +302,34 @@ def daily_features_ext(spark, sf):
     return plan.daily_features_ext(telemetry(spark, sf), ratios=ratio_columns())
 
 
-_T30 = matrix_part(["error", "on_rate", "vac1_mean"], 30)
+_T30 = plan.matrix_columns(30)
 TYPE_CODE = "case substring(sn,1,6) " + " ".join(
     f"when '{k}' then {v}" for k, v in fn.DEVICE_TYPE_CODES.items()
 ) + " end"
-TYPE_COLUMN = f", round(max(cast({TYPE_CODE} as double)), 9) + 0.0 as inverter_type_list"
 
 
-@query("score_single_file", pivot_sql(["error", "switch", "vac"], _T30, extra_select=TYPE_COLUMN, time_range=30))
+def long_matrix_sql(columns, **kw):
+    """Check SQL of a feature matrix in long form (sn, feature, value), with the model code."""
+    blocks, _ = sql.daily_blocks(list(d.FAMILIES), **kw)
+    used = list(dict.fromkeys(c for _, c, _ in columns))
+    names = ", ".join(f"('{plan.safe_name(n)}', '{c}', {j})" for n, c, j in columns)
+    blocks["named"] = f"select * from (values {names}) t(feature, col, day_idx)"
+    blocks["flat"] = f"select sn, day_idx, {', '.join(f'{c}::double as {c}' for c in used)} from days"
+    blocks["cells"] = f"select * from flat unpivot include nulls (x for col in ({', '.join(used)}))"
+    return sql.chain(
+        f"select sn, feature, {sql.rnd('x', 'value')} from cells join named using (col, day_idx) "
+        f"union all select distinct sn, 'inverter_type_list', {sql.rnd(f'cast({TYPE_CODE} as double)', 'value')} from days", **blocks,
+    )
+
+
+@query("score_single_file", long_matrix_sql(_T30, time_range=30))
 def score_single_file(spark, sf):
-    """30-day features of one file, with the model code."""
-    spec = d.DailySpec(("error", "switch", "vac"))
-    names = [plan.safe_name(n) for n, _, _ in _T30]
-    return score_plan.score_features(telemetry(spark, sf), None, 30, spec, names)[0]
+    """30-day features of one file, of all families and with the model code, as (sn, feature, value)."""
+    wide = score_plan.score_features(telemetry(spark, sf), None, 30)[0]
+    features = [c for c in wide.columns if c != "sn"]
+    names = ", ".join(f"'{c}'" for c in features)
+    cells = wide.selectExpr("sn", f"posexplode(array({', '.join(f'cast({c} as double)' for c in features)})) as (place, value)")
+    return cells.selectExpr("sn", f"array({names})[place] as feature", "value")
 
 
 _OFFSET_FAMILIES = list(d.FAMILIES)

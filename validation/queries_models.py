@@ -180,7 +180,7 @@ def score_stored_trees(spark, sf):
 # ---- models: rows-only checks -----------------------------------------------------------------
 
 #: Rounds of the queries; the defaults of the library are 100 and 300.
-ROUNDS = 10
+ROUNDS = 6
 
 
 def matrix(spark, sf):

@@ -47,8 +47,12 @@ def stats_sql(select: str, source: str = "pos", tail: str = "group by sn, kind",
     return sql.chain(f"select sn, kind, {select} from {source} {tail}", **{**WINDOW, **extra})
 
 
-def r(expr: str, name: str) -> str:
-    return sql.rnd(f"({expr}) + {TIE_SHIFT!r}::double", name, DIGITS)
+#: Of the wide tables, whose sums and variances run to 10^10.
+WIDE_DIGITS = 4
+
+
+def r(expr: str, name: str, digits: int = DIGITS) -> str:
+    return sql.rnd(f"({expr}) + {TIE_SHIFT!r}::double", name, digits)
 
 
 def window(spark, sf):
@@ -315,7 +319,27 @@ def ts_number_peaks(spark, sf):
     return _near(spark, sf, "peaks")
 
 
-@query("ts_number_cwt_peaks")
+# wavelet rows of widths 1 to 3, their local maxima, and the noise floor of the narrowest
+_RICKER = "2/(sqrt(3*w)*pi()**0.25)*(1-u*u/(w*w))*exp(-u*u/(w*w)/2)"
+_CWT = {
+    "reach": "select p.sn, p.kind, p.idx, p.n, w.w, least(10*w.w, p.n) as k from pos p, (select unnest([1, 2, 3])::bigint as w) w",
+    "parts": "select r.sn, r.kind, r.idx, r.n, r.w, b.x, b.idx as t, (r.idx + (r.k-1)//2 - b.idx) - (r.k-1)/2.0 as u "
+    "from reach r join pos b on b.sn = r.sn and b.kind = r.kind and b.idx between r.idx + (r.k-1)//2 - (r.k-1) and r.idx + (r.k-1)//2",
+    "wave": f"select sn, kind, idx, any_value(n) as n, w, sum(x*({_RICKER}) order by t) as y from parts group by sn, kind, idx, w",
+    "tops": "select *, coalesce(y > lag(y) over v and y > lead(y) over v, false) as top from wave window v as (partition by sn, kind, w order by idx)",
+    "span": "select *, (ceil(n/20.0)::bigint)//2 as half, (ceil(n/20.0)::bigint)%2 as odd from wave where w = 1",
+    "floor": "select sn, kind, idx, abs(quantile_cont(y, 0.1) over (partition by sn, kind order by idx rows between half preceding and half + odd - 1 following)) as noise from span",
+    "ends": "select sn, kind, idx, min(w) filter (top) as w3, bool_or(top and w = 1) as one, arg_min(abs(y), w) filter (top) as y3, max(abs(y)) filter (w = 1) as y1 from tops group by sn, kind, idx",
+}
+
+
+@query(
+    "ts_number_cwt_peaks",
+    stats_sql(
+        "cast(count_if(one and y1 >= noise) as bigint) as number_cwt_peaks_1, cast(count_if(w3 is not null and y3 >= noise) as bigint) as number_cwt_peaks_3",
+        "ends join floor using (sn, kind, idx)", **_CWT,
+    ),
+)
 def ts_number_cwt_peaks(spark, sf):
     return special.number_cwt_peaks(window(spark, sf), KINDS, (1, 3), TIES)
 
@@ -393,7 +417,7 @@ def _wide_sql(kinds):
     cells = []
     for k in kinds:
         for name, _ in _WIDE:
-            cells.append(r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}"))
+            cells.append(r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}", WIDE_DIGITS))
     per = ", ".join(f"({e})::double as {n}" for n, e in _WIDE)
     return sql.chain(
         f"select sn, {', '.join(cells)} from per group by sn",
@@ -401,9 +425,9 @@ def _wide_sql(kinds):
     )
 
 
-@query("window_statistics", _wide_sql(KINDS), DIGITS, TIE_SHIFT)
+@query("window_statistics", _wide_sql(KINDS), WIDE_DIGITS, TIE_SHIFT)
 def window_statistics(spark, sf):
-    """All statistics in one wide row per device; the check looks at one of every block."""
+    """All statistics in one wide row per device; the check looks at some of every block."""
     wide = plan.window_statistics(telemetry(spark, sf), KINDS, 0, 20, tie_breakers=TIES, interpolation="linear")
     return wide.select("sn", *[F.col(f"{k}_{n}").cast("double").alias(f"{k}_{n}") for k in KINDS for n, _ in _WIDE])
 
@@ -414,7 +438,7 @@ def _gated_sql(kinds, min_rows, min_days, wide):
     )
     blocks = {**WINDOW, "long": f"select * from ({_long_sql(kinds)}) where sn in ({covered})"}
     filled = lambda n: f"coalesce({n}, median({n}) over (partition by kind), 0) as {n}" if n in _GAPS else n
-    cells = [r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}") for k in kinds for name, _ in wide]
+    cells = [r(f"max(case when kind='{k}' then {name} end)", f"{k}_{name}", WIDE_DIGITS) for k in kinds for name, _ in wide]
     per = ", ".join(f"({e})::double as {n}" for n, e in wide)
     return sql.chain(
         f"select sn, {', '.join(cells)} from imputed group by sn",
@@ -429,13 +453,13 @@ def _long_features(spark, sf, wavelet_peaks):
     )
 
 
-@query("window_statistics_long", _gated_sql(KINDS, 45, 10, [x for x in _WIDE if x[0] not in _GAPS]), DIGITS, TIE_SHIFT)
+@query("window_statistics_long", _gated_sql(KINDS, 45, 10, [x for x in _WIDE if x[0] not in _GAPS]), WIDE_DIGITS, TIE_SHIFT)
 def window_statistics_long(spark, sf):
     """Long form for devices with enough readings and days: statistics every series has."""
     return _long_features(spark, sf, True).select("sn", *[f"{k}_{n}" for k in KINDS for n, _ in _WIDE if n not in _GAPS])
 
 
-@query("window_statistics_imputed", _gated_sql(KINDS, 45, 10, _WIDE), DIGITS, TIE_SHIFT)
+@query("window_statistics_imputed", _gated_sql(KINDS, 45, 10, _WIDE), WIDE_DIGITS, TIE_SHIFT)
 def window_statistics_imputed(spark, sf):
     """The long form with those a constant series lacks, imputed."""
     return _long_features(spark, sf, False).select("sn", *[f"{k}_{n}" for k in KINDS for n, _ in _WIDE])
