@@ -57,6 +57,10 @@ def linear_trend(
     return with_trend_p_value(series.position_features(df, columns, ["trend"], tie_breakers, descending))
 
 
+#: Decimals at which wavelet values are compared.
+DIGITS = 6
+
+
 def ricker(points: int, width: float) -> np.ndarray:
     x = np.arange(points) - (points - 1.0) / 2
     q = x * x / (width * width)
@@ -122,16 +126,17 @@ def noise_floor(row: np.ndarray, window: int) -> np.ndarray:
 
 
 def count_wavelet_peaks(
-    x: np.ndarray, widths: Sequence[int], first: int, core: tuple[int, int], length: int
+    x: np.ndarray, widths: Sequence[int], first: int, core: tuple[int, int], length: int, digits: int = DIGITS
 ) -> list[int]:
     """Peaks whose ridge ends in ``[core)``, for wavelets of width 1..w per entry of ``widths``.
 
     ``first`` is the series position of ``x[0]``. A peak counts if its wavelet value is at least
     the noise floor: the 10th percentile of the narrowest wavelet row in a window of a twentieth
-    of the series around it.
+    of the series around it. Wavelet values are rounded to ``digits`` decimals: like readings in another order then tie,
+    whatever the order of a sum.
     """
     every = list(range(1, max(widths) + 1))
-    rows = wavelet_rows(x, every, length)
+    rows = np.round(wavelet_rows(x, every, length), digits)
     maxima = _row_maxima(rows)
     noise = np.abs(noise_floor(rows[0], math.ceil(length / 20)))
     counts = []

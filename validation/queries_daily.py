@@ -24,7 +24,7 @@ from sunfleet.sources.event_log import telemetry_from_events
 
 from . import sql
 from .inputs import clean, events, fault_labels, telemetry
-from .registry import query
+from .registry import TIE_SHIFT, query
 
 
 def daily_rows(spark, sf, families, out_days=0, time_range=7):
@@ -317,12 +317,12 @@ def long_matrix_sql(columns, **kw):
     blocks["flat"] = f"select sn, day_idx, {', '.join(f'{c}::double as {c}' for c in used)} from days"
     blocks["cells"] = f"select * from flat unpivot include nulls (x for col in ({', '.join(used)}))"
     return sql.chain(
-        f"select sn, feature, {sql.rnd('x', 'value')} from cells join named using (col, day_idx) "
-        f"union all select distinct sn, 'inverter_type_list', {sql.rnd(f'cast({TYPE_CODE} as double)', 'value')} from days", **blocks,
+        f"select sn, feature, {sql.rnd(f'x + {TIE_SHIFT!r}::double', 'value', 6)} from cells join named using (col, day_idx) "
+        f"union all select distinct sn, 'inverter_type_list', {sql.rnd(f'cast({TYPE_CODE} as double) + {TIE_SHIFT!r}::double', 'value', 6)} from days", **blocks,
     )
 
 
-@query("score_single_file", long_matrix_sql(_T30, time_range=30))
+@query("score_single_file", long_matrix_sql(_T30, time_range=30), 6, TIE_SHIFT)
 def score_single_file(spark, sf):
     """30-day features of one file, of all families and with the model code, as (sn, feature, value)."""
     wide = score_plan.score_features(telemetry(spark, sf), None, 30)[0]

@@ -325,7 +325,7 @@ _CWT = {
     "reach": "select p.sn, p.kind, p.idx, p.n, w.w, least(10*w.w, p.n) as k from pos p, (select unnest([1, 2, 3])::bigint as w) w",
     "parts": "select r.sn, r.kind, r.idx, r.n, r.w, b.x, b.idx as t, (r.idx + (r.k-1)//2 - b.idx) - (r.k-1)/2.0 as u "
     "from reach r join pos b on b.sn = r.sn and b.kind = r.kind and b.idx between r.idx + (r.k-1)//2 - (r.k-1) and r.idx + (r.k-1)//2",
-    "wave": f"select sn, kind, idx, any_value(n) as n, w, sum(x*({_RICKER}) order by t) as y from parts group by sn, kind, idx, w",
+    "wave": f"select sn, kind, idx, any_value(n) as n, w, round(sum(x*({_RICKER}) order by t), {special.DIGITS}) as y from parts group by sn, kind, idx, w",
     "tops": "select *, coalesce(y > lag(y) over v and y > lead(y) over v, false) as top from wave window v as (partition by sn, kind, w order by idx)",
     "span": "select *, (ceil(n/20.0)::bigint)//2 as half, (ceil(n/20.0)::bigint)%2 as odd from wave where w = 1",
     "floor": "select sn, kind, idx, abs(quantile_cont(y, 0.1) over (partition by sn, kind order by idx rows between half preceding and half + odd - 1 following)) as noise from span",
