@@ -37,11 +37,12 @@ def boosted(seed: int = 42, rounds: int = 20, depth: int = 5, step: float = 0.1)
 
 
 def train_multiclass(
-    train: DataFrame, features: Sequence[str], classifier=None, seed: int = 42, rounds: int = boosting.MULTICLASS.rounds
+    train: DataFrame, features: Sequence[str], classifier=None, seed: int = 42, rounds: int = boosting.MULTICLASS.rounds,
+    params: boosting.Params = boosting.MULTICLASS,
 ) -> PipelineModel | boosting.TreeModel:
     """Class-balanced boosted trees with a softmax loss; or the given Spark ML estimator, for any number of classes."""
     if classifier is None:
-        return boosting.fit(train, features, replace(boosting.MULTICLASS, seed=seed, rounds=rounds))
+        return boosting.fit(train, features, replace(params, seed=seed, rounds=rounds))
     weighted = evaluation.class_weights(fill_scores_zero(train, features))
     return Pipeline(stages=[assembler(features), classifier]).fit(weighted)
 
@@ -54,10 +55,11 @@ def boosted_one_vs_rest(seed: int = 42, rounds: int = 20) -> OneVsRest:
 
 
 def train_binary(
-    train: DataFrame, features: Sequence[str], positive_weight: float = 0.3, seed: int = 42, rounds: int = boosting.BINARY.rounds
+    train: DataFrame, features: Sequence[str], positive_weight: float = 0.3, seed: int = 42, rounds: int = boosting.BINARY.rounds,
+    params: boosting.Params = boosting.BINARY,
 ) -> boosting.TreeModel:
     """Boosted trees for label 0/1 with a fixed weight of the positive class."""
-    return boosting.fit(train, features, replace(boosting.BINARY, positive_weight=positive_weight, seed=seed, rounds=rounds))
+    return boosting.fit(train, features, replace(params, positive_weight=positive_weight, seed=seed, rounds=rounds))
 
 
 MODELS = {"forest": forest, "boosted_one_vs_rest": boosted_one_vs_rest}

@@ -179,8 +179,10 @@ def score_stored_trees(spark, sf):
 
 # ---- models: rows-only checks -----------------------------------------------------------------
 
-#: Rounds of the queries; the defaults of the library are 100 and 300.
+#: Rounds of the queries; the defaults of the library are 100 and 300. The tables here have few devices, so penalties are small.
 ROUNDS = 6
+LIGHT = {"min_child_weight": 1.0, "reg_alpha": 0.0, "reg_lambda": 1.0, "gamma": 0.0}
+THREE, TWO = replace(boosting.MULTICLASS, **LIGHT), replace(boosting.BINARY, **LIGHT)
 
 
 def matrix(spark, sf):
@@ -199,7 +201,7 @@ def train_multiclass(spark, sf):
     """Class probabilities of the test rows."""
     train, test = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train)
-    model = training.train_multiclass(train, features, rounds=ROUNDS)
+    model = training.train_multiclass(train, features, rounds=ROUNDS, params=THREE)
     return scoring.predict_proba(model, test, features, ids=("sn", "out_days", "label"))
 
 
@@ -211,7 +213,7 @@ def binary_matrix(spark, sf):
 def train_binary(spark, sf):
     train, test = _split(binary_matrix(spark, sf))
     features = train_plan.feature_columns(train)
-    model = training.train_binary(train, features, rounds=ROUNDS)
+    model = training.train_binary(train, features, rounds=ROUNDS, params=TWO)
     return scoring.predict_proba(model, test, features, 2, ids=("sn", "out_days", "label"))
 
 
@@ -220,7 +222,7 @@ def cross_validate(spark, sf):
     """Metrics of five folds, grown together, and their mean (fold -1)."""
     rows = written(binary_matrix(spark, sf).drop("split"), "matrix")
     features = train_plan.feature_columns(rows)
-    per_fold = training.cross_validate(rows, features, ["sn", "out_days", "copy"], params=replace(boosting.BINARY, rounds=ROUNDS))
+    per_fold = training.cross_validate(rows, features, ["sn", "out_days", "copy"], params=replace(TWO, rounds=ROUNDS))
     per_fold = written(per_fold, "folds")
     return per_fold.unionByName(training.mean_metrics(per_fold).withColumn("fold", F.lit(-1)))
 
@@ -236,7 +238,7 @@ def saved(spark, sf):
     root = new_path(spark, "models")
     rows = matrix(spark, sf)
     features = train_plan.feature_columns(rows)
-    model = training.train_multiclass(_split(rows)[0], features, rounds=ROUNDS)
+    model = training.train_multiclass(_split(rows)[0], features, rounds=ROUNDS, params=THREE)
     for stamp in ("2024_01_30", "2024_01_31"):
         storage.save_model(spark, model, storage.model_path(root, "boosted", 7, 7, stamp), features, stamp)
     return root, rows, features
@@ -269,7 +271,7 @@ def load_latest(spark, sf):
 def predict_proba(spark, sf):
     train_rows, _ = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_multiclass(train_rows, features, rounds=ROUNDS)
+    model = training.train_multiclass(train_rows, features, rounds=ROUNDS, params=THREE)
     rows, _, _ = score_plan.score_features(telemetry(spark, sf), dt.date(2024, 1, 28), 7, SPEC, features)
     return scoring.predict_proba(model, rows, features)
 
@@ -279,7 +281,7 @@ def score_fleet(spark, sf):
     """Scores of the whole fleet for a day, with cut-offs."""
     train_rows, _ = _split(matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_multiclass(train_rows, features, rounds=ROUNDS)
+    model = training.train_multiclass(train_rows, features, rounds=ROUNDS, params=THREE)
     scored, cutoffs, _ = score_plan.score_fleet(
         telemetry(spark, sf), model, features, dt.date(2024, 1, 28), 7, SPEC
     )
@@ -290,7 +292,7 @@ def score_fleet(spark, sf):
 def score_binary(spark, sf):
     train_rows, _ = _split(binary_matrix(spark, sf))
     features = train_plan.feature_columns(train_rows)
-    model = training.train_binary(train_rows, features, rounds=ROUNDS)
+    model = training.train_binary(train_rows, features, rounds=ROUNDS, params=TWO)
     scored, _, _ = score_plan.score_binary(
         telemetry(spark, sf), model, features, dt.date(2024, 1, 28), 7, SPEC
     )
