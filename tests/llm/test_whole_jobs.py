@@ -122,7 +122,7 @@ def test_wrapped_licences():
         (BSD.format(ENDORSE), [*bare, "BSDendorse", "AsIsProvided", "NoLiability"], "BSD-3-Clause"),
         (APACHE, ["CopyrightLine", "ApacheRef", "ApacheComply", "ApacheObtain", "ApacheAsIs", "ApacheSee"], "Apache-2.0"),
         (ISC, ["ISCgrant", "AsIsProvided"], "ISC"),
-        (MIT, ["UNKNOWN", "CopyrightLine", "MITgrant", "MITnotice", "AsIsProvided", "NoLiability"], "MIT"),
+        (MIT, ["MITtitle", "CopyrightLine", "MITgrant", "MITnotice", "AsIsProvided", "NoLiability"], "MIT"),
         (GNU.format(":", "", ",", 3, ""), ["GPLrefPlus", "GNUsee"], "GPL-3-or-later"),
         (GNU.format(";", "", ";", 2, ""), ["GPLrefPlus", "GNUsee"], "GPL-2-or-later"),
         (GNU.format(":", "Lesser ", ",", 2.1, "Lesser "), ["LGPLrefPlus", "GNUsee"], "LGPL-2.1-or-later"),
