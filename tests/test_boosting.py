@@ -1,8 +1,10 @@
 """Boosted trees against a plain numpy booster, joint folds against single fits, stored trees, and the log of versions."""
 
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +162,39 @@ def test_saved_trees_score_alike_and_versions_do_not_collide(spark, tmp_path):
     want = {r["sn"]: r["probability"] for r in model.transform(df).collect()}
     got = scoring.predict_proba(loaded, df, listed).collect()
     assert all(np.allclose([r["proba_label_0"], r["proba_label_1"], r["proba_label_2"]], want[r["sn"]]) for r in got)
+
+
+def test_lines_of_any_number_of_tasks_are_added_up_in_bounded_memory():
+    growth = boosting.Growth(SMALL, np.ones((1, 3)), 4)
+    rng = np.random.default_rng(3)
+    g, h = rng.integers(-9, 9, (40, SMALL.bins)), rng.integers(1, 9, (40, SMALL.bins)) << 20
+    zeros, line = np.zeros(40, np.int32), np.arange(40, dtype=np.int32)
+    columns = [pa.array(c) for c in (zeros, zeros, zeros, line // 4, line % 4)] + [pa.array([x.tobytes() for x in v], pa.binary()) for v in (g, h)]
+    batch = pa.RecordBatch.from_arrays(columns, ["block", "model", "output", "node", "feature", "g", "h"])
+
+    def peak(tasks):
+        tracemalloc.start()
+        found = pa.Table.from_batches(growth.cuts()(batch for _ in range(tasks))).to_pydict()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found, most
+
+    few, many = peak(2), peak(400)
+    assert few[0]["all_g"] == [v // 200 for v in many[0]["all_g"]] and len(few[0]["node"]) == 10
+    assert many[1] < 2 * few[1]
+
+
+def test_work_space_does_not_grow_with_the_batch():
+    def peak(rows):
+        codes, margins = [bytes(range(50))] * rows, [bytes(24)] * rows
+        whole = [pa.array(np.arange(rows)), pa.array(np.zeros(rows, np.int32)), pa.array(np.full(rows, -1, np.int32)), pa.array(codes, pa.binary()), pa.array(margins, pa.binary())]
+        batch = pa.RecordBatch.from_arrays(whole, ["key", "label", "fold", "codes", "margins"])
+        growth = boosting.Growth(replace(SMALL, bins=64), np.ones((1, 3)), 50)
+        trees = [[boosting.Tree.empty(3) for _ in range(3)]]
+        tracemalloc.start()
+        assert list(growth.histograms(trees, 0, 0, [[[0], [0], [0]]])(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(40_000) < 2 * peak(4_000)
