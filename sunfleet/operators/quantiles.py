@@ -98,6 +98,19 @@ def group_quantiles(
     )
 
 
+def sorted_quantiles(df: DataFrame, keys: Sequence[str], quantiles: dict[str, float], values: str, interpolation: str = "linear") -> DataFrame:
+    """``group_quantiles`` for groups that come as one sorted array each, without NULLs and not empty."""
+    out = []
+    for name, q in quantiles.items():
+        position = f"(double('{q!r}') * (size({values}) - 1))"
+        if interpolation == "nearest":
+            out.append(f"{values}[cast(round{position} as int)] as {name}")
+        else:
+            lo, hi = (f"{values}[cast({end}{position} as int)]" for end in ("floor", "ceil"))
+            out.append(f"if({lo} = {hi}, {lo}, {lo} + ({hi} - {lo}) * ({position} - floor{position})) as {name}")
+    return df.selectExpr(*keys, *out)
+
+
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: ``<column>__median`` over the finite values of each column."""
     finite = df.selectExpr(*[f"cast(if({text.finite(c)}, {c}, null) as double) as {c}" for c in columns])

@@ -4,6 +4,7 @@ Order-free statistics are plain aggregates. Order-dependent ones need the positi
 in its device's series and a few neighbours. Positions come from counts per device-hour, and
 neighbours from chunks of consecutive positions that carry a small halo of border rows. A device
 with very many readings therefore spreads over many tasks, and every value stays exact.
+A device whose readings fit into one chunk needs neither: its wide rows are dealt out by device once, and its positions, neighbours and totals come from them.
 
 Series run in ascending time; ``descending=True`` runs them from the newest reading.
 """
@@ -11,16 +12,18 @@ Series run in ascending time; ``descending=True`` runs them from the newest read
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact, text
-from .quantiles import group_quantiles, quantile_name
+from ..session import measured, written
+from .quantiles import group_quantiles, quantile_name, sorted_quantiles
 
 KEYS = ["sn", "kind"]
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
-CHUNK = 4096
+CHUNK = 1 << 15
 HALO = 4  # the farthest neighbour: time reversal asymmetry at lag 2
 BINS = 10
 
@@ -58,20 +61,69 @@ def _finish_moments(df: DataFrame) -> DataFrame:
     )
 
 
-def moment_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _finish_moments(long_form(df, columns).groupBy(*KEYS).agg(*moment_aggregates("value")))
+#: Readings with whether all their devices are short: a device's readings fit into one task.
+Dealt = list[tuple[DataFrame, bool]]
+
+
+def dealt(df: DataFrame | Dealt, columns: Sequence[str], tie_breakers: Sequence[str] = (), limit: int = CHUNK) -> Dealt:
+    """The readings, written once with the columns in use: those of devices with at most ``limit`` of them, then the others if there are any.
+
+    Readings without a device count as others. What is dealt already passes.
+    """
+    if isinstance(df, list):
+        return df
+    rows = written(df.select(*dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])), "window-rows")
+    counts = rows.groupBy(F.col("sn").alias("_sn")).agg(F.count(F.lit(1)).alias("_n"))
+    long = measured(counts.filter((F.col("_n") > limit) | F.col("_sn").isNull()).select("_sn"), "long-series")
+    if long.isEmpty():
+        return [(rows, True)]
+    same = F.col("sn").eqNullSafe(F.col("_sn"))
+    return [(rows.join(long, same, "left_anti"), True), (rows.join(long, same, "left_semi"), False)]
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _doubles(columns: Sequence[str]) -> str:
+    return f"array({', '.join(f'cast({c} as double)' for c in columns)})"
+
+
+def moment_features(df: DataFrame | Dealt, columns: Sequence[str]) -> DataFrame:
+    values = ", ".join(f"struct('{c}' as kind, cast({c} as double) as value)" for c in columns)
+    parts = []
+    for rows, short in dealt(df, columns):
+        # a short device's rows meet before they become long rows, which then stay where they are
+        long = rows.repartition("sn").selectExpr("sn", f"inline(array({values}))") if short else long_form(rows, columns)
+        parts.append(long.groupBy(*KEYS).agg(*moment_aggregates("value")))
+    return _finish_moments(_together(parts))
+
+
+def named_quantiles(df: DataFrame | Dealt, columns: Sequence[str], quantiles: dict[str, float], interpolation: str = "linear") -> DataFrame:
+    """Quantiles per (sn, kind): from the sorted readings of a short device, from value counts and bins of a long one."""
+    parts = []
+    for rows, short in dealt(df, columns):
+        if not short:
+            parts.append(group_quantiles(long_form(rows, columns), KEYS, quantiles, interpolation=interpolation))
+            continue
+        series = rows.selectExpr("sn", f"{_doubles(columns)} as xs").repartition("sn").groupBy("sn").agg(F.collect_list("xs").alias("_rows"))
+        sorted_values = ", ".join(
+            f"struct('{c}' as kind, sort_array(array_compact(transform(_rows, r -> r[{i}] + 0.0D))) as _sorted)" for i, c in enumerate(columns)
+        )
+        long = series.selectExpr("sn", f"inline(array({sorted_values}))").filter("size(_sorted) > 0")
+        parts.append(sorted_quantiles(long, KEYS, quantiles, "_sorted", interpolation))
+    return _together(parts)
 
 
 def quantile_features(
-    df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] = QUANTILES,
+    df: DataFrame | Dealt, columns: Sequence[str], quantiles: Sequence[float] = QUANTILES,
     interpolation: str = "linear",
 ) -> DataFrame:
-    wanted = {quantile_name(q): q for q in quantiles}
-    return group_quantiles(long_form(df, columns), KEYS, wanted, interpolation=interpolation)
+    return named_quantiles(df, columns, {quantile_name(q): q for q in quantiles}, interpolation)
 
 
-def median_feature(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return group_quantiles(long_form(df, columns), KEYS, {"median": 0.5})
+def median_feature(df: DataFrame | Dealt, columns: Sequence[str]) -> DataFrame:
+    return named_quantiles(df, columns, {"median": 0.5})
 
 
 STATS = "array<struct<place:int,mean:double,side:int,lo:double,hi:double>>"
@@ -79,25 +131,60 @@ STATS = "array<struct<place:int,mean:double,side:int,lo:double,hi:double>>"
 MEAN, RANGE = "mean", "range"
 
 
+def _order(tie_breakers: Sequence[str], descending: bool) -> tuple[str, str]:
+    way = "desc" if descending else "asc"
+    return way, ", ".join(f"{c} {way}" for c in ("createtime", *tie_breakers))
+
+
+def _totals(values: dict[str, str], need: Sequence[str]) -> list[Column]:
+    """Number of readings, and per metric its range and the sums behind its mean, as far as ``need`` asks for them."""
+    totals = {"_n": "count(1)"}
+    for c, x in values.items() if need else ():
+        totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("lo", "min"), ("hi", "max"))}
+        if MEAN in need:
+            totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("sum", "sum"), ("cnt", "count"))}
+            totals |= {f"{c}__{name}": f"sum({part})" for name, part in exact.parts(x).items()}
+    return [F.expr(a) for a in text.named(totals)]
+
+
+def short_rows(df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False) -> DataFrame:
+    """(sn, createtime, tie breakers, xs, idx, n): readings of short devices with position and series length; ``xs`` holds the metrics."""
+    _, order = _order(tie_breakers, descending)
+    rows = df.selectExpr("sn", "createtime", *[f"{c} as _tie{i}" for i, c in enumerate(tie_breakers)], f"{_doubles(columns)} as xs")
+    order = order.split(", ")
+    order = ", ".join([order[0], *[f"_tie{i} {o.rsplit(' ', 1)[1]}" for i, o in enumerate(order[1:])]])
+    placed = rows.selectExpr("*", f"row_number() over (partition by sn order by {order}) - 1 as idx", "count(1) over (partition by sn) as n")
+    # readings without a time have a place, but are no part of a series
+    return placed.filter("createtime is not null")
+
+
+def short_series(
+    df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False, need: Sequence[str] = (MEAN, RANGE),
+    before: int = 0, after: int = 0,
+) -> DataFrame:
+    """What ``with_neighbours`` yields, for devices whose readings fit into one task. Neighbours are taken of whole rows; only then a row is cut into metrics."""
+    w = "over (partition by sn order by idx)"
+    near = short_rows(df, columns, tie_breakers, descending).selectExpr(
+        "sn", "idx", "n", "xs", *[f"lag(xs, {i}) {w} as b{i}" for i in range(1, before + 1)], *[f"lead(xs, {i}) {w} as a{i}" for i in range(1, after + 1)]
+    )
+    fields = [f"{name}[{{i}}] as {name}" for name in (*[f"b{i}" for i in range(1, before + 1)], *[f"a{i}" for i in range(1, after + 1)])]
+    if need:
+        totals = df.selectExpr("sn", f"{_doubles(columns)} as xs").repartition("sn").groupBy("sn").agg(*_totals({c: f"xs[{i}]" for i, c in enumerate(columns)}, need))
+        near = near.join(_device_stats(totals, columns, need).select("sn", "stats"), "sn")
+        fields += [f"stats[{{i}}].{name} as {name}" for name in ("mean", "side", "lo", "hi")]
+    structs = ", ".join(f"struct({', '.join([f'{chr(39)}{c}{chr(39)} as kind', f'xs[{i}] as x', *[f.format(i=i) for f in fields]])})" for i, c in enumerate(columns))
+    return near.selectExpr("sn", "idx", "n", f"inline(array({structs}))")
+
+
 def indexed_rows(
     df: DataFrame, columns: Sequence[str], tie_breakers: Sequence[str] = (), descending: bool = False, need: Sequence[str] = (MEAN, RANGE)
 ) -> DataFrame:
     """Rows with their position ``idx`` in the device's series, its length ``n``, and ``stats``: per metric, in
     the order of ``columns``, the device's mean (see ``functions.exact``), smallest and largest value, as far as ``need`` asks for them."""
-    way = "desc" if descending else "asc"
-    order = ", ".join(f"{c} {way}" for c in ("createtime", *tie_breakers))
+    way, order = _order(tie_breakers, descending)
     needed = dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])
     rows = df.selectExpr(*needed, "date_trunc('hour', createtime) as _hour")
-    totals = {}
-    for c in columns if need else ():
-        x = f"cast({c} as double)"
-        totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("lo", "min"), ("hi", "max"))}
-        if MEAN in need:
-            totals |= {f"{c}__{name}": f"{call}({x})" for name, call in (("sum", "sum"), ("cnt", "count"))}
-            totals |= {f"{c}__{name}": f"sum({part})" for name, part in exact.parts(x).items()}
-    hours = rows.groupBy("sn", "_hour").agg(
-        F.expr("count(1) as _n"), *[F.expr(a) for a in text.named(totals)]
-    )
+    hours = rows.groupBy("sn", "_hour").agg(*_totals({c: f"cast({c} as double)" for c in columns}, need))
     # one row per device-hour: bounded by the calendar, not by the number of readings
     before = f"over (partition by sn order by _hour {way} rows between unbounded preceding and 1 preceding)"
     placed = hours.selectExpr("sn", "_hour", f"coalesce(sum(_n) {before}, 0) as _before")
@@ -298,38 +385,44 @@ FINISH = {
 
 
 def series_features(
-    df: DataFrame, columns: Sequence[str], which: Sequence[str], tie_breakers: Sequence[str] = (),
+    df: DataFrame | Dealt, columns: Sequence[str], which: Sequence[str], tie_breakers: Sequence[str] = (),
     descending: bool = False, chunk: int = CHUNK,
 ) -> DataFrame:
     """The chosen statistics per (sn, kind) in one pass; neighbours are computed only if needed."""
     need = sorted({n for w in which for n in NEEDS.get(w, ())})
-    if any(w in NEIGHBOUR for w in which):
-        rows = with_neighbours(df, columns, tie_breakers, descending, chunk, need=need)
-    else:
-        rows = indexed_long(df, columns, tie_breakers, descending, need)
+    neighbours = any(w in NEIGHBOUR for w in which)
     known = {**POSITION, **NEIGHBOUR}
     aggregates = []
     for w in which:
         aggregates += moment_aggregates("x") if w == "moments" else [F.expr(a) for a in text.named(known[w])]
-    out = rows.groupBy(*KEYS).agg(*aggregates)
+    parts = []
+    for given, short in dealt(df, columns, tie_breakers, chunk):
+        if short:
+            rows = short_series(given, columns, tie_breakers, descending, need, *((3, 4) if neighbours else (0, 0)))
+        elif neighbours:
+            rows = with_neighbours(given, columns, tie_breakers, descending, chunk, need=need)
+        else:
+            rows = indexed_long(given, columns, tie_breakers, descending, need)
+        parts.append(rows.groupBy(*KEYS).agg(*aggregates))
+    out = _together(parts)
     for w in which:
         out = FINISH.get(w, lambda frame: frame)(out)
     return out
 
 
 def position_features(
-    df: DataFrame, columns: Sequence[str], which: Sequence[str] = tuple(POSITION),
+    df: DataFrame | Dealt, columns: Sequence[str], which: Sequence[str] = tuple(POSITION),
     tie_breakers: Sequence[str] = (), descending: bool = False,
 ) -> DataFrame:
     return series_features(df, columns, which, tie_breakers, descending)
 
 
 def neighbour_features(
-    df: DataFrame, columns: Sequence[str], which: Sequence[str] = NEIGHBOURS,
+    df: DataFrame | Dealt, columns: Sequence[str], which: Sequence[str] = NEIGHBOURS,
     tie_breakers: Sequence[str] = (), descending: bool = False, chunk: int = CHUNK,
 ) -> DataFrame:
     return series_features(df, columns, which, tie_breakers, descending, chunk)
 
 
-def binned_entropy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def binned_entropy(df: DataFrame | Dealt, columns: Sequence[str]) -> DataFrame:
     return series_features(df, columns, ["entropy"])

@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +69,24 @@ def ricker(points: int, width: float) -> np.ndarray:
     return 2.0 / (math.sqrt(3.0 * width) * math.pi**0.25) * (1.0 - q) * np.exp(-q / 2.0)
 
 
+#: Columns that are convolved at a time, and readings up to which a noise window is sorted as a whole.
+PIECE, NARROW = 1024, 32
+
+
+def wavelet_tables(x: np.ndarray, widths: Sequence[int], length: int) -> np.ndarray:
+    """``wavelet_rows`` of several series of the same length at once: by width, series and position."""
+    n = x.shape[1]
+    out = np.empty((len(widths), *x.shape))
+    for w, table in zip(widths, out, strict=True):
+        kernel = ricker(min(10 * w, length), w)[::-1]
+        start = (len(kernel) - 1) // 2
+        padded = np.pad(x, ((0, 0), (len(kernel) - 1 - start, start)))
+        for at in range(0, n, PIECE):
+            part = padded[:, at:min(at + PIECE, n) + len(kernel) - 1]
+            table[:, at:at + PIECE] = np.lib.stride_tricks.sliding_window_view(part, len(kernel), axis=1) @ kernel[::-1]
+    return out
+
+
 def wavelet_rows(x: np.ndarray, widths: Sequence[int], length: int) -> np.ndarray:
     """Convolution with the wavelet of every width; the support is ``min(10 * width, length)``."""
     rows = []
@@ -125,6 +145,44 @@ def noise_floor(row: np.ndarray, window: int) -> np.ndarray:
     return pd.Series(row).rolling(_Centred(window_size=window), min_periods=1).quantile(0.1).to_numpy()
 
 
+def noise_floors(rows: np.ndarray, window: int) -> np.ndarray:
+    """``noise_floor`` of several rows; narrow windows of finite values are sorted all at once."""
+    if window > NARROW or not np.isfinite(rows).all():
+        return np.vstack([noise_floor(row, window) for row in rows])
+    n = rows.shape[1]
+    half, odd = divmod(window, 2)
+    padded = np.pad(rows, ((0, 0), (half, half + odd - 1)), constant_values=np.inf)
+    inside = np.sort(np.lib.stride_tricks.sliding_window_view(padded, window, axis=1), axis=2)
+    at = np.arange(n)
+    place = 0.1 * (np.minimum(at + half + odd, n) - np.maximum(at - half, 0) - 1)
+    low = place.astype(np.int64)
+    below = inside[:, at, low]
+    above = np.where(place == low, below, inside[:, at, np.minimum(low + 1, window - 1)])
+    return below + (above - below) * (place - low)
+
+
+def count_wavelet_tables(
+    x: np.ndarray, widths: Sequence[int], first: int, core: tuple[int, int], length: int, digits: int = DIGITS
+) -> np.ndarray:
+    """``count_wavelet_peaks`` of several series of the same length at once: by series and entry of ``widths``."""
+    every = list(range(1, max(widths) + 1))
+    tables = np.round(wavelet_tables(x, every, length), digits)
+    noise = np.abs(noise_floors(tables[0], math.ceil(length / 20)))
+    maxima = np.stack([_row_maxima(table) for table in tables])
+    at = first + np.arange(x.shape[1])
+    own = (at >= core[0]) & (at < core[1])
+    out = np.zeros((len(x), len(widths)), np.int64)
+    for k, w in enumerate(widths):
+        if w < 4:  # lines stay in their column, see ``ridge_ends``
+            ends = np.take_along_axis(tables[:w], maxima[:w].argmax(axis=0)[None], axis=0)[0]
+            out[:, k] = np.sum(maxima[:w].any(axis=0) & own & (np.abs(ends) >= noise), axis=1)
+            continue
+        for s in range(len(x)):
+            row, col = ridge_ends(maxima[:w, s], every[:w]).T
+            out[s, k] = np.sum(own[col] & (np.abs(tables[row, s, col]) >= noise[s, col]))
+    return out
+
+
 def count_wavelet_peaks(
     x: np.ndarray, widths: Sequence[int], first: int, core: tuple[int, int], length: int, digits: int = DIGITS
 ) -> list[int]:
@@ -148,7 +206,7 @@ def count_wavelet_peaks(
 
 
 def number_cwt_peaks(
-    df: DataFrame, columns: Sequence[str], widths: Sequence[int] = (1, 3),
+    df: DataFrame | series.Dealt, columns: Sequence[str], widths: Sequence[int] = (1, 3),
     tie_breakers: Sequence[str] = (), chunk: int = 8192,
 ) -> DataFrame:
     """Wavelet peaks per (sn, kind); one column per entry of ``widths``.
@@ -156,31 +214,42 @@ def number_cwt_peaks(
     A series is cut into chunks of ``max(chunk, n / 20)`` positions with a halo that covers the
     noise window and the wavelet support, so a chunk's count equals that of the whole series.
     """
+    parts = []
+    for given, short in series.dealt(df, columns, tie_breakers, chunk):
+        if short:
+            rows = series.short_rows(given, columns, tie_breakers).select("sn", "idx", "n", F.col("n").alias("size"), F.lit(0).cast("long").alias("chunk"), "xs")
+        else:
+            rows = _chunks(series.indexed_rows(given, columns, tie_breakers, need=()), columns, widths, chunk)
+        parts.append(_counted(rows, columns, widths))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _chunks(rows: DataFrame, columns: Sequence[str], widths: Sequence[int], chunk: int) -> DataFrame:
     reach = 5 * max(widths) + max(widths)
-    rows = series.indexed_rows(df, columns, tie_breakers, need=())
     size = F.greatest(F.lit(chunk), F.ceil(F.col("n") / 20))
     halo = F.ceil(F.col("n") / 40) + F.lit(reach + 1)
     last = F.floor((F.col("n") - 1) / size)
     low = F.greatest(F.floor((F.col("idx") - halo) / size), F.lit(0))
     high = F.least(F.floor((F.col("idx") + halo) / size), last)
-    cut = rows.select(
+    return rows.select(
         "sn", "idx", "n", size.alias("size"), F.explode(F.sequence(low, high)).alias("chunk"),
-        *[F.col(c).cast("double").alias(c) for c in columns],
+        F.array(*[F.col(c).cast("double") for c in columns]).alias("xs"),
     )
+
+
+def _counted(rows: DataFrame, columns: Sequence[str], widths: Sequence[int]) -> DataFrame:
+    """The peaks of every chunk, all metrics of it at once, added up per device and metric."""
     names = [f"number_cwt_peaks_{w}" for w in widths]
     kinds = list(columns)
 
-    def per_chunk(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("idx")
-        n, step, number = int(pdf["n"].iloc[0]), int(pdf["size"].iloc[0]), int(key[1])
+    def per_chunk(key: tuple, table: pa.Table) -> pa.Table:
+        n, step, number = (table.column(c)[0].as_py() for c in ("n", "size", "chunk"))
+        idx = table.column("idx").to_numpy()
+        xs = table.column("xs").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(idx), len(kinds))
         core = (number * step, min((number + 1) * step, n))
-        first = int(pdf["idx"].iloc[0])
-        out = []
-        for kind in kinds:
-            x = pdf[kind].to_numpy(dtype=float)
-            out.append((key[0], kind, *count_wavelet_peaks(x, widths, first, core, n)))
-        return pd.DataFrame(out, columns=["sn", "kind", *names])
+        found = count_wavelet_tables(np.ascontiguousarray(xs[np.argsort(idx, kind="stable")].T), widths, int(idx.min()), core, n)
+        return pa.table({"sn": pa.array([key[0].as_py()] * len(kinds), pa.string()), "kind": pa.array(kinds, pa.string()), **{c: pa.array(found[:, k]) for k, c in enumerate(names)}})
 
     schema = "sn string, kind string, " + ", ".join(f"{c} bigint" for c in names)
-    counted = cut.groupBy("sn", "chunk").applyInPandas(per_chunk, schema)
+    counted = rows.groupBy("sn", "chunk").applyInArrow(per_chunk, schema)
     return counted.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in names])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lookback as lb
 from ..operators import reshape, series, special
-from ..operators.quantiles import group_quantiles, quantile_name
+from ..operators.quantiles import quantile_name
 from ..session import written
 from .cleaning import clean_windows
 
@@ -45,15 +45,14 @@ def all_features(
     yields everything but the quantiles (and the wavelet peaks); the blocks that are joined hold
     one row per device and metric.
     """
-    needed = dict.fromkeys(["sn", "createtime", *tie_breakers, *columns])
-    rows = written(rows.select(*needed), "window-rows")
+    rows = series.dealt(rows, columns, tie_breakers)
     ordered = ["moments", *series.POSITION, *series.NEIGHBOUR]
     out = special.with_trend_p_value(
         series.series_features(rows, columns, ordered, tie_breakers, descending)
     )
     quantiles = {"median": 0.5, **{quantile_name(q): q for q in series.QUANTILES}}
     if interpolation == "linear":
-        out = out.join(group_quantiles(series.long_form(rows, columns), KEYS, quantiles), KEYS)
+        out = out.join(series.named_quantiles(rows, columns, quantiles), KEYS)
     else:
         out = out.join(series.median_feature(rows, columns), KEYS).join(
             series.quantile_features(rows, columns, interpolation=interpolation), KEYS

@@ -61,3 +61,14 @@ def test_ridge_lines_of_narrow_wavelets_stay_in_their_column(monkeypatch):
     monkeypatch.setattr(special, "max", lambda widths: 99, raising=False)  # takes the general way
     slow = special.ridge_ends(maxima, [1, 2, 3])
     assert sorted(map(tuple, fast.tolist())) == sorted(map(tuple, slow.tolist()))
+
+
+def test_wavelet_peaks_of_many_series_at_once():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 7, 45, 300, 1500):
+        x = np.vstack([rng.integers(0, 40, n), rng.normal(0, 9, n), np.zeros(n)]).astype(float)
+        together = special.count_wavelet_tables(x, [1, 3, 5], 0, (0, n), n)
+        assert together.tolist() == [special.count_wavelet_peaks(row, [1, 3, 5], 0, (0, n), n) for row in x]
+    x[1, 5] = np.nan
+    assert special.noise_floors(x, 9).shape == x.shape
+    assert np.allclose(special.noise_floors(x[:1], 9)[0], special.noise_floor(x[0], 9))

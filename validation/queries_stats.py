@@ -83,7 +83,7 @@ def lookback_window_time_capped(spark, sf):
 
 @query("ts_mean_median", stats_sql(f"{r('avg(x)', 'mean')}, {r('median(x)', 'median')}"), DIGITS, TIE_SHIFT)
 def ts_mean_median(spark, sf):
-    rows = window(spark, sf)
+    rows = series.dealt(window(spark, sf), KINDS)
     means = series.moment_features(rows, KINDS).select("sn", "kind", "mean")
     return means.join(series.median_feature(rows, KINDS), ["sn", "kind"])
 
