@@ -3,11 +3,16 @@
 The state of a folder has three tables:
 
 * ``readings/batch=<name>/ds=<day>``: the readings of every batch in standard form. A batch that is delivered again replaces itself.
-* ``daily/ds=<day>``: one row per device and day (two where readings lie at midnight, see ``plans.training.offset_days``).
+* ``daily/ds=<day>``: one row per device and day. Where readings lie at midnight there are two, ``day_part`` 0 and 1 of ``plans.training.offset_days``;
+  elsewhere both are the same and the one row has a NULL there.
 * ``profile/batch=<name>``: what a batch says about its devices; flags and newest days of all batches merge by AND and maximum.
 
 A batch aggregates only the (device, day) pairs it touches anew, from all their readings, so late files and copies end in the same state as one full run.
+A day of which it touches at least half of the devices is aggregated as a whole: neither readings nor daily rows are then joined with the touched pairs.
 Only partitions of touched days are read and written. A run that failed is repeated under the same name.
+
+The readings of a device-day meet in one task, which drops the copies and aggregates: they are shuffled once. A device-day of more than ``LONG_DAY`` stored
+readings goes by whole rows and hours instead, so its copies are combined before they are shuffled and its aggregate spreads.
 """
 
 from __future__ import annotations
@@ -28,6 +33,9 @@ from ..session import measured, written
 from .daily import complete_days, matrix_columns, matrix_from_days
 
 READINGS, DAILY, PROFILE = "readings", "daily", "profile"
+LONG_DAY = 100_000
+#: Groups of devices whose readings of a day are counted before those of every device are.
+CELLS = 256
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -52,6 +60,34 @@ def stored_days(spark: SparkSession, root: str, first: dt.date, last: dt.date) -
     return spark.read.parquet(os.path.join(root, DAILY)).filter(F.col("ds").between(F.lit(first), F.lit(last)))
 
 
+def long_days(readings: DataFrame, most: int) -> DataFrame | None:
+    """(sn, ds) with more than ``most`` stored readings; None if there are none."""
+    cells = readings.groupBy("ds", F.pmod(F.hash("sn"), F.lit(CELLS))).count()
+    if cells.filter(F.col("count") > most).isEmpty():
+        return None
+    found = measured(readings.groupBy("sn", "ds").count().filter(F.col("count") > most).select("sn", "ds"), "long-days")
+    return None if found.isEmpty() else found
+
+
+def day_rows(readings: DataFrame, spec: d.DailySpec = d.EVERYTHING, long_day: int = LONG_DAY, among: DataFrame | None = None) -> DataFrame:
+    """Daily rows (sn, day_part, ds, values) of stored readings with all their copies. ``among`` holds at least their (sn, createtime, ds)."""
+    pair, at_midnight = ["sn", "ds"], F.col("createtime") == F.date_trunc("day", F.col("createtime"))
+    among = readings if among is None else among
+    midnights = measured(among.filter(at_midnight).select(*pair).distinct(), "midnights").withColumn("_split", F.lit(True))
+    parts = F.when(F.col("_split").isNull(), F.array(F.lit(None).cast("int"))).when(at_midnight, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+
+    def aggregated(rows: DataFrame) -> DataFrame:
+        split = cl.repair_sensors(rows).join(midnights, pair, "left").withColumn("day_part", F.explode(parts))
+        return d.daily_aggregates(split, spec, ["day_part"], F.col("ds")).withColumnRenamed("date", "ds")
+
+    rows = readings.select(*CORE_COLUMNS, "ds")
+    far = long_days(among, long_day)
+    if far is None:
+        return aggregated(cl.dedupe_rows(rows.repartition(*pair)))
+    short = aggregated(cl.dedupe_rows(rows.join(far, pair, "left_anti").repartition(*pair)))
+    return short.unionByName(aggregated(d.pack_by_hour(cl.dedupe_rows(rows.join(far, pair, "left_semi")))))
+
+
 def absorb(spark: SparkSession, root: str, batch: DataFrame, name: str, spec: d.DailySpec = d.EVERYTHING) -> list[dt.date]:
     """Add a batch of raw readings to the state; returns the days it touched."""
     rows = lb.with_time(cl.standard_rows(batch)).withColumn("ds", lb.day_of())
@@ -65,20 +101,25 @@ def absorb(spark: SparkSession, root: str, batch: DataFrame, name: str, spec: d.
 
     touched = measured(new.filter("ds is not null").select("sn", "ds").distinct(), "touched-days")
     # as many dates as the batch has days
-    days = sorted(r["ds"] for r in touched.select("ds").distinct().collect())
+    counts = {r["ds"]: r["count"] for r in touched.groupBy("ds").count().collect()}
+    days = sorted(counts)
     if not days:
         return []
-    again = stored_readings(spark, root, days).join(touched, ["sn", "ds"], "left_semi").select(*CORE_COLUMNS)
-    clean = d.pack_by_hour(cl.repair_sensors(cl.dedupe_rows(again)))
-    midnight = F.col("createtime") == F.date_trunc("day", F.col("createtime"))
-    parts = F.when(midnight, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
-    fresh = d.daily_aggregates(clean.withColumn("day_part", F.explode(parts)), spec, ["day_part"]).withColumnRenamed("date", "ds")
-    folder = os.path.join(root, DAILY)
+    folder, known = os.path.join(root, DAILY), {}
     if _exists(spark, folder):
-        kept = spark.read.parquet(folder).filter(F.col("ds").isin(days)).join(touched, ["sn", "ds"], "left_anti")
-        fresh = kept.unionByName(fresh)
-    # a folder is not overwritten while it is read
-    fresh = written(fresh, "touched-daily")
+        daily = spark.read.parquet(folder)
+        stored = daily.filter(F.col("ds").isin(days) & (F.coalesce("day_part", F.lit(0)) == 0)).groupBy("ds").count()
+        known = {r["ds"]: r["count"] for r in stored.collect()}
+    partly = [day for day in days if 2 * counts[day] < known.get(day, 0)]
+    readings = among = stored_readings(spark, root, days)
+    if partly:
+        within = F.col("ds").isin(partly)
+        readings = readings.filter(~within).unionByName(readings.filter(within).join(touched, ["sn", "ds"], "left_semi"))
+    fresh = day_rows(readings, spec, among=among)
+    if partly:
+        kept = daily.filter(within).join(touched, ["sn", "ds"], "left_anti")
+        # a folder is not overwritten while it is read
+        fresh = written(kept, "untouched-daily").unionByName(fresh)
     fresh.hint("rebalance", F.col("ds")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(folder)
     return days
 
@@ -100,7 +141,8 @@ def features(
     span = windows.agg(F.min("start_date").alias("first"), F.max("last_date").alias("last")).first()
     if span["first"] is None:
         span = {"first": dt.date(1, 1, 1), "last": dt.date(1, 1, 1)}
-    daily = stored_days(spark, root, span["first"], span["last"]).withColumnRenamed("ds", "date")
+    daily = stored_days(spark, root, span["first"], span["last"]).withColumnsRenamed({"sn": "_sn", "ds": "_ds", "day_part": "_part"})
     spine = lb.date_spine(windows).withColumn("day_part", F.when(F.col("day_idx") == 0, 1).otherwise(0))
-    days = complete_days(spine.join(daily, ["sn", "date", "day_part"], "left").drop("day_part"), spec)
+    joined = spine.join(daily, F.expr("sn = _sn and date = _ds and coalesce(_part, day_part) = day_part"), "left")
+    days = complete_days(joined.drop("_sn", "_ds", "_part", "day_part"), spec)
     return matrix_from_days(days, matrix_columns(time_range, spec.thresholds))
