@@ -78,7 +78,9 @@ def day_rows(readings: DataFrame, spec: d.DailySpec = d.EVERYTHING, long_day: in
 
     def aggregated(rows: DataFrame) -> DataFrame:
         split = cl.repair_sensors(rows).join(midnights, pair, "left").withColumn("day_part", F.explode(parts))
-        return d.daily_aggregates(split, spec, ["day_part"], F.col("ds")).withColumnRenamed("date", "ds")
+        # the aggregate sorts by its keys in any case; sums of doubles in one order, newest first, are the same for every split into batches
+        ordered = split.sortWithinPartitions("sn", "day_part", "ds", F.desc("createtime"), F.desc("etotal"))
+        return d.daily_aggregates(ordered, spec, ["day_part"], F.col("ds")).withColumnRenamed("date", "ds")
 
     rows = readings.select(*CORE_COLUMNS, "ds")
     far = long_days(among, long_day)
