@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sunfleet.models import boosting, scoring, storage, training
 from sunfleet.models.boosting import UNIT, Params
+from validation import queries_models, registry
 
 NAMES = ["a", "b", "c", "day 0.5", "e"]
 SMALL = Params(classes=3, rounds=4, max_depth=3, min_child_weight=1.0, gamma=0.1, reg_alpha=0.3, reg_lambda=1.0, bins=16)
@@ -97,6 +98,46 @@ def test_trees_equal_brute_force(spark, monkeypatch, seed, classes, flush):
     assert np.allclose([scored[f"s{k}"] for k in range(len(x))], p, atol=1e-9)
 
 
+@pytest.mark.parametrize(("seed", "classes", "flush"), [(1, 3, 20), (2, 3, 2), (3, 2, 3), (4, 2, 20)])
+def test_one_task_grows_the_trees_of_all_tasks(spark, monkeypatch, seed, classes, flush):
+    monkeypatch.setattr(boosting, "FLUSH", flush)
+    x, label = table(classes=classes, seed=seed)
+    params = replace(SMALL, classes=classes, rounds=5, max_depth=4, seed=seed, subsample=0.8, colsample=0.7, balanced=classes == 3, positive_weight=0.3)
+    df = frame(spark, x, label).withColumn("fold", F.pmod(F.xxhash64("sn"), F.lit(3)).cast("int"))
+    grown = []
+    for most in (boosting.ALONE, 0):
+        monkeypatch.setattr(boosting, "ALONE", most)
+        grown.append((boosting.fit(df, NAMES, params, ["sn"]).rows(), sorted(map(tuple, boosting.fold_predictions(df, NAMES, 3, params, ["sn"]).collect()))))
+    assert grown[0] == grown[1] and max(r[0] for r in grown[0][0]) == 4 and len(grown[0][1]) == len(x)
+
+
+def test_a_model_without_rows_has_no_cuts(spark):
+    x, label = table(n=30, classes=2)
+    df = frame(spark, x, label).withColumn("fold", F.lit(0))
+    found = boosting.fold_predictions(df, NAMES, 2, replace(SMALL, classes=2), ["sn"]).collect()
+    assert len(found) == 30 and all(r["prediction"] == 0 for r in found)
+
+
+def given_matrix(spark, monkeypatch):
+    """The model queries run on these rows."""
+    x, label = table(seed=9)
+    rows = frame(spark, x, label).toDF("sn", "label", "a", "b", "c", "d", "e")
+    test = F.pmod(F.xxhash64("sn"), F.lit(5)) == 0
+    rows = rows.withColumns({"out_days": F.lit(0), "copy": F.lit(0), "split": F.when(test, "test").otherwise("train")})
+    monkeypatch.setattr(queries_models, "matrix", lambda spark, sf: rows)
+
+
+def test_cross_validate_grows_all_published_rounds(spark, monkeypatch):
+    given_matrix(spark, monkeypatch)
+    grown, grow = [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda *given: grown.append(grow(*given)) or grown[-1])
+    found = registry.QUERIES["cross_validate"](spark, "").collect()
+    assert sorted(r["fold"] for r in found) == [-1, 0, 1, 2, 3, 4]
+    ((model, _),) = grown
+    assert len(model.rounds) == 300 and [len(of_round) for of_round in model.rounds] == [5] * 300
+    assert all((tree.feature >= 0).any() for of_model in model.rounds[0] + model.rounds[7] for tree in of_model)
+
+
 def test_trees_do_not_depend_on_partitions(spark):
     x, label = table(seed=7)
     rows = [boosting.fit(frame(spark, x, label, parts), NAMES, SMALL, ["sn"]).rows() for parts in (1, 7)]
