@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sunfleet.models import boosting, scoring, storage, training
+from sunfleet.models import boosting, evaluation, scoring, storage, training
 from sunfleet.models.boosting import UNIT, Params
 from validation import queries_models, registry
 
@@ -138,6 +138,16 @@ def test_cross_validate_grows_all_published_rounds(spark, monkeypatch):
     assert all((tree.feature >= 0).any() for of_model in model.rounds[0] + model.rounds[7] for tree in of_model)
 
 
+def test_train_saves_all_published_rounds(spark, monkeypatch, tmp_path):
+    given_matrix(spark, monkeypatch)
+    monkeypatch.setattr(queries_models, "new_path", lambda spark, label: str(tmp_path / label))
+    assert sum(r["count"] for r in registry.QUERIES["train"](spark, "").collect()) > 0
+    model, _, _ = storage.load_latest(spark, str(tmp_path / "models"))
+    saved = model.trees.select("round", "output").distinct().collect()
+    assert sorted(map(tuple, saved)) == [(turn, k) for turn in range(100) for k in range(3)]
+    assert evaluation.tree_split_counts(model.trees).count() > 0
+
+
 def test_trees_do_not_depend_on_partitions(spark):
     x, label = table(seed=7)
     rows = [boosting.fit(frame(spark, x, label, parts), NAMES, SMALL, ["sn"]).rows() for parts in (1, 7)]
